@@ -25,6 +25,8 @@ from tessera.sources.tables import read_table
 
 
 class MovieTables(NamedTuple):
+    """Loaded tables; ``acts_in`` keeps its input ordinal ``ord``."""
+
     movies: DataFrame
     persons: DataFrame
     directors: DataFrame
@@ -92,7 +94,7 @@ def load_movie_tables(spark: SparkSession, root: str) -> MovieTables:
     directors = quality.enforce_primary_key(raw_directors(spark, root), ["id"]).kept
     acts = quality.enforce_primary_key(
         raw_acts_in(spark, root), ["pid", "mid"], order_by=["ord"]
-    ).kept.drop("ord")
+    ).kept
     acts = quality.enforce_foreign_key(acts, movies, ["mid"], ["id"]).kept
     acts = quality.enforce_foreign_key(acts, persons, ["pid"], ["id"]).kept
     directs = quality.enforce_primary_key(raw_directs(spark, root), ["did", "mid"]).kept
@@ -213,7 +215,7 @@ persons AS (SELECT id, fname, lname, gender FROM (
 directors AS (SELECT id, fname, lname FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY fname, lname) AS rn
   FROM raw_directors) WHERE rn = 1),
-acts_pk AS (SELECT pid, mid, role FROM (
+acts_pk AS (SELECT pid, mid, role, ord FROM (
   SELECT *, row_number() OVER (PARTITION BY pid, mid ORDER BY ord, role) AS rn
   FROM raw_acts) WHERE rn = 1),
 acts_in AS (SELECT * FROM acts_pk
