@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every tessera session should carry. Timestamps in the inputs are
 # naive local stamps, so the session zone is pinned to UTC; AQE re-plans joins
@@ -66,3 +66,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def checkpoint_keyed(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
+    """Reliable checkpoint that keeps a hash partitioning on ``keys``.
+
+    Under adaptive execution a checkpoint reports an unknown partitioning, so a
+    later join on the same keys would shuffle the data again. Planning the
+    checkpoint itself with AQE off records ``hashpartitioning(keys, partitions)``
+    and later joins on ``keys`` reuse it (no exchange on this side). With no
+    ``keys`` the current partitioning of ``df`` is kept as it is.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        target = df.repartition(partitions, *keys) if keys else df
+        return target.checkpoint()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", previous)
