@@ -30,4 +30,4 @@ def tmp_dir():
 def rows(df, *cols):
     """Collect as plain tuples (optionally a column subset), sorted."""
     sel = df.select(*cols) if cols else df
-    return sorted(tuple(r) for r in sel.collect())
+    return sorted((tuple(r) for r in sel.collect()), key=lambda t: tuple((v is None, v) for v in t))
