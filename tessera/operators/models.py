@@ -118,7 +118,7 @@ def _scaled_moments(df: DataFrame, x: str, y: str, max_degree: int):
     )
     lo, hi = pairs.agg(F.min("x"), F.max("x")).first()
     if lo is None:
-        raise ValueError("no complete (x, y) pairs to fit")
+        return None
     mid = (lo + hi) / 2.0
     half = (hi - lo) / 2.0 or 1.0
     u = (F.col("x") - F.lit(mid)) / F.lit(half)
@@ -143,14 +143,18 @@ def _to_raw(c_scaled: np.ndarray, mid: float, half: float) -> list[float]:
     return [float(v) for v in raw[::-1]]  # highest power first
 
 
-def polyfit(df: DataFrame, x: str, y: str, degree: int) -> list[float]:
+def polyfit(df: DataFrame, x: str, y: str, degree: int) -> list[float] | None:
     """M3: least-squares polynomial coefficients, highest power first.
 
     One aggregate collects power sums of ``u = (x - mid) / half`` (x scaled to
     [-1, 1], which keeps the normal equations well conditioned up to degree 10);
     the (degree+1)^2 system is solved on the driver and expanded back to x.
+    ``None`` when there is no complete (x, y) pair.
     """
-    _, mid, half, s, t = _scaled_moments(df, x, y, degree)
+    moments = _scaled_moments(df, x, y, degree)
+    if moments is None:
+        return None
+    _, mid, half, s, t = moments
     return _to_raw(_solve(s, t, degree), mid, half)
 
 
@@ -162,7 +166,11 @@ def fit_table(df: DataFrame, x: str, y: str, degrees: Sequence[int]) -> DataFram
     variable for accuracy).
     """
     degrees = list(degrees)
-    pairs, mid, half, s, t = _scaled_moments(df, x, y, max(degrees))
+    moments = _scaled_moments(df, x, y, max(degrees))
+    if moments is None:
+        schema = "degree int, coefficients array<double>, r_squared double, mse double, rmse double"
+        return df.sparkSession.createDataFrame([], schema)
+    pairs, mid, half, s, t = moments
     u = (F.col("x") - F.lit(mid)) / F.lit(half)
     scaled = {d: _solve(s, t, d) for d in degrees}
     preds = pairs.select(

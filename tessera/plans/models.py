@@ -85,6 +85,8 @@ def q_poly_grid(spark, root):
     pin_utc(spark)
     coeffs = M.polyfit(monthly_points(spark, root), "x", "y", 4)
     grid = M.linspace(spark, 1.0, 12.0, 100)
+    if coeffs is None:  # no complete station-year: nothing to evaluate
+        return grid.select("x", F.lit(None).cast("double").alias("y")).limit(0)
     return rounded(grid.select("x", M.polyeval(coeffs, "x").alias("y")))
 
 
