@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIGITS = 6
 
 
+def round_half_away(col: Column | str, digits: int = DIGITS) -> Column:
+    """Round to ``digits`` decimals as ``round(x * 10^d) / 10^d`` with halves away
+    from zero. Unlike rounding the exact binary value, this is the common SQL
+    engine definition, so a double prints the same in Spark and in the oracle."""
+    c = F.col(col) if isinstance(col, str) else col
+    scale = F.lit(10.0**digits)
+    return F.round(c * scale, 0) / scale
+
+
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every floating column so that engines summing in different orders
     agree on the printed value."""
     return df.select(
         *[
-            F.round(F.col(f.name), digits).alias(f.name)
+            round_half_away(F.col(f.name), digits).alias(f.name)
             if f.dataType.typeName() in ("double", "float")
             else F.col(f.name)
             for f in df.schema.fields

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import graph as G
+from tessera.plans.common import round_half_away
 from tessera.session import pin_utc
 from tessera.sources.tables import read_table
 
@@ -37,7 +38,7 @@ def dangling_edges(spark, root) -> DataFrame:
 
 
 def _rounded(ranks: DataFrame) -> DataFrame:
-    return ranks.select("vertex", F.round("rank", DIGITS).alias("rank"))
+    return ranks.select("vertex", round_half_away("rank", DIGITS).alias("rank"))
 
 
 def q_page_rank_events(spark, root):
