@@ -87,19 +87,25 @@ def raw_directs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def load_movie_tables(spark: SparkSession, root: str) -> MovieTables:
-    """Constrained load: PK per table, FK from the link tables to their parents."""
+    """Constrained load: PK per table, FK from the link tables to their parents.
+
+    The FK columns of both link tables are part of their primary keys, so a
+    duplicate pair passes or fails its FK checks together and checking FKs
+    before the PK de-duplication gives the same rows; done in that order, the
+    link table is de-duplicated (shuffled) once, after the checks.
+    """
     pin_utc(spark)
     movies = quality.enforce_primary_key(raw_movies(spark, root), ["id"]).kept
     persons = quality.enforce_primary_key(raw_persons(spark, root), ["id"]).kept
     directors = quality.enforce_primary_key(raw_directors(spark, root), ["id"]).kept
-    acts = quality.enforce_primary_key(
-        raw_acts_in(spark, root), ["pid", "mid"], order_by=["ord"]
-    ).kept
+    acts = raw_acts_in(spark, root)
     acts = quality.enforce_foreign_key(acts, movies, ["mid"], ["id"]).kept
     acts = quality.enforce_foreign_key(acts, persons, ["pid"], ["id"]).kept
-    directs = quality.enforce_primary_key(raw_directs(spark, root), ["did", "mid"]).kept
+    acts = quality.enforce_primary_key(acts, ["pid", "mid"], order_by=["ord"]).kept
+    directs = raw_directs(spark, root)
     directs = quality.enforce_foreign_key(directs, movies, ["mid"], ["id"]).kept
     directs = quality.enforce_foreign_key(directs, directors, ["did"], ["id"]).kept
+    directs = quality.enforce_primary_key(directs, ["did", "mid"]).kept
     return MovieTables(movies, persons, directors, acts, directs)
 
 
