@@ -71,20 +71,23 @@ def page_rank(
         parts,
         "vertex",
     )
-    n_edges = e.count()
-    n = table.count()
+    n, n_edges = table.agg(F.count(F.lit(1)), F.coalesce(F.sum("deg"), F.lit(0))).first()
     if n == 0:
         return table.select("vertex", "rank")
 
     # Hubs: bounded count, broadcast; the rest: co-partitioned with the vertices.
     threshold = max(hub_degree, math.ceil(n_edges / max_broadcast_hubs))
-    hubs = deg.filter(F.col("deg") > threshold).select(F.col("src").alias("hub"))
-    tagged = e.join(F.broadcast(hubs), e.src == hubs.hub, "left")
-    normal_edges = checkpoint_keyed(
-        tagged.filter(F.col("hub").isNull()).select("src", "dst"), parts, "src"
-    )
-    hub_edges = tagged.filter(F.col("hub").isNotNull()).select("src", "dst").checkpoint()
-    has_hubs = hub_edges.limit(1).count() > 0
+    hubs = table.filter(F.col("deg") > threshold).select(F.col("vertex").alias("hub"))
+    has_hubs = hubs.limit(1).count() > 0
+    if has_hubs:
+        hubs = checkpoint_keyed(hubs, 1)
+        tagged = e.join(F.broadcast(hubs), e.src == hubs.hub, "left")
+        normal_edges = checkpoint_keyed(
+            tagged.filter(F.col("hub").isNull()).select("src", "dst"), parts, "src"
+        )
+        hub_edges = checkpoint_keyed(tagged.filter(F.col("hub").isNotNull()).select("src", "dst"), parts)
+    else:
+        normal_edges = checkpoint_keyed(e, parts, "src")
 
     for step in range(1, iterations + 1):
         share = table.filter(F.col("deg").isNotNull()).select(

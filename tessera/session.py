@@ -81,8 +81,13 @@ def checkpoint_keyed(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     checkpoint_dir(spark)
     previous = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    target = df.repartition(partitions, *keys) if keys else df
     try:
-        target = df.repartition(partitions, *keys) if keys else df
-        return target.checkpoint()
+        # Writing a reliable checkpoint runs the plan a second time unless the
+        # rows are held; keep them for the duration of the checkpoint only.
+        target = target.persist()
+        result = target.checkpoint()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", previous)
+    target.unpersist()
+    return result
