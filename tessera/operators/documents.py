@@ -9,7 +9,9 @@ Document shapes (one collection, told apart by ``doc_type``):
 ``actor_ids[i]`` pairs with ``actor_roles[i]`` (and ``movie_ids[i]`` with
 ``movie_roles[i]``): both arrays are cut from one sorted array of structs.
 Lists are grouped with ``collect_list`` (partial lists are built map-side and
-merged), then ordered by the link's input ordinal.
+merged), then ordered by the link's input ordinal. Every document carries a
+``chunk`` number: 0 normally, more for a key whose list would exceed the
+bucket size (see :func:`group_to_lists`).
 """
 
 from __future__ import annotations
@@ -22,26 +24,59 @@ from pyspark.sql import functions as F
 ARRAY_FIELDS = ("director_ids", "actor_ids", "actor_roles", "movie_ids", "movie_roles")
 
 
+MAX_LIST = 1_000_000
+MAX_HOT_KEYS = 100_000
+
+
 def group_to_lists(
     df: DataFrame,
     key: str,
     values: Sequence[str],
     order: Sequence[str] = (),
     names: Sequence[str] | None = None,
+    max_list: int = MAX_LIST,
+    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """One row per ``key`` with aligned lists of ``values`` in ``order``.
+    """One row per ``(key, chunk)`` with aligned lists of ``values`` in ``order``.
 
     ``order`` is the input ordinal (the reference keeps file order); the value
     columns themselves break ties, so the order is total and deterministic.
+
+    Bucket pattern for hot keys: a key with more than ``max_list`` entries is
+    spread over ``ceil(n / max_list)`` chunks by a hash of its entries, each
+    chunk a list sorted by ordinal, so no single task builds a list of a third
+    of the data. Such keys number at most ``|df| / max_list`` (``max_list`` is
+    raised to keep that under ``max_hot_keys``), which bounds the broadcast
+    that tags them. Every other key has exactly one list, ``chunk = 0``.
     """
     names = list(names or values)
+    order = list(order)
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    limit = max_list
+    n_hot = counts.filter(F.col("_n") > limit).count()
+    if n_hot > max_hot_keys:  # rare: raise the bucket size until the hot list is bounded
+        total = counts.agg(F.sum("_n")).first()[0]
+        limit = max(max_list, -(-total // max_hot_keys))
+        n_hot = counts.filter(F.col("_n") > limit).count()
+    hot = counts.filter(F.col("_n") > limit).select(
+        F.col(key).alias("_hk"), F.ceil(F.col("_n") / F.lit(limit)).alias("_chunks")
+    )
+    if n_hot:
+        tagged = df.join(F.broadcast(hot), df[key] == hot["_hk"], "left")
+        spread = F.pmod(F.xxhash64(*order, *values), F.col("_chunks"))
+        chunk = F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(spread).cast("int")
+        df = tagged.withColumn("_chunk", chunk).drop("_hk", "_chunks")
+    else:
+        df = df.withColumn("_chunk", F.lit(0))
     packed = F.struct(
         *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
         *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)],
     )
-    lists = df.groupBy(key).agg(F.array_sort(F.collect_list(packed)).alias("_l"))
+    lists = df.groupBy(key, "_chunk").agg(F.array_sort(F.collect_list(packed)).alias("_l"))
     return lists.select(
-        key, *[F.transform("_l", _field(f"_v{i}")).alias(n) for i, n in enumerate(names)]
+        key,
+        F.col("_chunk").alias("chunk"),
+        *[F.transform("_l", _field(f"_v{i}")).alias(n) for i, n in enumerate(names)],
     )
 
 
@@ -69,18 +104,19 @@ def movie_documents(
     roles = acts_in.withColumn("role", strip_brackets("role"))
     cast = group_to_lists(roles, "mid", ["pid", "role"], acts_order, ["actor_ids", "actor_roles"])
     heads = group_to_lists(directs, "mid", ["did"], directs_order, ["director_ids"])
+    lists = heads.join(cast, ["mid", "chunk"], "full").withColumnRenamed("mid", "movie_id")
     return (
         movies.select(
             F.col("id").alias("movie_id"), "name", F.col("year").cast("int").alias("year"), "rank"
         )
-        .join(heads.withColumnRenamed("mid", "movie_id"), "movie_id", "left")
-        .join(cast.withColumnRenamed("mid", "movie_id"), "movie_id", "left")
+        .join(lists, "movie_id", "left")
         .select(
             F.lit("movie").alias("doc_type"),
             "name",
             "year",
             "rank",
             "movie_id",
+            F.coalesce("chunk", F.lit(0)).alias("chunk"),
             "director_ids",
             "actor_ids",
             "actor_roles",
@@ -110,6 +146,7 @@ def director_documents(
             "first_name",
             "last_name",
             "director_id",
+            "chunk",
             "movie_ids",
         )
     )
@@ -135,6 +172,7 @@ def person_documents(
             "last_name",
             "gender",
             "person_id",
+            F.coalesce("chunk", F.lit(0)).alias("chunk"),
             "movie_ids",
             "movie_roles",
         )

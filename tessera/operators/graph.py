@@ -49,6 +49,12 @@ def out_degrees(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
 
 
+def dangling_vertices(edges: DataFrame) -> DataFrame:
+    """Vertices without an out-edge (all vertices minus the sources)."""
+    sources = edges.select(F.col("src").alias("vertex"))
+    return vertices(edges).join(sources, "vertex", "left_anti")
+
+
 def page_rank(
     edges: DataFrame,
     iterations: int = 10,

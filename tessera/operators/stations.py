@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import weather as wx
@@ -154,6 +154,15 @@ def panel(
     return years.join(wide, "year", "left").orderBy("year")
 
 
+def observations_for(
+    df: DataFrame, station, start: str, end: str, ts: str = "date", station_col: str = "station"
+) -> DataFrame:
+    """One station's rows in the closed range ``[start, end]``."""
+    lo = F.lit(start).cast(df.schema[ts].dataType)
+    hi = F.lit(end).cast(df.schema[ts].dataType)
+    return df.filter((F.col(station_col) == F.lit(station)) & F.col(ts).between(lo, hi))
+
+
 def year_to_date(daily: DataFrame, as_of: str, date: str = "date") -> DataFrame:
     """Days from January 1 of ``as_of``'s year up to ``as_of``."""
     end = F.to_date(F.lit(as_of))
@@ -167,6 +176,22 @@ def ytd_hdd(daily: DataFrame, as_of: str, station: str = "station") -> DataFrame
     return rows.groupBy(station).agg(F.sum("hdd").alias("hdd"))
 
 
+def ytd_running(daily: DataFrame, as_of: str, station: str = "station") -> DataFrame:
+    """A16 running form: cumulative HDD per station through the year to date.
+
+    The window is partitioned by station and year, so a partition holds at most
+    366 rows whatever the data volume."""
+    from pyspark.sql import Window
+
+    rows = with_daily_hdd(year_to_date(daily, as_of), tavg="tavg")
+    w = (
+        Window.partitionBy(station, F.year("date"))
+        .orderBy("date")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return rows.select(station, "date", "hdd", F.sum("hdd").over(w).alias("hdd_to_date"))
+
+
 def coldest_day(daily: DataFrame, as_of: str, station: str = "station") -> DataFrame:
     """T22 + A6: per station, the year-to-date day with the largest HDD (the
     first such day on ties) and its mean temperature in deg F."""

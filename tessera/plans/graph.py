@@ -69,7 +69,13 @@ def q_vertex_labels(spark, root):
     return G.label_ranks(labels, q_page_rank_dangling(spark, root))
 
 
+def q_dangling_vertices(spark, root):
+    pin_utc(spark)
+    return G.dangling_vertices(dangling_edges(spark, root))
+
+
 QUERIES = {
+    "dangling_vertices": q_dangling_vertices,
     "page_rank_events": q_page_rank_events,
     "page_rank_dangling": q_page_rank_dangling,
     "vertex_rank": q_vertex_rank,
@@ -118,6 +124,9 @@ DANGLING_EDGES_SQL = (
 )
 
 ORACLE = {
+    "dangling_vertices": f"WITH e AS ({DANGLING_EDGES_SQL}) "
+    "SELECT vertex FROM (SELECT src AS vertex FROM e UNION SELECT dst FROM e) "
+    "WHERE vertex NOT IN (SELECT src FROM e)",
     "page_rank_events": page_rank_sql(EVENTS_EDGES_SQL) + "SELECT vertex, rank FROM ranks",
     "page_rank_dangling": page_rank_sql(DANGLING_EDGES_SQL) + "SELECT vertex, rank FROM ranks",
     "vertex_rank": page_rank_sql(EVENTS_EDGES_SQL) + "SELECT vertex, rank FROM ranks WHERE vertex = 2",

@@ -126,6 +126,27 @@ def q_ytd_hdd(spark, root):
     return rounded(S.ytd_hdd(daily_series(spark, root), AS_OF))
 
 
+def q_ytd_hdd_running(spark, root):
+    pin_utc(spark)
+    return rounded(S.ytd_running(daily_series(spark, root), AS_OF))
+
+
+def q_station_slice(spark, root):
+    """One station's daily rows over a closed date range."""
+    pin_utc(spark)
+    rows = S.observations_for(daily_series(spark, root), "R", "1997-03-01", "1997-03-31")
+    return rounded(rows.select("station", "date", "tmin", "tmax", "tavg"))
+
+
+def q_seasonality_monthly(spark, root):
+    """Monthly HDD per station laid out as (year, month) for overlaying years."""
+    pin_utc(spark)
+    m = S.monthly_hdd(daily_series(spark, root))
+    return rounded(
+        m.select("station", F.year("month_end").alias("year"), F.month("month_end").alias("month"), "hdd")
+    )
+
+
 def q_coldest_day(spark, root):
     pin_utc(spark)
     return rounded(S.coldest_day(daily_series(spark, root), AS_OF))
@@ -142,6 +163,9 @@ QUERIES = {
     "station_year_extent": q_station_year_extent,
     "ytd_hdd": q_ytd_hdd,
     "coldest_day": q_coldest_day,
+    "ytd_hdd_running": q_ytd_hdd_running,
+    "station_slice": q_station_slice,
+    "seasonality_monthly": q_seasonality_monthly,
 }
 
 # ---------------------------------------------------------------- DuckDB oracles
@@ -234,6 +258,24 @@ WHERE country = 'US' AND region = '{REGION}'
 SELECT station, round(sum(CASE WHEN tavg * 1.8 + 32 <= 65 THEN 65 - (tavg * 1.8 + 32) ELSE 0 END), 6) AS hdd
 FROM daily WHERE date BETWEEN make_date(year(DATE '{AS_OF}'), 1, 1) AND DATE '{AS_OF}'
 GROUP BY station""",
+    "ytd_hdd_running": DAILY_SQL
+    + f""",
+ytd AS (
+  SELECT station, date,
+         CASE WHEN tavg * 1.8 + 32 <= 65 THEN 65 - (tavg * 1.8 + 32) ELSE 0 END AS hdd
+  FROM daily WHERE date BETWEEN make_date(year(DATE '{AS_OF}'), 1, 1) AND DATE '{AS_OF}')
+SELECT station, date, round(hdd, 6) AS hdd,
+       round(sum(hdd) OVER (PARTITION BY station, year(date) ORDER BY date
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS hdd_to_date
+FROM ytd""",
+    "station_slice": DAILY_SQL
+    + """
+SELECT station, date, round(tmin, 6) AS tmin, round(tmax, 6) AS tmax, round(tavg, 6) AS tavg
+FROM daily WHERE station = 'R' AND date BETWEEN DATE '1997-03-01' AND DATE '1997-03-31'""",
+    "seasonality_monthly": DAILY_SQL
+    + """
+SELECT station, CAST(year(month_end) AS INTEGER) AS year, CAST(month(month_end) AS INTEGER) AS month,
+       round(hdd, 6) AS hdd FROM monthly""",
     "coldest_day": DAILY_SQL
     + f""",
 ytd AS (

@@ -198,3 +198,18 @@ def test_entry_and_registry(spark):
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_every_query_runs_small(spark, name):
     E.queries()[name](spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+
+
+def test_hot_key_lists_are_bucketed(spark):
+    links = spark.createDataFrame(
+        [(1, i, f"r{i}", i) for i in range(50)] + [(2, 7, "x", 0), (2, 3, "y", 1)],
+        "mid long, pid long, role string, ord long",
+    )
+    lists = D.group_to_lists(links, "mid", ["pid", "role"], ["ord"], ["ids", "roles"], max_list=10)
+    hot = lists.filter("mid = 1").collect()
+    assert len(hot) == 5  # ceil(50 / 10) chunks
+    assert sorted(i for r in hot for i in r.ids) == list(range(50))
+    for r in hot:
+        assert r.ids == sorted(r.ids) and r.roles == [f"r{i}" for i in r.ids]
+    (cold,) = lists.filter("mid = 2").collect()
+    assert cold.chunk == 0 and cold.ids == [7, 3] and cold.roles == ["x", "y"]
