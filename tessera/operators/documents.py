@@ -25,7 +25,6 @@ ARRAY_FIELDS = ("director_ids", "actor_ids", "actor_roles", "movie_ids", "movie_
 
 
 MAX_LIST = 1_000_000
-MAX_HOT_KEYS = 100_000
 
 
 def group_to_lists(
@@ -35,7 +34,6 @@ def group_to_lists(
     order: Sequence[str] = (),
     names: Sequence[str] | None = None,
     max_list: int = MAX_LIST,
-    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """One row per ``(key, chunk)`` with aligned lists of ``values`` in ``order``.
 
@@ -45,29 +43,21 @@ def group_to_lists(
     Bucket pattern for hot keys: a key with more than ``max_list`` entries is
     spread over ``ceil(n / max_list)`` chunks by a hash of its entries, each
     chunk a list sorted by ordinal, so no single task builds a list of a third
-    of the data. Such keys number at most ``|df| / max_list`` (``max_list`` is
-    raised to keep that under ``max_hot_keys``), which bounds the broadcast
-    that tags them. Every other key has exactly one list, ``chunk = 0``.
+    of the data. Every other key has exactly one list, ``chunk = 0``. The hot
+    keys are found by a grouped count in the same plan and tagged through a
+    broadcast: there are at most ``|df| / max_list`` of them (10^6 rows for
+    10^12 links at the default), which bounds the broadcast by construction.
     """
     names = list(names or values)
     order = list(order)
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    limit = max_list
-    n_hot = counts.filter(F.col("_n") > limit).count()
-    if n_hot > max_hot_keys:  # rare: raise the bucket size until the hot list is bounded
-        total = counts.agg(F.sum("_n")).first()[0]
-        limit = max(max_list, -(-total // max_hot_keys))
-        n_hot = counts.filter(F.col("_n") > limit).count()
-    hot = counts.filter(F.col("_n") > limit).select(
-        F.col(key).alias("_hk"), F.ceil(F.col("_n") / F.lit(limit)).alias("_chunks")
+    hot = counts.filter(F.col("_n") > max_list).select(
+        F.col(key).alias("_hk"), F.ceil(F.col("_n") / F.lit(max_list)).alias("_chunks")
     )
-    if n_hot:
-        tagged = df.join(F.broadcast(hot), df[key] == hot["_hk"], "left")
-        spread = F.pmod(F.xxhash64(*order, *values), F.col("_chunks"))
-        chunk = F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(spread).cast("int")
-        df = tagged.withColumn("_chunk", chunk).drop("_hk", "_chunks")
-    else:
-        df = df.withColumn("_chunk", F.lit(0))
+    tagged = df.join(F.broadcast(hot), df[key] == hot["_hk"], "left")
+    spread = F.pmod(F.xxhash64(*order, *values), F.col("_chunks"))
+    chunk = F.coalesce(spread, F.lit(0)).cast("int")
+    df = tagged.withColumn("_chunk", chunk).drop("_hk", "_chunks")
     packed = F.struct(
         *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
         *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)],
