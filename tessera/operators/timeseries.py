@@ -33,7 +33,11 @@ def _agg(kind: str, col: str) -> Column:
 
 
 def spine(bounds: DataFrame, grain: str, label: str = "label") -> DataFrame:
-    """Labels from ``_lo`` to ``_hi`` (inclusive) per row of ``bounds``."""
+    """Labels from ``_lo`` to ``_hi`` (inclusive) per row of ``bounds``.
+
+    With key columns the (small) bounds frame is first spread over tasks by key,
+    so the labels of many keys are generated in parallel rather than by the one
+    task that happens to hold the bounds."""
     if grain == "month":
         firsts = F.sequence(
             F.trunc("_lo", "month"), F.trunc("_hi", "month"), F.expr("INTERVAL 1 MONTH")
@@ -42,6 +46,8 @@ def spine(bounds: DataFrame, grain: str, label: str = "label") -> DataFrame:
     else:
         labels = F.sequence(F.col("_lo"), F.col("_hi"), cal.step_for(grain))
     keys = [c for c in bounds.columns if c not in ("_lo", "_hi")]
+    if keys:
+        bounds = bounds.repartition(*keys)
     return bounds.select(*keys, F.explode(labels).alias(label))
 
 

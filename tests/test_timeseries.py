@@ -108,3 +108,15 @@ def test_wind_chill_and_units(spark):
     r = df.select(wx.wind_chill("t", "v").alias("w"), wx.kwh_to_mj(F.lit(2.0)).alias("mj")).first()
     want = 13.12 + 0.6215 * -10 - 11.37 * 20**0.16 + 0.3965 * -10 * 20**0.16
     assert r.w == pytest.approx(want) and r.mj == pytest.approx(7.2)
+
+
+def test_keyed_resample_spines_per_key(spark):
+    rows = [
+        ("a", _ts("2022-01-01 05:00:00"), 1.0),
+        ("a", _ts("2022-01-04 05:00:00"), 2.0),
+        ("b", _ts("2022-01-10 05:00:00"), 3.0),
+    ]
+    df = spark.createDataFrame(rows, "station string, ts timestamp_ntz, kwh double")
+    got = ts.resample(df, "ts", "day", [("kwh", "sum", "kwh")], keys=["station"])
+    out = sorted((r.station, r.label.day, r.kwh) for r in got.collect())
+    assert out == [("a", 1, 1.0), ("a", 2, 0.0), ("a", 3, 0.0), ("a", 4, 2.0), ("b", 10, 3.0)]
