@@ -59,11 +59,15 @@ def resample(
     keys: Sequence[str] = (),
     fill_gaps: bool = True,
     label: str = "label",
+    extent: DataFrame | None = None,
 ) -> DataFrame:
     """Aggregate ``df`` into calendar bins of ``grain``.
 
     ``aggs`` are ``(output, kind, column)`` with kind in sum/min/max/mean/count.
-    Sums and counts of gap bins are 0, the other aggregates NULL.
+    Sums and counts of gap bins are 0, the other aggregates NULL. ``extent``
+    (``keys..., _lo, _hi`` labels) fixes the span of the gap bins instead of the
+    data's own first and last bin, so a pre-filtered slice of a series gets
+    exactly the bins the whole series would have in that range.
     """
     keys = list(keys)
     for _, kind, _ in aggs:
@@ -74,7 +78,11 @@ def resample(
     )
     if not fill_gaps:
         return binned
-    bounds = binned.groupBy(*keys).agg(F.min(label).alias("_lo"), F.max(label).alias("_hi"))
+    bounds = (
+        extent
+        if extent is not None
+        else binned.groupBy(*keys).agg(F.min(label).alias("_lo"), F.max(label).alias("_hi"))
+    )
     full = spine(bounds, grain, label).join(binned, [*keys, label], "left")
     return full.select(
         *keys,
@@ -88,6 +96,13 @@ def resample(
     )
 
 
+def label_extent(df: DataFrame, ts: str, grain: str, keys: Sequence[str] = ()) -> DataFrame:
+    """First and last bin label of ``df`` (per key) as ``_lo`` / ``_hi``; reads
+    only the key and time columns."""
+    lab = cal.label_for(grain, ts)
+    return df.groupBy(*keys).agg(F.min(lab).alias("_lo"), F.max(lab).alias("_hi"))
+
+
 def join_on_time(left: DataFrame, right: DataFrame, on: str = "ts") -> DataFrame:
     """Inner join of two series on their time stamp (both sides keep every
     row of a repeated stamp, as an index join does)."""

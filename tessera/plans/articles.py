@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import articles as A
-from tessera.plans.common import rounded
+from tessera.plans.common import rounded, two_step_round
 from tessera.session import pin_utc
 from tessera.sources.tables import read_table
 
@@ -208,3 +208,6 @@ FROM bins CROSS JOIN ext LEFT JOIN binned ON binned.bin = bins.bin""",
     " round(avg_citations_per_year, 6) AS avg_citations_per_year FROM articles"
     " WHERE citation_count > 300 AND year >= 1999",
 }
+
+# Same presentation rounding as the Spark side (see plans.common.round_half_away).
+ORACLE = {k: two_step_round(v) for k, v in ORACLE.items()}

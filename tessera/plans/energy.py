@@ -14,12 +14,12 @@ hour and derives every frame below.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import weather as wx
 from tessera.operators import timeseries as ts
-from tessera.plans.common import rounded
+from tessera.plans.common import rounded, two_step_round
 from tessera.session import pin_utc
 from tessera.sources.tables import read_table
 
@@ -40,12 +40,29 @@ def observations(spark, root) -> DataFrame:
     )
 
 
-def hourly(spark, root) -> DataFrame:
-    """J4 + T15: hourly usage joined with hourly weather, plus wind chill."""
+def hourly(spark, root, start: Column | None = None, end: Column | None = None) -> DataFrame:
+    """J4 + T15: hourly usage joined with hourly weather, plus wind chill.
+
+    With ``start`` / ``end`` (hour stamps, both included) only that slice is
+    built: the raw readings are filtered on their own time stamp (pushed into
+    the parquet scan), and the meter's gap bins are clipped to the whole
+    series' first and last hour, so the slice equals the same rows of the full
+    frame.
+    """
     pin_utc(spark)
-    usage = ts.resample(readings(spark, root), "ts", "hour", [("kwh", "sum", "kwh")])
+    r, o = readings(spark, root), observations(spark, root)
+    extent = None
+    if start is not None and end is not None:
+        whole = ts.label_extent(r, "ts", "hour")
+        extent = whole.select(
+            F.greatest("_lo", start).alias("_lo"), F.least("_hi", end).alias("_hi")
+        )
+        upper = end + F.expr("INTERVAL 1 HOUR")
+        r = r.filter((F.col("ts") >= start) & (F.col("ts") < upper))
+        o = o.filter((F.col("ts") >= start) & (F.col("ts") < upper))
+    usage = ts.resample(r, "ts", "hour", [("kwh", "sum", "kwh")], extent=extent)
     weather = ts.resample(
-        observations(spark, root),
+        o,
         "ts",
         "hour",
         [("temp", "mean", "temp"), ("wspd", "mean", "wspd")],
@@ -144,8 +161,11 @@ def q_seasonality_weekly(spark, root):
 
 
 def q_today_hourly(spark, root):
+    """today's hours from midnight to the current hour of ``AS_OF``."""
     t = F.lit(AS_OF).cast("timestamp_ntz")
-    h = ts.slice_between(hourly(spark, root), "ts", F.date_trunc("day", t), F.date_trunc("hour", t))
+    start = F.date_trunc("day", t).cast("timestamp_ntz")
+    end = F.date_trunc("hour", t).cast("timestamp_ntz")
+    h = ts.slice_between(hourly(spark, root, start, end), "ts", start, end)
     return rounded(h.select("ts", "kwh", "temp", "wspd"))
 
 
@@ -265,3 +285,6 @@ FROM weekly WHERE hdd IS NOT NULL""",
 SELECT ts, round(kwh, 6) AS kwh, round(temp, 6) AS temp, round(wspd, 6) AS wspd FROM hourly
 WHERE ts BETWEEN date_trunc('day', TIMESTAMP '{AS_OF}') AND date_trunc('hour', TIMESTAMP '{AS_OF}')""",
 }
+
+# Same presentation rounding as the Spark side (see plans.common.round_half_away).
+ORACLE = {k: two_step_round(v) for k, v in ORACLE.items()}

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import graph as G
-from tessera.plans.common import round_half_away
+from tessera.plans.common import round_half_away, two_step_round
 from tessera.session import pin_utc
 from tessera.sources.tables import read_table
 
@@ -136,3 +136,6 @@ ORACLE = {
     + "SELECT c_custkey AS vertex, c_name AS person, r.rank FROM customer"
     " JOIN ranks r ON r.vertex = c_custkey",
 }
+
+# Same presentation rounding as the Spark side (see plans.common.round_half_away).
+ORACLE = {k: two_step_round(v) for k, v in ORACLE.items()}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tessera.operators import models as M
 from tessera.operators.quality import drop_incomplete
 from tessera.plans import energy, stations
-from tessera.plans.common import rounded
+from tessera.plans.common import rounded, two_step_round
 from tessera.session import pin_utc
 
 OLS_COLUMNS = [
@@ -198,3 +198,6 @@ SELECT 3, round(pow(corr(y, f3), 2), 6), round(avg(pow(y - f3, 2)), 6), round(sq
 UNION ALL
 SELECT 4, round(pow(corr(y, f4), 2), 6), round(avg(pow(y - f4, 2)), 6), round(sqrt(avg(pow(y - f4, 2))), 6) FROM fits""",
 }
+
+# Same presentation rounding as the Spark side (see plans.common.round_half_away).
+ORACLE = {k: two_step_round(v) for k, v in ORACLE.items()}

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import models as M
 from tessera.operators import stations as S
-from tessera.plans.common import rounded
+from tessera.plans.common import rounded, two_step_round
 from tessera.session import pin_utc
 from tessera.sources.tables import read_table
 
@@ -286,3 +286,6 @@ SELECT station, date, round(tavg_f, 6) AS tavg_f FROM (
   SELECT *, row_number() OVER (PARTITION BY station ORDER BY hdd DESC, date) AS rn FROM ytd)
 WHERE rn = 1""",
 }
+
+# Same presentation rounding as the Spark side (see plans.common.round_half_away).
+ORACLE = {k: two_step_round(v) for k, v in ORACLE.items()}
