@@ -199,6 +199,6 @@ def find_related(
     docs: DataFrame, anchor: DataFrame, array_field: str, id_field: str
 ) -> DataFrame:
     """Documents whose ``id_field`` is in the anchor's ``array_field``
-    (Mongo ``$in``): explode the anchor's array and semi-join on it."""
+    (an ``$in`` lookup): explode the anchor's array and semi-join on it."""
     wanted = anchor.select(F.explode(array_field).alias("_id"))
     return docs.join(wanted, docs[id_field] == wanted["_id"], "left_semi")

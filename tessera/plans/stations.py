@@ -22,7 +22,7 @@ from tessera.plans.common import rounded, two_step_round
 from tessera.session import pin_utc
 from tessera.sources.tables import read_table
 
-POINT = (44.06, -69.8)
+POINT = (44.5, -70.4)
 RADIUS_MILES = 150.0
 AS_OF = "1998-06-30"
 REGION = "AMERICA"

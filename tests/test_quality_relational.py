@@ -16,7 +16,7 @@ def movie_tables(spark):
             (5, "NoLeap (1900b)", 1900, 4.0),
             (6, "Y2K (2000)", 2000, 9.0),
             (7, "Plain (1995)", 1995, None),
-            (8, "Shrek (2001)", 2001, 8.1),
+            (8, "Named (2001)", 2001, 8.1),
             (9, "Better (2001)", 2001, 9.1),
             (10, "Best (2001)", 2001, 9.5),
             (11, "Worse (2001)", 2001, 7.0),
@@ -117,12 +117,12 @@ def test_leap_years(spark, movie_tables):
 
 def test_better_than_named(spark, movie_tables):
     movies = movie_tables[0]
-    got = R.better_than_named(movies, "Shrek (2001)")
+    got = R.better_than_named(movies, "Named (2001)")
     assert [r.id for r in got.collect()] == [10, 9]
     assert R.better_than_named(movies, "Absent").count() == 0
     twice = movies.unionByName(movies.filter("id = 8"))
     with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS|more than one row"):
-        R.better_than_named(twice, "Shrek (2001)").collect()
+        R.better_than_named(twice, "Named (2001)").collect()
 
 
 def test_counts_and_distinct_counts(spark, movie_tables):

@@ -86,3 +86,9 @@ def test_meter_csv_unpadded_stamps(spark, tmp_dir):
     )
     got = [(str(r.ts), r.kwh) for r in T.read_meter_csv(spark, path).orderBy("ts").collect()]
     assert got == [("2022-01-05 01:00:00", 1.5), ("2022-12-25 23:00:00", 2.25)]
+
+
+def test_header_csv_with_declared_schema(spark, tmp_dir):
+    path = _write(tmp_dir, "obs.csv", ["ts,kwh,temp", "2022-01-01 00:00:00,1.5,-3.0", "2022-01-01 01:00:00,2.0,"], "utf-8")
+    df = T.read_header_csv(spark, path, "ts timestamp_ntz, kwh double, temp double")
+    assert [(r.kwh, r.temp) for r in df.orderBy("ts").collect()] == [(1.5, -3.0), (2.0, None)]

@@ -20,11 +20,11 @@ def catalogue(spark):
     t = dt.datetime
     return spark.createDataFrame(
         [
-            (1, "near-new", "US", "ME", 44.10, -69.80, t(2000, 1, 1), t(2030, 1, 1)),
-            (2, "near-old", "US", "ME", 44.30, -69.90, t(1950, 1, 1), t(2030, 1, 1)),
-            (3, "mid", "US", "ME", 44.90, -69.80, t(1940, 1, 1), t(2030, 1, 1)),
-            (4, "far", "US", "NH", 47.00, -69.80, t(1900, 1, 1), t(2030, 1, 1)),
-            (5, "short", "US", "ME", 44.07, -69.80, t(2020, 1, 1), t(2021, 1, 1)),
+            (1, "near-new", "US", "R1", 44.04, -70.00, t(2000, 1, 1), t(2030, 1, 1)),
+            (2, "near-old", "US", "R1", 44.24, -70.10, t(1950, 1, 1), t(2030, 1, 1)),
+            (3, "mid", "US", "R1", 44.84, -70.00, t(1940, 1, 1), t(2030, 1, 1)),
+            (4, "far", "US", "R2", 46.94, -70.00, t(1900, 1, 1), t(2030, 1, 1)),
+            (5, "short", "US", "R1", 44.01, -70.00, t(2020, 1, 1), t(2021, 1, 1)),
         ],
         "station int, name string, country string, region string, latitude double, "
         "longitude double, hourly_start timestamp_ntz, hourly_end timestamp_ntz",
@@ -32,14 +32,14 @@ def catalogue(spark):
 
 
 def test_radius_nearest_and_median_choice(spark, catalogue):
-    near = S.within_radius(catalogue, 44.06, -69.8, 70)
+    near = S.within_radius(catalogue, 44.0, -70.0, 70)
     assert [r.station for r in near.collect()] == [5, 1, 2, 3]
     assert near.first().distance == pytest.approx(1111.95, rel=1e-3)  # 0.01 degree of latitude
     series = spark.createDataFrame([(dt.datetime(2010, 1, 1),), (dt.datetime(2022, 1, 1),)], "ts timestamp_ntz")
-    assert S.nearest_covering(catalogue, series, "ts", 44.06, -69.8, 70).first().station == 1
+    assert S.nearest_covering(catalogue, series, "ts", 44.0, -70.0, 70).first().station == 1
     # median distance of 4 stations -> two nearest; the older of them is 1
     assert S.earliest_among_closest(near).first().station == 1
-    assert [r.station for r in S.older_than_average(S.in_region(catalogue, "US", "ME")).collect()] == [3, 2]
+    assert [r.station for r in S.older_than_average(S.in_region(catalogue, "US", "R1")).collect()] == [3, 2]
     ext = S.year_extent(catalogue).first()
     assert (ext.start_year, ext.end_year) == (1900, 2030)
 
@@ -151,7 +151,7 @@ def test_extract_records_first_matching_link(spark):
 
 def test_documents_aligned_lists_and_lookup(spark, tmp_dir):
     movies = spark.createDataFrame(
-        [(1, "Shrek (2001)", 2001, 8.1), (2, "Other", 1999, None)], "id long, name string, year int, rank double"
+        [(1, "Named (2001)", 2001, 8.1), (2, "Other", 1999, None)], "id long, name string, year int, rank double"
     )
     persons = spark.createDataFrame(
         [(10, "A", "a", "M"), (11, "B", "b", "F"), (12, "C", None, None)],
@@ -159,14 +159,14 @@ def test_documents_aligned_lists_and_lookup(spark, tmp_dir):
     )
     directors = spark.createDataFrame([(20, "D", "d"), (21, "E", "e"), (22, "Idle", "x")], "id long, fname string, lname string")
     acts = spark.createDataFrame(
-        [(11, 1, "[Donkey]", 1), (10, 1, "Shrek/Narrator", 2), (11, 2, None, 3)],
+        [(11, 1, "[Sidekick]", 1), (10, 1, "Lead/Narrator", 2), (11, 2, None, 3)],
         "pid long, mid long, role string, ord long",
     )
     directs = spark.createDataFrame([(21, 1), (20, 1), (23, 2)], "did long, mid long")
     docs = D.build_documents(movies, persons, directors, acts, directs, ["ord"])
-    shrek = docs.filter("doc_type = 'movie' AND movie_id = 1").first()
-    assert shrek.director_ids == [20, 21]
-    assert shrek.actor_ids == [11, 10] and shrek.actor_roles == ["Donkey", "Shrek/Narrator"]
+    named = docs.filter("doc_type = 'movie' AND movie_id = 1").first()
+    assert named.director_ids == [20, 21]
+    assert named.actor_ids == [11, 10] and named.actor_roles == ["Sidekick", "Lead/Narrator"]
     other = docs.filter("doc_type = 'movie' AND movie_id = 2").first()
     assert other.rank is None and other.actor_roles == [None]
     heads = {r.director_id: r for r in docs.filter("doc_type = 'director'").collect()}
@@ -178,7 +178,7 @@ def test_documents_aligned_lists_and_lookup(spark, tmp_dir):
     path = os.path.join(tmp_dir, "docs")
     writers.write_documents(docs, path)
     back = read_documents(spark, path)
-    anchor = D.find_one(back, doc_type="movie", name="Shrek (2001)")
+    anchor = D.find_one(back, doc_type="movie", name="Named (2001)")
     related = D.find_related(read_documents(spark, path, "person"), anchor, "actor_ids", "person_id")
     assert sorted(r.first_name for r in related.collect()) == ["A", "B"]
 
