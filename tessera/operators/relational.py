@@ -119,18 +119,50 @@ def better_than_named(movies: DataFrame, name: str, limit: int | None = 10) -> D
     return _limit(out.orderBy(F.desc("rank"), F.asc("id")), limit)
 
 
+def _top_k_labelled(
+    measures: DataFrame,
+    labels: DataFrame,
+    key: str,
+    order: Sequence[Column],
+    k: int | None,
+    assume_fk: bool,
+    columns: Sequence[str],
+) -> DataFrame:
+    """Attach ``labels`` to ``measures`` on ``key`` and keep the first ``k`` rows.
+
+    With ``assume_fk`` (every key of ``measures`` has a label row, as after a
+    foreign-key-checked load) the inner join cannot drop rows, so the top ``k``
+    is taken from the measures first (a partial top-k per task, no join) and
+    only those ``k`` rows meet the labels, through a broadcast bounded by ``k``.
+    Otherwise all measures are joined, then ranked.
+    """
+    if k is not None and assume_fk:
+        top = measures.orderBy(*order).limit(k)
+        out = labels.join(F.broadcast(top), key)
+    else:
+        out = labels.join(measures, key)
+    return _limit(out.select(*columns).orderBy(*order), k)
+
+
 def top_directors_by_count(
-    directors: DataFrame, directs: DataFrame, k: int = 10
+    directors: DataFrame, directs: DataFrame, k: int = 10, assume_fk: bool = False
 ) -> DataFrame:
     """Q4: the ``k`` directors with the most movies. Counts are aggregated
-    (map-side partials) before joining the names."""
+    (map-side partials) before the names are attached."""
     counts = directs.groupBy(F.col("did").alias("id")).agg(F.count(F.lit(1)).alias("num"))
-    out = directors.select("id", "fname", "lname").join(counts, "id")
-    return out.orderBy(F.desc("num"), F.asc("id")).limit(k)
+    return _top_k_labelled(
+        counts,
+        directors.select("id", "fname", "lname"),
+        "id",
+        [F.desc("num"), F.asc("id")],
+        k,
+        assume_fk,
+        ["id", "fname", "lname", "num"],
+    )
 
 
 def movies_by_cast_size(
-    movies: DataFrame, acts_in: DataFrame, k: int = 10, most: bool = True
+    movies: DataFrame, acts_in: DataFrame, k: int = 10, most: bool = True, assume_fk: bool = False
 ) -> DataFrame:
     """Q5: the ``k`` movies with the most (or fewest) distinct actors.
 
@@ -138,12 +170,19 @@ def movies_by_cast_size(
     followed by a partial count per ``mid``, so a movie with a huge cast is
     pre-counted on the map side.
     """
-    sizes = acts_in.groupBy("mid").agg(F.count_distinct("pid").alias("num_actors"))
-    out = movies.select("id", "name", "year").join(
-        sizes.withColumnRenamed("mid", "id"), "id"
+    sizes = acts_in.groupBy(F.col("mid").alias("id")).agg(
+        F.count_distinct("pid").alias("num_actors")
     )
     measure = F.desc("num_actors") if most else F.asc("num_actors")
-    return out.orderBy(measure, F.asc("id")).limit(k)
+    return _top_k_labelled(
+        sizes,
+        movies.select("id", "name", "year"),
+        "id",
+        [measure, F.asc("id")],
+        k,
+        assume_fk,
+        ["id", "name", "year", "num_actors"],
+    )
 
 
 def actors_with_many_directors(
@@ -152,6 +191,7 @@ def actors_with_many_directors(
     directs: DataFrame,
     threshold: int = 10,
     k: int | None = 10,
+    assume_fk: bool = False,
 ) -> DataFrame:
     """Q6: actors who worked with at least ``threshold`` distinct directors.
 
@@ -160,11 +200,16 @@ def actors_with_many_directors(
     """
     pairs = acts_in.select("pid", "mid").join(directs.select("did", "mid"), "mid")
     counts = (
-        pairs.groupBy("pid")
+        pairs.groupBy(F.col("pid").alias("id"))
         .agg(F.count_distinct("did").alias("num_directors"))
         .filter(F.col("num_directors") >= threshold)
     )
-    out = persons.select("id", "fname", "lname").join(
-        counts.withColumnRenamed("pid", "id"), "id"
+    return _top_k_labelled(
+        counts,
+        persons.select("id", "fname", "lname"),
+        "id",
+        [F.desc("num_directors"), F.asc("id")],
+        k,
+        assume_fk,
+        ["id", "fname", "lname", "num_directors"],
     )
-    return _limit(out.orderBy(F.desc("num_directors"), F.asc("id")), k)

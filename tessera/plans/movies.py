@@ -138,22 +138,24 @@ def q_better_than_named(spark, root):
 
 def q_top_directors_by_count(spark, root):
     t = load_movie_tables(spark, root)
-    return relational.top_directors_by_count(t.directors, t.directs, 10)
+    return relational.top_directors_by_count(t.directors, t.directs, 10, assume_fk=True)
 
 
 def q_most_actors(spark, root):
     t = load_movie_tables(spark, root)
-    return relational.movies_by_cast_size(t.movies, t.acts_in, 10, most=True)
+    return relational.movies_by_cast_size(t.movies, t.acts_in, 10, most=True, assume_fk=True)
 
 
 def q_fewest_actors(spark, root):
     t = load_movie_tables(spark, root)
-    return relational.movies_by_cast_size(t.movies, t.acts_in, 10, most=False)
+    return relational.movies_by_cast_size(t.movies, t.acts_in, 10, most=False, assume_fk=True)
 
 
 def q_many_directors_actors(spark, root):
     t = load_movie_tables(spark, root)
-    return relational.actors_with_many_directors(t.persons, t.acts_in, t.directs, 30, 10)
+    return relational.actors_with_many_directors(
+        t.persons, t.acts_in, t.directs, 30, 10, assume_fk=True
+    )
 
 
 def q_pk_dedupe(spark, root):

@@ -141,3 +141,16 @@ def test_counts_and_distinct_counts(spark, movie_tables):
 def test_top_k_plan_limits_before_shuffle(spark, movie_tables):
     plan = R.top_movies_per_year(movie_tables[0], 1995, 2004, 2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_top_k_before_labels_equals_join_first(spark, movie_tables):
+    movies, persons, directors, acts_in, directs = movie_tables
+    for fk in (False, True):
+        assert [tuple(r) for r in R.top_directors_by_count(directors, directs, 2, assume_fk=fk).collect()] == [
+            (200, "D1", "L1", 2),
+            (201, "D2", "L2", 2),
+        ]
+        most = R.movies_by_cast_size(movies, acts_in, 2, most=True, assume_fk=fk).collect()
+        assert [(r.id, r.num_actors) for r in most] == [(1, 2), (4, 2)]
+        many = R.actors_with_many_directors(persons, acts_in, directs, 2, assume_fk=fk).collect()
+        assert [(r.id, r.num_directors) for r in many] == [(102, 3), (101, 2)]
