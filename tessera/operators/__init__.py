@@ -1 +1,2 @@
-"""tessera.operators."""
+"""Analytic operators: quality, relational, documents, graph, timeseries, stations,
+models, articles."""

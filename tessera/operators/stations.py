@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import weather as wx
-from tessera.operators.quality import complete_groups, zero_to_null
+from tessera.operators.quality import complete_groups, covering, zero_to_null
 
 
 def within_radius(
@@ -51,12 +51,7 @@ def covering_stations(
     catalogue: DataFrame, series: DataFrame, ts: str, start: str = "hourly_start", end: str = "hourly_end"
 ) -> DataFrame:
     """Stations whose record spans the whole time range of ``series``."""
-    extent = series.agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    return (
-        catalogue.crossJoin(F.broadcast(extent))
-        .filter((F.col(start) <= F.col("_lo")) & (F.col(end) >= F.col("_hi")))
-        .drop("_lo", "_hi")
-    )
+    return covering(catalogue, series, ts, start, end)
 
 
 def nearest_covering(

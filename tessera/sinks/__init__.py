@@ -1 +1,2 @@
-"""tessera.sinks."""
+"""Writers: CSV (single file, custom separator, append), text lines, document
+collections, constrained tables, partitioned and sorted layouts."""

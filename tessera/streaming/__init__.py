@@ -1 +1 @@
-"""tessera.streaming."""
+"""Incremental (Structured Streaming) runs of existing pipelines."""
