@@ -60,21 +60,26 @@ def enforce_foreign_key(
     """Drop and report child rows whose parent key is absent.
 
     As in SQL, a child row with a NULL in its foreign key is not checked and is
-    kept. The parent side is reduced to its key columns; AQE turns the join into
-    a broadcast when the parent's runtime size is under the threshold and
-    otherwise splits skewed child partitions of the sort-merge join.
+    kept. One left join of the child with the distinct parent keys marks the
+    matches, so the child is read once for both outputs. AQE turns the join into
+    a broadcast when the parent keys are small at run time and otherwise splits
+    skewed child partitions (a left outer join may split its left side).
     """
     child_cols = list(child_cols)
     parent_cols = list(parent_cols or child_cols)
-    keys = parent.select(*[F.col(p).alias(f"_pk{i}") for i, p in enumerate(parent_cols)])
+    keys = (
+        parent.select(*[F.col(p).alias(f"_pk{i}") for i, p in enumerate(parent_cols)])
+        .distinct()
+        .withColumn("_hit", F.lit(True))
+    )
     cond = [child[c] == keys[f"_pk{i}"] for i, c in enumerate(child_cols)]
     has_null = F.lit(False)
     for c in child_cols:
         has_null = has_null | F.col(c).isNull()
-    matched = child.join(keys, cond, "left_semi")
-    unchecked = child.filter(has_null)
-    rejects = child.join(keys, cond, "left_anti").filter(~has_null)
-    return Checked(matched.unionByName(unchecked), rejects)
+    marked = child.join(keys, cond, "left")
+    kept = marked.filter(has_null | F.col("_hit").isNotNull()).select(*child.columns)
+    rejects = marked.filter(~has_null & F.col("_hit").isNull()).select(*child.columns)
+    return Checked(kept, rejects)
 
 
 def strict(checked: Checked, what: str = "constraint") -> DataFrame:

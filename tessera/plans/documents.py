@@ -41,36 +41,43 @@ def q_person_documents(spark, root) -> DataFrame:
 
 
 def _anchor(t, name: str) -> DataFrame:
-    """The named movie's document. Links are restricted to that movie before
-    the lists are built, so the lookup does not aggregate the whole cast."""
-    movie = t.movies.filter(F.col("name") == F.lit(name))
-    ids = movie.select(F.col("id").alias("mid"))
+    """The named movie's document (``find_one``).
+
+    As with a document store, the lookup is two steps: the movie's id is fetched
+    first (one scalar), then only that movie's links are read; the id filter is
+    pushed through the constrained load into the parquet scans. The lists stay
+    distributed."""
+    first = t.movies.filter(F.col("name") == F.lit(name)).agg(F.min("id")).first()[0]
+    movie = t.movies.filter(F.col("id") == F.lit(first)) if first is not None else t.movies.limit(0)
+    mid = F.lit(first).cast("long")
     docs = D.movie_documents(
         movie,
-        t.acts_in.join(ids, "mid", "left_semi"),
-        t.directs.join(ids, "mid", "left_semi"),
+        t.acts_in.filter(F.col("mid") == mid),
+        t.directs.filter(F.col("mid") == mid),
         ACTS_ORDER,
     )
     return D.find_one(docs, doc_type="movie", name=name)
 
 
 def q_related_directors(spark, root) -> DataFrame:
-    """Directors of the named movie (``$in`` on its ``director_ids``)."""
+    """Director documents of the named movie's ``director_ids`` (the ``$in``
+    lookup is an explode of the anchor's list and a semi join, J5); only those
+    directors' documents are built."""
     t = load_movie_tables(spark, root)
-    anchor = _anchor(t, NAMED_MOVIE)
-    wanted = anchor.select(F.explode("director_ids").alias("did"))
+    wanted = _anchor(t, NAMED_MOVIE).select(F.explode("director_ids").alias("did"))
     links = t.directs.join(wanted, "did", "left_semi")
-    docs = D.find_related(D.director_documents(t.directors, links), anchor, "director_ids", "director_id")
+    heads = t.directors.join(wanted.withColumnRenamed("did", "id"), "id", "left_semi")
+    docs = D.director_documents(heads, links)
     return docs.select("director_id", "first_name", "last_name")
 
 
 def q_related_actors(spark, root) -> DataFrame:
-    """Actors of the named movie (``$in`` on its ``actor_ids``)."""
+    """Person documents of the named movie's ``actor_ids`` (explode + semi join)."""
     t = load_movie_tables(spark, root)
-    anchor = _anchor(t, NAMED_MOVIE)
-    wanted = anchor.select(F.explode("actor_ids").alias("id"))
+    wanted = _anchor(t, NAMED_MOVIE).select(F.explode("actor_ids").alias("id"))
     people = t.persons.join(wanted, "id", "left_semi")
-    docs = D.find_related(D.person_documents(people, t.acts_in, ACTS_ORDER), anchor, "actor_ids", "person_id")
+    links = t.acts_in.join(wanted.withColumnRenamed("id", "pid"), "pid", "left_semi")
+    docs = D.person_documents(people, links, ACTS_ORDER)
     return docs.select("person_id", "first_name", "last_name", "gender")
 
 
