@@ -131,8 +131,14 @@ def citations_per_year(clean: DataFrame, years: Sequence[int]) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram over ``[min, max]`` with the last bin closed
     (a value equal to the maximum counts in the last bin); every bin is listed.
-    Bins are numbered from 1."""
-    ext = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
+    Bins are numbered from 1.
+
+    The column is first reduced to ``(value, count)``; the extent and the bin
+    counts are both computed from that one grouped result (its exchange is
+    reused), so the input is read once.
+    """
+    values = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
+    ext = values.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
     ext = ext.select(
         F.when(F.col("_lo") == F.col("_hi"), F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
         F.when(F.col("_lo") == F.col("_hi"), F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"),
@@ -140,10 +146,9 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     scale = F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))
     idx = F.least(F.floor((F.col(col) - F.col("_lo")) * scale), F.lit(bins - 1)) + 1
     counts = (
-        df.filter(F.col(col).isNotNull())
-        .crossJoin(F.broadcast(ext))
+        values.crossJoin(F.broadcast(ext))
         .groupBy(idx.cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(F.sum("_c").alias("count"))
     )
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     spine = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
