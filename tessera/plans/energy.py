@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import weather as wx
+from tessera.operators import energy as E
 from tessera.operators import timeseries as ts
 from tessera.plans.common import rounded, two_step_round
 from tessera.session import pin_utc
@@ -41,92 +41,29 @@ def observations(spark, root) -> DataFrame:
 
 
 def hourly(spark, root, start: Column | None = None, end: Column | None = None) -> DataFrame:
-    """J4 + T15: hourly usage joined with hourly weather, plus wind chill.
-
-    With ``start`` / ``end`` (hour stamps, both included) only that slice is
-    built: the raw readings are filtered on their own time stamp (pushed into
-    the parquet scan), and the meter's gap bins are clipped to the whole
-    series' first and last hour, so the slice equals the same rows of the full
-    frame.
-    """
+    """J4 + T15 over the stand-ins (see :func:`tessera.operators.energy.hourly`)."""
     pin_utc(spark)
-    r, o = readings(spark, root), observations(spark, root)
-    extent = None
-    if start is not None and end is not None:
-        whole = ts.label_extent(r, "ts", "hour")
-        extent = whole.select(
-            F.greatest("_lo", start).alias("_lo"), F.least("_hi", end).alias("_hi")
-        )
-        upper = end + F.expr("INTERVAL 1 HOUR")
-        r = r.filter((F.col("ts") >= start) & (F.col("ts") < upper))
-        o = o.filter((F.col("ts") >= start) & (F.col("ts") < upper))
-    usage = ts.resample(r, "ts", "hour", [("kwh", "sum", "kwh")], extent=extent)
-    weather = ts.resample(
-        o,
-        "ts",
-        "hour",
-        [("temp", "mean", "temp"), ("wspd", "mean", "wspd")],
-        fill_gaps=False,
-    )
-    joined = ts.join_on_time(usage.withColumnRenamed("label", "ts"), weather.withColumnRenamed("label", "ts"))
-    return joined.withColumn("wchill", wx.wind_chill("temp", "wspd"))
+    return E.hourly(readings(spark, root), observations(spark, root), start, end)
 
 
 def daily(spark, root) -> DataFrame:
     """T1 + T4 + T8 + T9: daily bins with HDD / CDD ("missing above base")."""
-    d = ts.resample(
-        hourly(spark, root),
-        "ts",
-        "day",
-        [
-            ("kwh_sum", "sum", "kwh"),
-            ("temp_min", "min", "temp"),
-            ("temp_max", "max", "temp"),
-            ("temp_mean", "mean", "temp"),
-            ("wspd_mean", "mean", "wspd"),
-            ("wchill_mean", "mean", "wchill"),
-        ],
-    )
-    return ts.with_degree_days(d, "temp_mean", hdd_above="null", cdd_above="null")
+    return E.daily(hourly(spark, root), "null")
 
 
 def daily_zero_hdd(spark, root) -> DataFrame:
     """Daily bins with HDD in its "0 above base" form (the regression input)."""
-    d = ts.resample(
-        hourly(spark, root),
-        "ts",
-        "day",
-        [
-            ("kwh_sum", "sum", "kwh"),
-            ("temp_min", "min", "temp"),
-            ("temp_max", "max", "temp"),
-            ("temp_mean", "mean", "temp"),
-        ],
-    )
-    return ts.with_degree_days(d, "temp_mean", hdd_above="zero", cdd_above=None)
-
-
-_PERIOD_AGGS = [
-    ("kwh_sum", "sum", "kwh"),
-    ("temp_min", "min", "temp"),
-    ("temp_max", "max", "temp"),
-    ("temp_mean", "mean", "temp"),
-]
+    return E.daily(hourly(spark, root), "zero", with_wind=False)
 
 
 def weekly(spark, root) -> DataFrame:
-    """T2 + T10: weekly bins; HDD = sum of the week's daily HDD, first week and
-    zero weeks NULL."""
-    w = ts.resample(hourly(spark, root), "ts", "week", _PERIOD_AGGS)
-    hdd = ts.hdd_by_period(daily_zero_hdd(spark, root), "week")
-    return ts.weekly_hdd_rule(w.join(hdd, "label", "left"))
+    """T2 + T10: weekly bins with the week's HDD."""
+    return E.weekly(hourly(spark, root))
 
 
 def monthly(spark, root) -> DataFrame:
-    """T3 + T11: monthly bins; HDD = sum of the month's daily HDD."""
-    m = ts.resample(hourly(spark, root), "ts", "month", _PERIOD_AGGS)
-    hdd = ts.hdd_by_period(daily_zero_hdd(spark, root), "month")
-    return m.join(hdd, "label", "left").withColumn("hdd", F.coalesce("hdd", F.lit(0.0)))
+    """T3 + T11: monthly bins with the month's HDD."""
+    return E.monthly(hourly(spark, root))
 
 
 def q_usage_weather_hourly(spark, root):

@@ -120,3 +120,31 @@ def test_keyed_resample_spines_per_key(spark):
     got = ts.resample(df, "ts", "day", [("kwh", "sum", "kwh")], keys=["station"])
     out = sorted((r.station, r.label.day, r.kwh) for r in got.collect())
     assert out == [("a", 1, 1.0), ("a", 2, 0.0), ("a", 3, 0.0), ("a", 4, 2.0), ("b", 10, 3.0)]
+
+
+def test_meter_csv_to_daily_frame(spark, tmp_dir):
+    import os
+
+    from tessera.operators import energy
+    from tessera.sources import text
+
+    path = os.path.join(tmp_dir, "usage.csv")
+    with open(path, "w") as f:
+        f.write("a,b,c,1/1/2022 12:00:00 AM,x,1.0\na,b,c,1/1/2022 1:00:00 AM,x,2.0\na,b,c,1/1/2022 3:00:00 AM,x,4.0\n")
+    readings = text.read_meter_csv(spark, path)
+    obs = spark.createDataFrame(
+        [
+            (_ts("2022-01-01 00:10:00"), -5.0, None),
+            (_ts("2022-01-01 00:40:00"), -3.0, 4.0),
+            (_ts("2022-01-01 01:20:00"), 0.0, 10.0),
+            (_ts("2022-01-01 03:00:00"), 2.0, 6.0),
+        ],
+        "ts timestamp_ntz, temp double, wspd double",
+    )
+    hourly = energy.hourly(readings, obs)
+    got = [(r.ts.hour, r.kwh, r.temp) for r in hourly.orderBy("ts").collect()]
+    assert got == [(0, 1.0, -4.0), (1, 2.0, 0.0), (3, 4.0, 2.0)]  # hour 2 has no weather
+    (day,) = energy.daily(hourly, "zero", with_wind=False).collect()
+    mean = (-4.0 + 0.0 + 2.0) / 3
+    assert day.kwh_sum == 7.0 and day.temp_mean == pytest.approx(mean)
+    assert day.hdd == pytest.approx(65 - (mean * 1.8 + 32))
