@@ -62,12 +62,21 @@ def page_rank(
     hub_degree: int = 100_000,
     max_broadcast_hubs: int = 100_000,
     checkpoint_every: int = 1,
+    edges_per_partition: int = 2_000_000,
 ) -> DataFrame:
-    """G1: ranks ``(vertex, rank)`` after ``iterations`` steps, normalised by n."""
+    """G1: ranks ``(vertex, rank)`` after ``iterations`` steps, normalised by n.
+
+    The co-partitioned layout uses ``partitions`` hash partitions, by default one
+    per ``edges_per_partition`` edges, capped by ``spark.sql.shuffle.partitions``
+    (the iterations run with AQE off, so nothing would coalesce a too-wide
+    layout for a small graph).
+    """
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = edges.select(F.col("src").cast("long"), F.col("dst").cast("long"))
+    n_edges = e.count()
+    widest = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or max(1, min(widest, math.ceil(n_edges / edges_per_partition)))
 
     deg = out_degrees(e)
     table = checkpoint_keyed(
@@ -77,7 +86,7 @@ def page_rank(
         parts,
         "vertex",
     )
-    n, n_edges = table.agg(F.count(F.lit(1)), F.coalesce(F.sum("deg"), F.lit(0))).first()
+    n = table.count()
     if n == 0:
         return table.select("vertex", "rank")
 

@@ -74,13 +74,20 @@ def checkpoint_keyed(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     Under adaptive execution a checkpoint reports an unknown partitioning, so a
     later join on the same keys would shuffle the data again. Planning the
     checkpoint itself with AQE off records ``hashpartitioning(keys, partitions)``
-    and later joins on ``keys`` reuse it (no exchange on this side). With no
-    ``keys`` the current partitioning of ``df`` is kept as it is.
+    and later joins on ``keys`` reuse it (no exchange on this side); shuffles
+    inside the checkpointed plan use the same ``partitions`` so they line up
+    with it. With no ``keys`` the current partitioning of ``df`` is kept.
+    The two session settings are restored afterwards; do not run other jobs on
+    the same session concurrently with this call.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    saved = {
+        k: spark.conf.get(k)
+        for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+    }
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     target = df.repartition(partitions, *keys) if keys else df
     try:
         # Writing a reliable checkpoint runs the plan a second time unless the
@@ -88,6 +95,7 @@ def checkpoint_keyed(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
         target = target.persist()
         result = target.checkpoint()
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", previous)
+        for k, v in saved.items():
+            spark.conf.set(k, v)
     target.unpersist()
     return result
