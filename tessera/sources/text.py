@@ -7,6 +7,9 @@
 * :func:`read_header_csv` - CSV with a header and an explicit schema.
 
 All parsing is Column expressions inside the scan stage (no Python per row).
+Floating NaN read from text becomes NULL (missing), as in pandas; parquet
+tables are read as they are (``quality.nan_to_null`` converts them on request,
+at the cost of filter pushdown on those columns).
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.operators.quality import Checked, clean_text
+from tessera.operators.quality import Checked, clean_text, nan_to_null
 
 # The reference's line patterns for its five movie-database files.
 MOVIE_PATTERN = r"^(\d+),(.*),(\d+),(\d+(?:\.\d+)?)?$"
@@ -144,11 +147,13 @@ def read_columns(
     """Whitespace separated columns, one row per non-blank line."""
     parts = split_ws("value")
     df = spark.read.text(path).select(parts.alias("_p")).filter(F.size("_p") > 0)
-    return df.select(
-        *[
-            (F.get(F.col("_p"), i) if t == "string" else F.get(F.col("_p"), i).cast(t)).alias(n)
-            for i, (n, t) in enumerate(zip(names, types))
-        ]
+    return nan_to_null(
+        df.select(
+            *[
+                (F.get(F.col("_p"), i) if t == "string" else F.get(F.col("_p"), i).cast(t)).alias(n)
+                for i, (n, t) in enumerate(zip(names, types))
+            ]
+        )
     )
 
 
@@ -179,14 +184,18 @@ def read_meter_csv(
     One-letter month/day/hour fields accept padded and unpadded numbers.
     """
     raw = spark.read.option("header", "false").csv(path)
-    return raw.select(
-        F.to_timestamp_ntz(F.col(f"_c{ts_index}"), F.lit(ts_format)).alias("ts"),
-        F.col(f"_c{value_index}").cast("double").alias("kwh"),
+    return nan_to_null(
+        raw.select(
+            F.to_timestamp_ntz(F.col(f"_c{ts_index}"), F.lit(ts_format)).alias("ts"),
+            F.col(f"_c{value_index}").cast("double").alias("kwh"),
+        )
     )
 
 
 def read_header_csv(
     spark: SparkSession, path: str | Sequence[str], schema: StructType | str
 ) -> DataFrame:
-    """CSV with a header line and a declared schema (no inference)."""
-    return spark.read.option("header", "true").schema(schema).csv(path)
+    """CSV with a header line and a declared schema (no inference). A
+    floating NaN (e.g. the text ``NaN``) is read as NULL: missing, as pandas
+    treats it."""
+    return nan_to_null(spark.read.option("header", "true").schema(schema).csv(path))

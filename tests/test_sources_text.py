@@ -92,3 +92,11 @@ def test_header_csv_with_declared_schema(spark, tmp_dir):
     path = _write(tmp_dir, "obs.csv", ["ts,kwh,temp", "2022-01-01 00:00:00,1.5,-3.0", "2022-01-01 01:00:00,2.0,"], "utf-8")
     df = T.read_header_csv(spark, path, "ts timestamp_ntz, kwh double, temp double")
     assert [(r.kwh, r.temp) for r in df.orderBy("ts").collect()] == [(1.5, -3.0), (2.0, None)]
+
+
+def test_text_nan_becomes_null(spark, tmp_dir):
+    path = _write(tmp_dir, "n.csv", ["ts,kwh", "2022-01-01 00:00:00,NaN", "2022-01-01 01:00:00,2.5"], "utf-8")
+    df = T.read_header_csv(spark, path, "ts timestamp_ntz, kwh double")
+    assert [r.kwh for r in df.orderBy("ts").collect()] == [None, 2.5]
+    ranks = _write(tmp_dir, "r.txt", ["0 nan", "1 0.5"], "utf-8")
+    assert sorted((r.vertex, r.rank) for r in T.read_ranks(spark, ranks).collect()) == [(0, None), (1, 0.5)]
