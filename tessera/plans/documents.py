@@ -1,4 +1,10 @@
-"""Registered document queries (G3, G4) over the loaded movie tables."""
+"""Registered document queries.
+
+As in the reference, the collection is built from the raw link rows, not from
+the constrained tables: a repeated link stays in the lists, and a link to an id
+without a parent row keeps NULL parent fields (J7). List order is the links'
+input ordinal (``l_linenumber`` in the stand-ins), ties broken by the values.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +12,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import documents as D
-from tessera.plans.movies import _LOADED, NAMED_MOVIE, load_movie_tables
+from tessera.operators.moviedb import MovieTables
+from tessera.plans import movies as PM
+from tessera.session import pin_utc
+
+ORDER = ["ord"]
 
-ACTS_ORDER = ["ord"]
+
+def raw_tables(spark, root) -> MovieTables:
+    pin_utc(spark)
+    return MovieTables(
+        PM.raw_movies(spark, root),
+        PM.raw_persons(spark, root),
+        PM.raw_directors(spark, root),
+        PM.raw_acts_in(spark, root),
+        PM.raw_directs_ordered(spark, root),
+    )
 
 
 def flat(col: str) -> Column:
@@ -17,8 +36,8 @@ def flat(col: str) -> Column:
 
 
 def q_movie_documents(spark, root) -> DataFrame:
-    t = load_movie_tables(spark, root)
-    docs = D.movie_documents(t.movies, t.acts_in, t.directs, ACTS_ORDER)
+    t = raw_tables(spark, root)
+    docs = D.movie_documents(t.movies, t.acts_in, t.directs, ORDER, ORDER)
     return docs.select(
         "doc_type", "name", "year", "rank", "movie_id",
         flat("director_ids"), flat("actor_ids"), flat("actor_roles"),
@@ -26,27 +45,26 @@ def q_movie_documents(spark, root) -> DataFrame:
 
 
 def q_director_documents(spark, root) -> DataFrame:
-    t = load_movie_tables(spark, root)
-    docs = D.director_documents(t.directors, t.directs)
+    t = raw_tables(spark, root)
+    docs = D.director_documents(t.directors, t.directs, ORDER)
     return docs.select("doc_type", "first_name", "last_name", "director_id", flat("movie_ids"))
 
 
 def q_person_documents(spark, root) -> DataFrame:
-    t = load_movie_tables(spark, root)
-    docs = D.person_documents(t.persons, t.acts_in, ACTS_ORDER)
+    t = raw_tables(spark, root)
+    docs = D.person_documents(t.persons, t.acts_in, ORDER)
     return docs.select(
         "doc_type", "first_name", "last_name", "gender", "person_id",
         flat("movie_ids"), flat("movie_roles"),
     )
 
 
-def _anchor(t, name: str) -> DataFrame:
+def _anchor(t: MovieTables, name: str) -> DataFrame:
     """The named movie's document (``find_one``).
 
-    As with a document store, the lookup is two steps: the movie's id is fetched
-    first (one scalar), then only that movie's links are read; the id filter is
-    pushed through the constrained load into the parquet scans. The lists stay
-    distributed."""
+    As with a document store, the lookup is two steps: the first matching
+    movie's id is fetched (one scalar), then only that movie's links are read;
+    the id filter is pushed into the parquet scans. The lists stay distributed."""
     first = t.movies.filter(F.col("name") == F.lit(name)).agg(F.min("id")).first()[0]
     movie = t.movies.filter(F.col("id") == F.lit(first)) if first is not None else t.movies.limit(0)
     mid = F.lit(first).cast("long")
@@ -54,7 +72,8 @@ def _anchor(t, name: str) -> DataFrame:
         movie,
         t.acts_in.filter(F.col("mid") == mid),
         t.directs.filter(F.col("mid") == mid),
-        ACTS_ORDER,
+        ORDER,
+        ORDER,
     )
     return D.find_one(docs, doc_type="movie", name=name)
 
@@ -63,21 +82,21 @@ def q_related_directors(spark, root) -> DataFrame:
     """Director documents of the named movie's ``director_ids`` (the ``$in``
     lookup is an explode of the anchor's list and a semi join, J5); only those
     directors' documents are built."""
-    t = load_movie_tables(spark, root)
-    wanted = _anchor(t, NAMED_MOVIE).select(F.explode("director_ids").alias("did"))
+    t = raw_tables(spark, root)
+    wanted = _anchor(t, PM.NAMED_MOVIE).select(F.explode("director_ids").alias("did"))
     links = t.directs.join(wanted, "did", "left_semi")
     heads = t.directors.join(wanted.withColumnRenamed("did", "id"), "id", "left_semi")
-    docs = D.director_documents(heads, links)
+    docs = D.director_documents(heads, links, ORDER)
     return docs.select("director_id", "first_name", "last_name")
 
 
 def q_related_actors(spark, root) -> DataFrame:
     """Person documents of the named movie's ``actor_ids`` (explode + semi join)."""
-    t = load_movie_tables(spark, root)
-    wanted = _anchor(t, NAMED_MOVIE).select(F.explode("actor_ids").alias("id"))
+    t = raw_tables(spark, root)
+    wanted = _anchor(t, PM.NAMED_MOVIE).select(F.explode("actor_ids").alias("id"))
     people = t.persons.join(wanted, "id", "left_semi")
     links = t.acts_in.join(wanted.withColumnRenamed("id", "pid"), "pid", "left_semi")
-    docs = D.person_documents(people, links, ACTS_ORDER)
+    docs = D.person_documents(people, links, ORDER)
     return docs.select("person_id", "first_name", "last_name", "gender")
 
 
@@ -89,51 +108,52 @@ QUERIES = {
     "related_actors": q_related_actors,
 }
 
-_LISTS = """,
-heads AS (SELECT mid, string_agg(CAST(did AS VARCHAR), ',' ORDER BY did) AS director_ids
-          FROM directs GROUP BY mid),
+_DOCS = (
+    "WITH"
+    + PM._RAW
+    + """,
+heads AS (SELECT mid, string_agg(CAST(did AS VARCHAR), ',' ORDER BY ord, did) AS director_ids
+          FROM raw_directs_o GROUP BY mid),
 cast_lists AS (SELECT mid,
     string_agg(CAST(pid AS VARCHAR), ',' ORDER BY ord, pid, role) AS actor_ids,
     string_agg(coalesce(trim(role, '[]'), ''), ',' ORDER BY ord, pid, role) AS actor_roles
-  FROM acts_in GROUP BY mid),
+  FROM raw_acts GROUP BY mid),
 movie_docs AS (
   SELECT 'movie' AS doc_type, name, year, rank, id AS movie_id,
          director_ids, actor_ids, actor_roles
-  FROM movies LEFT JOIN heads ON heads.mid = movies.id
-              LEFT JOIN cast_lists ON cast_lists.mid = movies.id),
-anchor AS (SELECT min(movie_id) AS movie_id FROM movie_docs WHERE name = '%s')
-""" % NAMED_MOVIE
+  FROM raw_movies LEFT JOIN heads ON heads.mid = raw_movies.id
+                  LEFT JOIN cast_lists ON cast_lists.mid = raw_movies.id),
+anchor AS (SELECT min(id) AS movie_id FROM raw_movies WHERE name = '%s')
+""" % PM.NAMED_MOVIE
+)
 
 ORACLE = {
-    "movie_documents": _LOADED + _LISTS + "SELECT * FROM movie_docs",
-    "director_documents": _LOADED
-    + _LISTS
+    "movie_documents": _DOCS + "SELECT * FROM movie_docs",
+    "director_documents": _DOCS
     + """
 SELECT 'director' AS doc_type, d.fname AS first_name, d.lname AS last_name,
        f.did AS director_id, f.movie_ids
-FROM (SELECT did, string_agg(CAST(mid AS VARCHAR), ',' ORDER BY mid) AS movie_ids
-      FROM directs GROUP BY did) f
-LEFT JOIN directors d ON d.id = f.did""",
-    "person_documents": _LOADED
-    + _LISTS
+FROM (SELECT did, string_agg(CAST(mid AS VARCHAR), ',' ORDER BY ord, mid) AS movie_ids
+      FROM raw_directs_o GROUP BY did) f
+LEFT JOIN raw_directors d ON d.id = f.did""",
+    "person_documents": _DOCS
     + """
 SELECT 'person' AS doc_type, p.fname AS first_name, p.lname AS last_name, p.gender,
        p.id AS person_id, f.movie_ids, f.movie_roles
-FROM persons p LEFT JOIN (
+FROM raw_persons p LEFT JOIN (
   SELECT pid,
     string_agg(CAST(mid AS VARCHAR), ',' ORDER BY ord, mid, role) AS movie_ids,
     string_agg(coalesce(trim(role, '[]'), ''), ',' ORDER BY ord, mid, role) AS movie_roles
-  FROM acts_in GROUP BY pid) f ON f.pid = p.id""",
-    "related_directors": _LOADED
-    + _LISTS
+  FROM raw_acts GROUP BY pid) f ON f.pid = p.id""",
+    "related_directors": _DOCS
     + """
-SELECT d.id AS director_id, d.fname AS first_name, d.lname AS last_name
-FROM directors d
-WHERE d.id IN (SELECT did FROM directs WHERE mid = (SELECT movie_id FROM anchor))""",
-    "related_actors": _LOADED
-    + _LISTS
+SELECT f.did AS director_id, d.fname AS first_name, d.lname AS last_name
+FROM (SELECT DISTINCT did FROM raw_directs_o
+      WHERE did IN (SELECT did FROM raw_directs_o WHERE mid = (SELECT movie_id FROM anchor))) f
+LEFT JOIN raw_directors d ON d.id = f.did""",
+    "related_actors": _DOCS
     + """
 SELECT p.id AS person_id, p.fname AS first_name, p.lname AS last_name, p.gender
-FROM persons p
-WHERE p.id IN (SELECT pid FROM acts_in WHERE mid = (SELECT movie_id FROM anchor))""",
+FROM raw_persons p
+WHERE p.id IN (SELECT pid FROM raw_acts WHERE mid = (SELECT movie_id FROM anchor))""",
 }
