@@ -20,6 +20,15 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def pearson_r2(y: Column | str, x: Column | str) -> Column:
+    """M4 / M8: squared Pearson correlation as an aggregate,
+    ``Sxy^2 / (Sxx * Syy)`` over the complete pairs; NULL when either side has
+    no spread (Spark's ``corr`` raises a division by zero there under ANSI)."""
+    yc, xc = _c(y), _c(x)
+    sxy = F.regr_sxy(yc, xc)
+    return F.try_divide(sxy * sxy, F.regr_sxx(yc, xc) * F.regr_syy(yc, xc))
+
+
 def zscore(df: DataFrame, col: str, by: Sequence[str] = (), name: str | None = None) -> DataFrame:
     """``(x - mean) / sample std`` over the whole frame or per ``by`` group.
 
@@ -30,7 +39,7 @@ def zscore(df: DataFrame, col: str, by: Sequence[str] = (), name: str | None = N
     stats = df.groupBy(*by).agg(F.avg(col).alias("_mean"), F.stddev_samp(col).alias("_std"))
     joined = df.join(stats, by, "left") if by else df.crossJoin(F.broadcast(stats))
     return joined.withColumn(
-        name or f"{col}_norm", (F.col(col) - F.col("_mean")) / F.col("_std")
+        name or f"{col}_norm", F.try_divide(F.col(col) - F.col("_mean"), F.col("_std"))
     ).drop("_mean", "_std")
 
 
@@ -51,20 +60,24 @@ def ols(df: DataFrame, x: str, y: str) -> DataFrame:
         F.regr_sxy(y, x).alias("sxy"),
         F.regr_avgx(y, x).alias("x_mean"),
     )
-    sse = F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")
-    dof = F.col("n") - F.lit(2)
-    sigma2 = sse / dof
+    # Degenerate fits (n <= 2, constant x, a perfect fit) give NULL, not an error.
+    div = F.try_divide
+    sse = F.col("syy") - div(F.col("sxy") * F.col("sxy"), F.col("sxx"))
+    sigma2 = div(sse, (F.col("n") - F.lit(2)).cast("double"))
     return (
         s.withColumn("sse", sse)
         .withColumn("sigma", F.sqrt(sigma2))
-        .withColumn("se_slope", F.sqrt(sigma2 / F.col("sxx")))
+        .withColumn("se_slope", F.sqrt(div(sigma2, F.col("sxx"))))
         .withColumn(
             "se_intercept",
-            F.sqrt(sigma2 * (F.lit(1.0) / F.col("n") + F.col("x_mean") * F.col("x_mean") / F.col("sxx"))),
+            F.sqrt(
+                sigma2
+                * (div(F.lit(1.0), F.col("n")) + div(F.col("x_mean") * F.col("x_mean"), F.col("sxx")))
+            ),
         )
-        .withColumn("t_slope", F.col("slope") / F.col("se_slope"))
-        .withColumn("t_intercept", F.col("intercept") / F.col("se_intercept"))
-        .withColumn("f_stat", (F.col("syy") - F.col("sse")) / sigma2)
+        .withColumn("t_slope", div(F.col("slope"), F.col("se_slope")))
+        .withColumn("t_intercept", div(F.col("intercept"), F.col("se_intercept")))
+        .withColumn("f_stat", div(F.col("syy") - F.col("sse"), sigma2))
     )
 
 
@@ -80,8 +93,8 @@ def ols_predict(df: DataFrame, x: str, y: str, level: float = 0.95) -> DataFrame
         * F.col("sigma")
         * F.sqrt(
             F.lit(1.0)
-            + F.lit(1.0) / F.col("n")
-            + F.pow(F.col(x) - F.col("x_mean"), 2) / F.col("sxx")
+            + F.try_divide(F.lit(1.0), F.col("n"))
+            + F.try_divide(F.pow(F.col(x) - F.col("x_mean"), 2), F.col("sxx"))
         )
     )
     fitted = F.col("intercept") + F.col("slope") * F.col(x)
@@ -177,7 +190,7 @@ def fit_table(df: DataFrame, x: str, y: str, degrees: Sequence[int]) -> DataFram
         "y", *[polyeval(list(scaled[d][::-1]), u).alias(f"p{d}") for d in degrees]
     )
     metrics = preds.agg(
-        *[F.corr("y", f"p{d}").alias(f"c{d}") for d in degrees],
+        *[pearson_r2("y", f"p{d}").alias(f"c{d}") for d in degrees],
         *[F.avg(F.pow(F.col("y") - F.col(f"p{d}"), 2)).alias(f"m{d}") for d in degrees],
     )
     rows = F.array(
@@ -185,7 +198,7 @@ def fit_table(df: DataFrame, x: str, y: str, degrees: Sequence[int]) -> DataFram
             F.struct(
                 F.lit(d).alias("degree"),
                 F.array(*[F.lit(v) for v in _to_raw(scaled[d], mid, half)]).alias("coefficients"),
-                F.pow(F.col(f"c{d}"), 2).alias("r_squared"),
+                F.col(f"c{d}").alias("r_squared"),
                 F.col(f"m{d}").alias("mse"),
                 F.sqrt(F.col(f"m{d}")).alias("rmse"),
             )
@@ -204,14 +217,15 @@ def linear_trends(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
     g = pairs.groupBy(group).agg(
         F.regr_slope(y, x).alias("slope"),
         F.regr_intercept(y, x).alias("intercept"),
-        F.pow(F.corr(y, x), 2).alias("r_squared"),
+        pearson_r2(y, x).alias("r_squared"),
         F.stddev_pop(y).alias("stdev"),
         F.regr_count(y, x).alias("n"),
         F.regr_sxx(y, x).alias("_sxx"),
         F.regr_syy(y, x).alias("_syy"),
         F.regr_sxy(y, x).alias("_sxy"),
     )
-    mse = (F.col("_syy") - F.col("_sxy") * F.col("_sxy") / F.col("_sxx")) / F.col("n")
+    sse = F.col("_syy") - F.try_divide(F.col("_sxy") * F.col("_sxy"), F.col("_sxx"))
+    mse = F.try_divide(sse, F.col("n").cast("double"))
     return (
         g.withColumn("mse", mse)
         .withColumn("rmse", F.sqrt("mse"))

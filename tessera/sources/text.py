@@ -181,13 +181,15 @@ def read_meter_csv(
 ) -> DataFrame:
     """Headerless CSV; the stamp and the kWh reading are taken by position.
 
-    One-letter month/day/hour fields accept padded and unpadded numbers.
+    One-letter month/day/hour fields accept padded and unpadded numbers. An
+    empty or non-numeric reading is NULL (``cast('' as double)`` would raise under
+    ANSI); a malformed stamp fails the read.
     """
     raw = spark.read.option("header", "false").csv(path)
     return nan_to_null(
         raw.select(
             F.to_timestamp_ntz(F.col(f"_c{ts_index}"), F.lit(ts_format)).alias("ts"),
-            F.col(f"_c{value_index}").cast("double").alias("kwh"),
+            F.col(f"_c{value_index}").try_cast("double").alias("kwh"),
         )
     )
 

@@ -100,3 +100,9 @@ def test_text_nan_becomes_null(spark, tmp_dir):
     assert [r.kwh for r in df.orderBy("ts").collect()] == [None, 2.5]
     ranks = _write(tmp_dir, "r.txt", ["0 nan", "1 0.5"], "utf-8")
     assert sorted((r.vertex, r.rank) for r in T.read_ranks(spark, ranks).collect()) == [(0, None), (1, 0.5)]
+
+
+def test_meter_csv_empty_reading_is_null(spark, tmp_dir):
+    path = _write(tmp_dir, "e.csv", ["a,b,c,1/5/2022 1:00:00 AM,x,", "a,b,c,1/5/2022 2:00:00 AM,x,3"], "utf-8")
+    got = [r.kwh for r in T.read_meter_csv(spark, path).orderBy("ts").collect()]
+    assert got == [None, 3.0]
