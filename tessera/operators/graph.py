@@ -67,16 +67,17 @@ def page_rank(
     """G1: ranks ``(vertex, rank)`` after ``iterations`` steps, normalised by n.
 
     The co-partitioned layout uses ``partitions`` hash partitions, by default one
-    per ``edges_per_partition`` edges, capped by ``spark.sql.shuffle.partitions``
-    (the iterations run with AQE off, so nothing would coalesce a too-wide
-    layout for a small graph).
+    per ``edges_per_partition`` edges but at least one per core of the cluster,
+    capped by ``spark.sql.shuffle.partitions`` (the iterations run with AQE off,
+    so nothing would coalesce a too-wide layout for a small graph).
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
     e = edges.select(F.col("src").cast("long"), F.col("dst").cast("long"))
     n_edges = e.count()
     widest = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = partitions or max(1, min(widest, math.ceil(n_edges / edges_per_partition)))
+    cores = spark.sparkContext.defaultParallelism
+    parts = partitions or max(1, min(widest, max(cores, math.ceil(n_edges / edges_per_partition))))
 
     deg = out_degrees(e)
     table = checkpoint_keyed(
