@@ -74,22 +74,23 @@ def page_rank(
     spark = edges.sparkSession
     checkpoint_dir(spark)
     e = edges.select(F.col("src").cast("long"), F.col("dst").cast("long"))
-    n_edges = e.count()
     widest = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
-    parts = partitions or max(1, min(widest, max(cores, math.ceil(n_edges / edges_per_partition))))
+    first = partitions or max(1, min(widest, spark.sparkContext.defaultParallelism))
 
     deg = out_degrees(e)
     table = checkpoint_keyed(
         vertices(e)
         .join(deg.withColumnRenamed("src", "vertex"), "vertex", "left")
         .withColumn("rank", F.lit(1.0)),
-        parts,
+        first,
         "vertex",
     )
-    n = table.count()
+    n, n_edges = table.agg(F.count(F.lit(1)), F.coalesce(F.sum("deg"), F.lit(0))).first()
     if n == 0:
         return table.select("vertex", "rank")
+    parts = partitions or max(first, min(widest, math.ceil(n_edges / edges_per_partition)))
+    if parts != first:  # a large graph: widen the (small) vertex table to the edge layout
+        table = checkpoint_keyed(table, parts, "vertex")
 
     # Hubs: bounded count, broadcast; the rest: co-partitioned with the vertices.
     threshold = max(hub_degree, math.ceil(n_edges / max_broadcast_hubs))

@@ -81,3 +81,16 @@ def test_rank_queries_and_text_round_trip(spark, tmp_dir):
     )
     joined = sorted(tuple(r) for r in G.label_ranks(labels, back).collect())
     assert [(v, p) for v, p, _ in joined] == [(0, "Adam"), (1, "Lisa"), (2, "Bert"), (3, "Ralph")]
+
+
+def test_wider_layout_for_large_graph(spark):
+    edges = [(0, i) for i in range(1, 12)] + [(i, 0) for i in range(1, 8)] + [(3, 5), (5, 9)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = _ranks(G.page_rank(df, edges_per_partition=1))  # 20 edges -> widened to 16
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    for v, x in brute_force(edges).items():
+        assert got[v] == pytest.approx(x, abs=1e-12)
