@@ -138,27 +138,17 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     reused), so the input is read once.
     """
     values = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    ext = values.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    ext = ext.select(
-        F.when(F.col("_lo") == F.col("_hi"), F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
-        F.when(F.col("_lo") == F.col("_hi"), F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"),
-    )
-    scale = F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))
-    idx = F.least(F.floor((F.col(col) - F.col("_lo")) * scale), F.lit(bins - 1)) + 1
-    counts = (
-        values.crossJoin(F.broadcast(ext))
-        .groupBy(idx.cast("int").alias("bin"))
-        .agg(F.sum("_c").alias("count"))
-    )
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
+    mn = values.select(F.min(col)).scalar()
+    mx = values.select(F.max(col)).scalar()
+    lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
+    hi = F.when(mn == mx, mx + 0.5).otherwise(mx)
+    idx = F.least(F.floor((F.col(col) - lo) * (F.lit(float(bins)) / (hi - lo))), F.lit(bins - 1)) + 1
+    counts = values.groupBy(idx.cast("int").alias("bin")).agg(F.sum("_c").alias("count"))
+    width = (hi - lo) / F.lit(float(bins))
     spine = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    return (
-        spine.crossJoin(F.broadcast(ext))
-        .join(counts, "bin", "left")
-        .select(
-            "bin",
-            (F.col("_lo") + (F.col("bin") - 1) * width).alias("bin_lo"),
-            (F.col("_lo") + F.col("bin") * width).alias("bin_hi"),
-            F.coalesce("count", F.lit(0)).alias("count"),
-        )
+    return spine.join(counts, "bin", "left").select(
+        "bin",
+        (lo + (F.col("bin") - 1) * width).alias("bin_lo"),
+        (lo + F.col("bin") * width).alias("bin_hi"),
+        F.coalesce("count", F.lit(0)).alias("count"),
     )

@@ -11,7 +11,8 @@ Semantics (matching the reference):
 Plan (per iteration, nothing collected):
 
 * The dangling vertices' links are never materialised: their mass
-  ``sum(r_d) / n`` is one global aggregate (one row) added to every vertex.
+  ``sum(r_d) / n`` is one global aggregate (a scalar subquery) added to every
+  vertex.
 * Edges are written once, hash-partitioned by source, with the vertex table
   partitioned the same way, so the rank-to-edge join needs no edge shuffle.
   Only the per-destination sum shuffles (with map-side partial sums).
@@ -117,20 +118,17 @@ def page_rank(
                 hub_edges.join(F.broadcast(hub_share), "src").select("dst", "share")
             )
         incoming = contrib.groupBy(F.col("dst").alias("vertex")).agg(F.sum("share").alias("inflow"))
-        dangling = table.filter(F.col("deg").isNull()).agg(
-            (F.coalesce(F.sum("rank"), F.lit(0.0)) / F.lit(float(n))).alias("dmass")
+        dmass = (
+            table.filter(F.col("deg").isNull())
+            .select(F.coalesce(F.sum("rank"), F.lit(0.0)) / F.lit(float(n)))
+            .scalar()
         )
-        table = (
-            table.join(incoming, "vertex", "left")
-            .crossJoin(F.broadcast(dangling))
-            .select(
-                "vertex",
-                "deg",
-                (
-                    F.lit(BASE)
-                    + F.lit(DAMPING) * (F.coalesce(F.col("inflow"), F.lit(0.0)) + F.col("dmass"))
-                ).alias("rank"),
-            )
+        table = table.join(incoming, "vertex", "left").select(
+            "vertex",
+            "deg",
+            (
+                F.lit(BASE) + F.lit(DAMPING) * (F.coalesce(F.col("inflow"), F.lit(0.0)) + dmass)
+            ).alias("rank"),
         )
         if checkpoint_every and (step % checkpoint_every == 0 or step == iterations):
             table = checkpoint_keyed(table, parts)
@@ -144,12 +142,10 @@ def rank_of(ranks: DataFrame, vertex: int) -> DataFrame:
 
 
 def max_rank(ranks: DataFrame) -> DataFrame:
-    """Every vertex whose rank equals the maximum (ties all returned).
-
-    The maximum is a one-row aggregate joined back by value.
-    """
-    top = ranks.agg(F.max("rank").alias("rank"))
-    return ranks.join(F.broadcast(top), "rank").select("vertex", "rank")
+    """Every vertex whose rank equals the maximum (ties all returned); the
+    maximum is a scalar subquery, as in ``WHERE rank = (SELECT MAX(rank) ...)``."""
+    top = ranks.select(F.max("rank")).scalar()
+    return ranks.filter(F.col("rank") == top).select("vertex", "rank")
 
 
 def label_ranks(labels: DataFrame, ranks: DataFrame) -> DataFrame:

@@ -32,15 +32,21 @@ def pearson_r2(y: Column | str, x: Column | str) -> Column:
 def zscore(df: DataFrame, col: str, by: Sequence[str] = (), name: str | None = None) -> DataFrame:
     """``(x - mean) / sample std`` over the whole frame or per ``by`` group.
 
-    The statistics are an aggregate joined back (a one-row broadcast for the
-    global form), never a window over one partition.
+    The global statistics are scalar subqueries (one aggregate, evaluated once);
+    per group they are an aggregate joined back on the keys. Never a window over
+    one partition.
     """
     by = list(by)
+    out = name or f"{col}_norm"
+    if not by:
+        mean = df.select(F.avg(col)).scalar()
+        std = df.select(F.stddev_samp(col)).scalar()
+        return df.withColumn(out, F.try_divide(F.col(col) - mean, std))
     stats = df.groupBy(*by).agg(F.avg(col).alias("_mean"), F.stddev_samp(col).alias("_std"))
-    joined = df.join(stats, by, "left") if by else df.crossJoin(F.broadcast(stats))
-    return joined.withColumn(
-        name or f"{col}_norm", F.try_divide(F.col(col) - F.col("_mean"), F.col("_std"))
-    ).drop("_mean", "_std")
+    joined = df.join(stats, by, "left")
+    return joined.withColumn(out, F.try_divide(F.col(col) - F.col("_mean"), F.col("_std"))).drop(
+        "_mean", "_std"
+    )
 
 
 def ols(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -84,26 +90,27 @@ def ols(df: DataFrame, x: str, y: str) -> DataFrame:
 def ols_predict(df: DataFrame, x: str, y: str, level: float = 0.95) -> DataFrame:
     """M2: fitted values and the ``level`` observation (prediction) interval
     ``yhat -/+ t * s * sqrt(1 + 1/n + (x - xbar)^2 / Sxx)`` for every row."""
-    fit = ols(df, x, y)
-    n = fit.select("n").first()["n"]
+    fit = ols(df, x, y).first()  # one row of fixed size
+    n = fit["n"]
     t = t_quantile(1.0 - (1.0 - level) / 2.0, float(n) - 2.0) if n and n > 2 else float("nan")
-    f = fit.select("n", "slope", "intercept", "sigma", "x_mean", "sxx")
+
+    def lit(v):
+        return F.lit(v).cast("double")
+
     half = (
         F.lit(t)
-        * F.col("sigma")
+        * lit(fit["sigma"])
         * F.sqrt(
             F.lit(1.0)
-            + F.try_divide(F.lit(1.0), F.col("n"))
-            + F.try_divide(F.pow(F.col(x) - F.col("x_mean"), 2), F.col("sxx"))
+            + F.try_divide(F.lit(1.0), lit(n))
+            + F.try_divide(F.pow(F.col(x) - lit(fit["x_mean"]), 2), lit(fit["sxx"]))
         )
     )
-    fitted = F.col("intercept") + F.col("slope") * F.col(x)
+    fitted = lit(fit["intercept"]) + lit(fit["slope"]) * F.col(x)
     return (
-        df.crossJoin(F.broadcast(f))
-        .withColumn("fitted", fitted)
+        df.withColumn("fitted", fitted)
         .withColumn("obs_ci_lower", F.col("fitted") - half)
         .withColumn("obs_ci_upper", F.col("fitted") + half)
-        .drop("n", "slope", "intercept", "sigma", "x_mean", "sxx")
     )
 
 

@@ -123,15 +123,12 @@ def covering(
 ) -> DataFrame:
     """Rows of ``df`` whose [start, end] covers ``min..max`` of ``reference``.
 
-    The extent is a one-row global aggregate (its size is fixed at one row), so
-    the cross join with it is a broadcast nested-loop join of a single row.
+    The extent is two scalar subqueries over one global aggregate (Spark merges
+    them), evaluated once and compared row by row; no join.
     """
-    extent = reference.agg(F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi"))
-    return (
-        df.crossJoin(F.broadcast(extent))
-        .filter((F.col(start_col) <= F.col("_lo")) & (F.col(end_col) >= F.col("_hi")))
-        .drop("_lo", "_hi")
-    )
+    lo = reference.select(F.min(ts_col)).scalar()
+    hi = reference.select(F.max(ts_col)).scalar()
+    return df.filter((F.col(start_col) <= lo) & (F.col(end_col) >= hi))
 
 
 def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

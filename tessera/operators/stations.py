@@ -65,21 +65,15 @@ def nearest_covering(
 def earliest_among_closest(near: DataFrame, start: str = "hourly_start") -> DataFrame:
     """P10 + A6: among stations no farther than the median distance, the one
     with the earliest record."""
-    med = near.agg(F.percentile("distance", 0.5).alias("_med"))
-    close = near.crossJoin(F.broadcast(med)).filter(F.col("distance") <= F.col("_med"))
-    return arg_min(close, "station", start)
+    med = near.select(F.percentile("distance", 0.5)).scalar()
+    return arg_min(near.filter(F.col("distance") <= med), "station", start)
 
 
 def older_than_average(catalogue: DataFrame, start: str = "daily_start") -> DataFrame:
     """Stations whose record starts before the average start, oldest first."""
     secs = F.unix_timestamp(F.col(start).cast("timestamp"))
-    mean = catalogue.agg(F.avg(secs).alias("_mean"))
-    return (
-        catalogue.crossJoin(F.broadcast(mean))
-        .filter(secs < F.col("_mean"))
-        .drop("_mean")
-        .orderBy(start, "station")
-    )
+    mean = catalogue.select(F.avg(secs)).scalar()
+    return catalogue.filter(secs < mean).orderBy(start, "station")
 
 
 def year_extent(catalogue: DataFrame, start: str = "daily_start", end: str = "daily_end") -> DataFrame:

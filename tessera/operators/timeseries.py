@@ -143,18 +143,14 @@ def hdd_by_period(
 
 def weekly_hdd_rule(weekly: DataFrame, hdd: str = "hdd", label: str = "label") -> DataFrame:
     """The first week has no predecessor and gets NULL; a zero weekly
-    total becomes NULL. The first label is a one-row global aggregate joined
-    back, not a single-partition window."""
-    first = weekly.agg(F.min(label).alias("_first"))
-    return (
-        weekly.crossJoin(F.broadcast(first))
-        .withColumn(
-            hdd,
-            F.when(F.col(label) == F.col("_first"), F.lit(None).cast("double")).otherwise(
-                F.nullif(F.col(hdd), F.lit(0.0))
-            ),
-        )
-        .drop("_first")
+    total becomes NULL. The first label is a scalar subquery (a global
+    aggregate evaluated once), not a single-partition window."""
+    first = weekly.select(F.min(label)).scalar()
+    return weekly.withColumn(
+        hdd,
+        F.when(F.col(label) == first, F.lit(None).cast("double")).otherwise(
+            F.nullif(F.col(hdd), F.lit(0.0))
+        ),
     )
 
 
@@ -174,13 +170,10 @@ def quantile_threshold(df: DataFrame, col: str, q: float, approx: bool = False)
 
 
 def coldest_days(daily: DataFrame, mean_col: str, q: float = 0.05, day: str = "label") -> DataFrame:
-    """Days whose mean temperature is at or below the ``q`` quantile."""
-    thr = quantile_threshold(daily, mean_col, q)
-    return (
-        daily.crossJoin(F.broadcast(thr))
-        .filter(F.col(mean_col) <= F.col("threshold"))
-        .select(F.col(day).alias("date"))
-    )
+    """Days whose mean temperature is at or below the ``q`` quantile (the
+    threshold is a scalar subquery)."""
+    thr = quantile_threshold(daily, mean_col, q).scalar()
+    return daily.filter(F.col(mean_col) <= thr).select(F.col(day).alias("date"))
 
 
 def coldest_day_profiles(
