@@ -51,7 +51,7 @@ def clean_articles(raw: DataFrame, as_of_year: int) -> DataFrame:
     before the first whitespace and the first four digits.
     """
     parts = tx.split_publication("publication_info")
-    vy = F.col("_p")[1]
+    vy = F.get("_p", 1)
     prefix = r"(?U)^(.*?)\s+(\d{4})"
     has_prefix = vy.rlike(prefix)
     venue = F.when(has_prefix, F.regexp_extract(vy, prefix, 1)).otherwise(
@@ -68,13 +68,13 @@ def clean_articles(raw: DataFrame, as_of_year: int) -> DataFrame:
     ).filter(F.size("_p") == 3)
     out = staged.select(
         "title",
-        F.col("_p")[0].alias("authors"),
+        F.get("_p", 0).alias("authors"),
         year_text.try_cast("int").alias("year"),
         venue.alias("venue"),
-        F.col("_p")[2].alias("publisher"),
+        F.get("_p", 2).alias("publisher"),
         "_n",
     ).filter(F.col("year").isNotNull() & (F.size("_n") == 1))
-    count = F.col("_n")[0].try_cast("int")
+    count = F.get("_n", 0).try_cast("int")
     return out.select(
         "title",
         "authors",
