@@ -133,9 +133,10 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     (a value equal to the maximum counts in the last bin); every bin is listed.
     Bins are numbered from 1.
 
-    The column is first reduced to ``(value, count)``; the extent and the bin
-    counts are both computed from that one grouped result (its exchange is
-    reused), so the input is read once.
+    Two passes, as any equal-width histogram needs: the extent (one scalar
+    subquery; Spark merges the min and max into a single aggregate, evaluated
+    once), then the bin counts, taken over the column reduced to
+    ``(value, count)`` so the bin shuffle carries one row per distinct value.
     """
     values = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
     mn = values.select(F.min(col)).scalar()
