@@ -19,6 +19,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     labels = materialize(
         edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels"
     )
+    if not labels.limit(1).count():
+        return labels
     while True:
         seen = edges.join(labels, edges["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("m"))
         near = labels.join(seen, labels["node"] == seen["a"]).select("node", F.least("label", "m").alias("n"), F.col("label").alias("was"))

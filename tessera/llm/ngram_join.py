@@ -11,7 +11,9 @@
 4. A bucket first pairs all its groups with one hub (the group with the most frequent
    prefix); what that connects is one component. Only groups of different components
    that still share a bucket are paired in full, so a large family of copies costs a
-   star, not all its pairs, and no link between components is lost.
+   star, not all its pairs, and no link between components is lost. Large buckets that
+   the star does not settle are compared block by block on the whole sets, where only
+   links that join components leave a task.
 
 Nodes are 64-bit digests of the sets. Results for odd input: a null or empty text, or one
 without words, has an empty set and is linked with nothing; a text with fewer words than
@@ -38,6 +40,13 @@ SHARED = 3
 FREQUENT = 24
 #: ... if it is among this many most frequent ones (the list is broadcast).
 FREQUENT_LIST = 300_000
+#: Buckets of at most this many groups pair them in full; the groups of larger ones that
+#: hold several components form families, which are compared block by block.
+PAIRED_IN_FULL = 64
+#: Member pairs up to which a group pair is expanded; larger ones form families too.
+EXPANDED_IN_FULL = 4096
+#: Bytes of sets in one block of a family.
+BLOCK_BYTES = 4 << 20
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
@@ -217,39 +226,123 @@ def links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
     found = materialize(verified(spread.union(within), docs, one_doc, k, percent), "links")
     labels = connected_components(found)
 
-    def groups_labelled(labels: DataFrame) -> DataFrame:
-        """``gid, lo, hi``: the smallest and largest component in each group."""
-        known = members.join(labels.select(F.col("node").alias("l_node"), "label"), F.col("node") == F.col("l_node"), "left")
-        return known.select("gid", "node", F.coalesce("label", "node").alias("label"))
-
-    placed = materialize(groups_labelled(labels), "placed")
-    span = placed.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).select(F.col("gid").alias("p_gid"), "lo", "hi")
-    known = buckets.select("t", "gid", "n").join(span, F.col("gid") == F.col("p_gid")).select("t", "gid", "n", "lo", "hi")
+    placed = members.join(labels.select(F.col("node").alias("l_node"), "label"), F.col("node") == F.col("l_node"), "left")
+    placed = materialize(placed.select("gid", "node", "n", F.coalesce("label", "node").alias("label")), "placed")
+    span = placed.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
+    span = materialize(span.withColumnRenamed("gid", "p_gid"), "span")
+    known = buckets.select("t", "gid", "n").join(span, F.col("gid") == F.col("p_gid")).drop("p_gid")
     known = materialize(known, "known")
-    mixed = known.groupBy("t").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l <> h").select(F.col("t").alias("m_t"))
-    rest = known.join(mixed, F.col("t") == F.col("m_t"), "left_semi")
-    x, y = (rest.select(*(F.col(c).alias(f"{s}_{c}") for c in ("t", "gid", "n", "lo", "hi"))) for s in "xy")
+    mixed = known.groupBy("t").agg(F.min("lo").alias("l"), F.max("hi").alias("h"), F.min("gid").alias("lead"), F.count("*").alias("c"))
+    mixed = materialize(mixed.filter("l <> h").select(F.col("t").alias("m_t"), "lead", "c"), "mixed")
+    few = known.join(mixed.filter(F.col("c") <= PAIRED_IN_FULL), F.col("t") == F.col("m_t"), "left_semi")
+    many = known.join(mixed.filter(F.col("c") > PAIRED_IN_FULL), F.col("t") == F.col("m_t")).select(F.col("lead").alias("a"), F.col("gid").alias("b"))
+    x, y = (few.select(*(F.col(c).alias(f"{s}_{c}") for c in ("t", "gid", "n", "lo", "hi", "m"))) for s in "xy")
     settled = (F.col("x_lo") == F.col("x_hi")) & (F.col("y_lo") == F.col("y_hi")) & (F.col("x_lo") == F.col("y_lo"))
     pairs = (
         x.join(y, (F.col("x_t") == F.col("y_t")) & (F.col("x_gid") < F.col("y_gid")) & similar_size("x_n", "y_n") & ~settled)
-        .groupBy("x_gid", "y_gid", "x_n", "y_n").count().filter(enough("x_n", "y_n")).select("x_gid", "y_gid")
+        .groupBy("x_gid", "y_gid", "x_n", "y_n", "x_m", "y_m").count()
+    )
+    pairs = materialize(pairs, "group-pairs")
+    wide = (F.col("x_m") * F.col("y_m") > EXPANDED_IN_FULL) & enough("x_n", "y_n")
+    torn = span.filter("lo <> hi").select(F.col("p_gid").alias("a"), F.col("p_gid").alias("b"))
+    kin = many.union(pairs.filter(wide).select("x_gid", "y_gid")).union(torn)
+    families = connected_components(kin).select(F.col("node").alias("f_gid"), F.col("label").alias("family"))
+    families = materialize(families, "families")
+
+    f1, f2 = (families.select(F.col("f_gid").alias(f"{s}_f_gid"), F.col("family").alias(f"{s}_f")) for s in "xy")
+    apart = (
+        pairs.filter(enough("x_n", "y_n")).join(f1, F.col("x_gid") == F.col("x_f_gid"), "left").join(f2, F.col("y_gid") == F.col("y_f_gid"), "left")
+        .filter(F.coalesce(F.col("x_f") != F.col("y_f"), F.lit(True))).select("x_gid", "y_gid")
     )
-    torn = span.filter("lo <> hi").select(F.col("p_gid").alias("x_gid"), F.col("p_gid").alias("y_gid"))
     a = placed.select(F.col("gid").alias("a_gid"), F.col("node").alias("a"), F.col("label").alias("a_label"))
     b = placed.select(F.col("gid").alias("b_gid"), F.col("node").alias("b"), F.col("label").alias("b_label"))
     cross = (
-        pairs.union(torn).join(a, F.col("x_gid") == F.col("a_gid"))
-        .join(b, (F.col("y_gid") == F.col("b_gid")) & (F.col("a_label") != F.col("b_label")) & ((F.col("x_gid") != F.col("y_gid")) | (F.col("a") < F.col("b"))))
-        .select("a", "b")
+        apart.join(a, F.col("x_gid") == F.col("a_gid"))
+        .join(b, (F.col("y_gid") == F.col("b_gid")) & (F.col("a_label") != F.col("b_label"))).select("a", "b")
     )
-    tested = spread.select(F.col("a").alias("t_a"), F.col("b").alias("t_b"))
-    untested = cross.join(tested, (F.least("a", "b") == F.least("t_a", "t_b")) & (F.greatest("a", "b") == F.greatest("t_a", "t_b")), "left_anti")
-    more = materialize(verified(untested, docs, one_doc, k, percent), "links")
+    more = materialize(verified(cross, docs, one_doc, k, percent), "links")
+    relatives = placed.join(families, F.col("gid") == F.col("f_gid")).select("family", "node", "n", "label")
+    more = more.union(materialize(family_links(relatives, docs, one_doc, k, percent), "links"))
     if not more.limit(1).count():
         return labels
     return connected_components(found.union(more))
 
 
+def linked_across(nodes: list, labels: list, sets: list[np.ndarray], at: int, percent: int) -> list[tuple[int, int]]:
+    """Links between sets ``[:at]`` and ``[at:]`` (among all if ``at`` is 0) that join
+    two components; links that the ones before make superfluous are left out."""
+    top: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while top.get(v, v) != v:
+            top[v] = v = top.get(top[v], top[v])
+        return v
+
+    sizes = np.array([len(s) for s in sets], np.int64)
+    rest = sets[at:]
+    if not rest or not sets:
+        return []
+    tokens, owner = np.concatenate(rest), np.repeat(np.arange(len(rest)), sizes[at:])
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], owner[order]
+    out = []
+    for i in range(at or len(sets)):
+        lo, hi = np.searchsorted(tokens, sets[i], "left"), np.searchsorted(tokens, sets[i], "right")
+        many = hi - lo
+        spots = np.repeat(hi - np.cumsum(many), many) + np.arange(many.sum())
+        common = np.bincount(owner[spots], minlength=len(rest))
+        for j in np.flatnonzero(100 * common >= percent * (sizes[i] + sizes[at:] - common)):
+            p, q = find(labels[i]), find(labels[at + int(j)])
+            if p != q:
+                top[max(p, q)] = min(p, q)
+                out.append((nodes[i], nodes[at + int(j)]))
+    return out
+
+
+def family_links(relatives: DataFrame, docs: DataFrame, one_doc: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between different components of a family (``family, node, n, label``).
+
+    Sizes of linked sets differ by at most the threshold, so they lie in the same or
+    neighbouring size classes. Each class is cut by hash into blocks of bounded bytes,
+    and every task compares two blocks; nothing holds a family whole.
+    """
+    width = float(np.log(100 / percent)) or 1.0
+    sized = materialize(relatives.withColumn("cls", F.floor(F.log("n") / width + F.lit(1e-9)).cast("bigint")), "relatives")
+    blocks = sized.groupBy("family", "cls").agg(F.ceil(F.sum("n") * 8 / BLOCK_BYTES).cast("bigint").alias("parts"))
+    own, near = (blocks.select(F.col("family").alias(f"{s}_fam"), F.col("cls").alias(f"{s}_cls"), F.col("parts").alias(f"{s}_parts")) for s in "on")
+    cut = sized.join(own, (F.col("family") == F.col("o_fam")) & (F.col("cls") == F.col("o_cls")))
+    cut = cut.withColumn("part", F.pmod(F.xxhash64("node"), F.col("o_parts")))
+    # a block meets the blocks of its own class and of the next: keys name the lower block first
+    same = cut.select(
+        "family", "cls", F.lit(0).alias("step"), "node", "label", "part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("o_parts") - 1)).alias("other")
+    ).select(
+        "family", "cls", "step", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+        (F.col("part") > F.col("other")).cast("int").alias("side"), "node", "label",
+    )
+    upper = cut.join(near, (F.col("family") == F.col("n_fam")) & (F.col("cls") + 1 == F.col("n_cls"))).select(
+        "family", "cls", F.lit(1).alias("step"), F.col("part").alias("i"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_parts") - 1)).alias("j"), F.lit(0).alias("side"), "node", "label",
+    )
+    lower = cut.join(near, (F.col("family") == F.col("n_fam")) & (F.col("cls") - 1 == F.col("n_cls"))).select(
+        "family", F.col("n_cls").alias("cls"), F.lit(1).alias("step"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_parts") - 1)).alias("i"), F.col("part").alias("j"), F.lit(1).alias("side"), "node", "label",
+    )
+    sets = full_sets(docs, sized.select(F.col("node").alias("w")), one_doc, k).dropDuplicates(["node"])
+    sets = materialize(sets.select(F.col("node").alias("s_node"), "h"), "sets")
+    dealt = same.unionByName(upper).unionByName(lower).join(sets, F.col("node") == F.col("s_node")).drop("s_node")
+
+    def compare(block: pa.Table) -> pa.Table:
+        block = block.sort_by("side")
+        side = block["side"].to_pylist()
+        held = [np.frombuffer(h, np.uint64) for h in block["h"].to_pylist()]
+        at = side.index(1) if 1 in side else 0
+        whole = not at and block["step"][0].as_py() == 0 and block["i"][0] == block["j"][0]
+        found = linked_across(block["node"].to_pylist(), block["label"].to_pylist(), held, at, percent) if at or whole else []
+        return pa.table({"a": pa.array([p for p, _ in found], pa.int64()), "b": pa.array([q for _, q in found], pa.int64())})
+
+    return dealt.groupBy("family", "cls", "step", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+
+
 def components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` (smallest doc_id reachable by links) of every
     row; texts link when ``100 * intersection >= percent * union`` of their shingles."""
