@@ -33,14 +33,14 @@ from tokenizers import Tokenizer
 BITS = 20
 MASK = (1 << BITS) - 1
 NONE = 1 << 62
-CACHED_PIECES = 250_000
-CACHED_WORDS = 80_000
+CACHED_PIECES = 300_000
+CACHED_WORDS = 100_000
 CACHED_CHARS = 64
 SLICE_CHARS = 1 << 16
 LATIN_END = "\u0250"
 # Unicode White_Space; str.split() also cuts at U+001C..U+001F, which are not in it.
 SPACE = regex.compile("[\t-\r \x85\xa0  -     　]+")
-CONTROL = regex.compile("[\x1c-\x1f]")
+CONTROL = "\x1c\x1d\x1e\x1f"
 
 
 def byte_alphabet() -> list[str]:
@@ -198,10 +198,11 @@ class Encoder:
                 m = SPACE.search(text, to)
                 to = m.start() if m else size
             part = text[at:to]
-            pieces = part.split() if not CONTROL.search(part) else [p for p in SPACE.split(part) if p]
-            out = [*map(get, pieces)]
-            if None in out:
-                out = [ids if ids is not None else self.by_piece.of(p) for ids, p in zip(out, pieces)]
+            pieces = part.split() if not any(c in part for c in CONTROL) else [p for p in SPACE.split(part) if p]
+            out, i = [*map(get, pieces)], -1
+            for _ in range(out.count(None)):
+                i = out.index(None, i + 1)
+                out[i] = self.by_piece.of(pieces[i])
             yield b"".join(out)
             at = to
 
