@@ -7,7 +7,7 @@ the language. Part of the sample is held back to fit one temperature
 (the score is a calibrated probability) and the rejection threshold.
 
 Training uses a bounded sample of labelled rows: at most ``sample_rows`` documents (in
-hash order of their ids) of at most ``sample_chars`` characters each. Prediction reads
+hash order of their ids), of which those of at most ``sample_chars`` characters count. Prediction reads
 every whole text.
 
 Results for odd input: a null text or one without a letter is ``und`` with score 0 and
@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import hash_sample
+
 UND = "und"
 BUCKETS = 1 << 16
 DIM = 16
@@ -164,12 +166,9 @@ def held_out(id_col: str) -> F.Column:
 def train(docs: DataFrame, sample_rows: int = 3000, sample_chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on the bounded sample of labelled documents that are not held out."""
     text, lang = F.col(text_col), F.col(lang_col)
-    rows = (
-        docs.filter(text.isNotNull() & lang.isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
-        .filter(F.length(text) <= sample_chars)
-        .select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"), text.alias("t"), lang.alias("l"))
-        .orderBy("h", "i", "t", "l").limit(sample_rows)
-    )
+    labelled = docs.filter(lang.isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
+    rows = hash_sample(labelled.select(F.col(id_col).alias("i"), lang.alias("l"), text.alias("t")), sample_rows, "i", "l")
+    rows = rows.filter(F.length("t") <= sample_chars)
     return fit([(r["t"], r["l"]) for r in rows.collect()])
 
 

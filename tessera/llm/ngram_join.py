@@ -185,10 +185,18 @@ def links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     one_doc = materialize(nodes.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("one")), "one-doc")
     first = materialize(starts(docs, k, percent), "starts")
-    often = (
-        first.select(F.explode("first").alias("t")).groupBy("t").count().filter(F.col("count") > FREQUENT)
-        .orderBy(F.desc("count"), "t").limit(FREQUENT_LIST).select("t").toPandas()["t"].to_numpy(np.int64)
-    )
+    counts = first.select(F.explode("first").alias("t")).groupBy("t").agg(F.count("*").alias("c")).filter(F.col("c") > FREQUENT)
+    counts = materialize(counts.withColumn("grade", F.floor(F.log2("c") * 8)), "frequent")
+    # the list ends at the lowest grade of frequency (at most some hundred exist) that fits
+    fits, lowest = 0, None
+    for grade, n in sorted(((r["grade"], r["count"]) for r in counts.groupBy("grade").count().collect()), reverse=True):
+        fits += n
+        if fits > FREQUENT_LIST:
+            break
+        lowest = grade
+    often = np.zeros(0, np.int64)
+    if lowest is not None:
+        often = counts.filter(F.col("grade") >= lowest).select("t").toPandas()["t"].to_numpy(np.int64)
     frequent = spark.sparkContext.broadcast(np.sort(often))
     near = materialize(prefixes(first, frequent, percent, False), "prefixes")
     short = near.filter("prefix is null").select(F.col("node").alias("w"))

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import hash_sample
+
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -223,11 +225,8 @@ def _measured(docs: DataFrame, model: Trees | None, extra: bool) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Trees | None:
     """Fit on at most ``sample_rows`` labelled documents."""
-    sample = (
-        labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-        .select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("l_y"))
-        .orderBy(F.xxhash64("l_id"), "l_id", "l_y").limit(sample_rows)
-    )
+    known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+    sample = hash_sample(known.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("l_y")), sample_rows, "l_id", "l_y")
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
         F.broadcast(sample), F.col("doc_id") == F.col("l_id")
     )
