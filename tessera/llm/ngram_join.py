@@ -98,14 +98,14 @@ def documents_nodes(docs: DataFrame, k: int) -> DataFrame:
 
 
 def starts(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``node, n, first``: the smallest hashes of every node, twice a prefix long."""
+    """``node, n, first``: the smallest hashes of every node, one and a half prefixes long."""
 
     def run(batches):
         for batch in batches:
             sets = [h for t in batch.column(1) if len(h := shingles(t.as_py(), k))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([node_of(h) for h in sets], pa.int64()), pa.array([len(h) for h in sets], pa.int64()),
-                 pa.array([signed(h[: 2 * prefix_length(len(h), percent)]) for h in sets], pa.list_(pa.int64()))],
+                 pa.array([signed(h[: 3 * prefix_length(len(h), percent) // 2]) for h in sets], pa.list_(pa.int64()))],
                 names=["node", "n", "first"],
             )
 
