@@ -8,23 +8,24 @@ Document shapes (one collection, told apart by ``doc_type``):
 
 ``actor_ids[i]`` pairs with ``actor_roles[i]`` (and ``movie_ids[i]`` with
 ``movie_roles[i]``): both arrays are cut from one sorted array of structs.
-Lists are grouped with ``collect_list`` (partial lists are built map-side and
-merged), then ordered by the link's input ordinal. Every document carries a
-``chunk`` number: 0 normally, more for a key whose list would exceed the
-bucket size (see :func:`group_to_lists`).
+Lists are in the order of the link's input ordinal and paged by one rule for every
+key; ``chunk`` numbers a document's pages from 0 (see :func:`group_to_lists`), and
+the lookups read all pages.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 ARRAY_FIELDS = ("director_ids", "actor_ids", "actor_roles", "movie_ids", "movie_roles")
 
 
-MAX_LIST = 1_000_000
+#: Entries of one page of a list.
+PAGE = 1_000_000
 
 
 def group_to_lists(
@@ -33,40 +34,38 @@ def group_to_lists(
     values: Sequence[str],
     order: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    max_list: int = MAX_LIST,
+    page: int = PAGE,
 ) -> DataFrame:
     """One row per ``(key, chunk)`` with aligned lists of ``values`` in ``order``.
 
     ``order`` is the input ordinal (the reference keeps file order); the value
-    columns themselves break ties, so the order is total and deterministic.
-
-    Bucket pattern for hot keys: a key with more than ``max_list`` entries is
-    spread over ``ceil(n / max_list)`` chunks by a hash of its entries, each
-    chunk a list sorted by ordinal, so no single task builds a list of a third
-    of the data. Every other key has exactly one list, ``chunk = 0``. The hot
-    keys are found by a grouped count in the same plan and tagged through a
-    broadcast: there are at most ``|df| / max_list`` of them (10^6 rows for
-    10^12 links at the default), which bounds the broadcast by construction.
+    columns break ties. Every key is paged by the same rule: entry number ``i`` of
+    a key's order is in page (``chunk``) ``i // page``, so the pages of a key, one
+    after the other, are its whole list in order.
+
+    Entry numbers come from counts per (key, range of the first ordinal), summed
+    over the earlier ranges, plus the number within the range; no task sorts a hot
+    key whole if the ordinal is numeric and tells its rows apart.
     """
     names = list(names or values)
     order = list(order)
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > max_list).select(
-        F.col(key).alias("_hk"), F.ceil(F.col("_n") / F.lit(max_list)).alias("_chunks")
-    )
-    tagged = df.join(F.broadcast(hot), df[key] == hot["_hk"], "left")
-    spread = F.pmod(F.xxhash64(*order, *values), F.col("_chunks"))
-    chunk = F.coalesce(spread, F.lit(0)).cast("int")
-    df = tagged.withColumn("_chunk", chunk).drop("_hk", "_chunks")
-    packed = F.struct(
-        *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
-        *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)],
+    ranged = bool(order) and isinstance(df.schema[order[0]].dataType, NumericType)
+    part = F.coalesce(F.floor(F.col(order[0]) / F.lit(page)), F.lit(-1)) if ranged else F.lit(0).cast("long")
+    df = df.withColumn("_part", part)
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = df.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    base = counts.select(
+        F.col(key).alias("_bk"), F.col("_part").alias("_bp"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base")
     )
-    lists = df.groupBy(key, "_chunk").agg(F.array_sort(F.collect_list(packed)).alias("_l"))
+    within = Window.partitionBy(key, "_part").orderBy(*order, *values)
+    numbered = df.withColumn("_i", F.row_number().over(within))
+    same = numbered[key].eqNullSafe(base["_bk"]) & (numbered["_part"] == base["_bp"])
+    numbered = numbered.join(base, same).withColumn("_i", F.col("_base") + F.col("_i") - 1)
+    packed = F.struct("_i", *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)])
+    chunk = F.floor(F.col("_i") / F.lit(page)).cast("int").alias("chunk")
+    lists = numbered.groupBy(key, chunk).agg(F.array_sort(F.collect_list(packed)).alias("_l"))
     return lists.select(
-        key,
-        F.col("_chunk").alias("chunk"),
-        *[F.transform("_l", _field(f"_v{i}")).alias(n) for i, n in enumerate(names)],
+        key, "chunk", *[F.transform("_l", _field(f"_v{i}")).alias(n) for i, n in enumerate(names)]
     )
 
 
@@ -187,12 +186,18 @@ def build_documents(
 
 
 def find_one(docs: DataFrame, **fields) -> DataFrame:
-    """The first document (lowest movie/person/director id) matching all fields."""
+    """The first document (lowest movie/person/director id) matching all fields,
+    with all its pages."""
     cond = F.lit(True)
     for k, v in fields.items():
         cond = cond & (F.col(k) == F.lit(v))
     ids = [c for c in ("movie_id", "director_id", "person_id") if c in docs.columns]
-    return docs.filter(cond).orderBy(*[F.asc_nulls_last(c) for c in ids]).limit(1)
+    found = docs.filter(cond)
+    first = found.select(*[F.col(c).alias(f"_{c}") for c in ids]).orderBy(*[F.asc_nulls_last(f"_{c}") for c in ids]).limit(1)
+    same = F.lit(True)
+    for c in ids:
+        same = same & found[c].eqNullSafe(first[f"_{c}"])
+    return found.join(F.broadcast(first), same, "left_semi")  # one row
 
 
 def find_related(

@@ -24,31 +24,48 @@ class ConstraintViolation(ValueError):
     """Raised by strict loads when any row breaks a constraint."""
 
 
+#: Copies of one rejected row that a single task emits.
+COPIES = 10_000
+
+
 def enforce_primary_key(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str] = (),
 ) -> Checked:
-    """Keep one row per key.
+    """Keep one row per key (C1); a key may not be NULL.
 
     The kept row is the smallest by ``order_by`` (an input ordinal, so "first
     row wins" as with inserts that skip unique violations), ties broken by the
-    remaining columns, so the choice is deterministic. It is computed as a
-    ``min(struct(...))`` aggregate: map-side partial aggregation collapses a hot
-    key before the shuffle, so one key holding a third of the rows costs one
-    row per map task, not a sort of all its rows in one task. Rejects are the
-    exact bag difference ``df - kept`` (``exceptAll``), which is null-safe.
+    remaining columns, so the choice is deterministic. Equal rows are counted
+    first (map-side partials), and the choice is a ``min(struct(...))`` over the
+    counted rows, so a hot key costs one row per map task. Rejects are all other
+    copies and the rows with a NULL in their key; the copies of one repeated row
+    are emitted in blocks of at most :data:`COPIES`, spread over tasks.
     """
     keys = list(keys)
     order_by = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    if not order_by and not rest:
-        kept = df.distinct()
-    else:
-        packed = F.min(F.struct(*order_by, *rest)).alias("_first")
-        kept = df.groupBy(*keys).agg(packed).select(*keys, "_first.*")
-    kept = kept.select(*df.columns)
-    return Checked(kept, df.exceptAll(kept))
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    whole = F.struct(*order_by, *rest) if order_by or rest else F.struct(*keys)
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & F.col(k).isNotNull()
+    first = counted.filter(complete).groupBy(*keys).agg(F.min(whole).alias("_first"))
+    kept = first.select(*keys, "_first.*") if order_by or rest else first.select(*keys)
+    chosen = first.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_first")
+    cond = [counted[k] == chosen[f"_k{i}"] for i, k in enumerate(keys)]
+    left = counted.join(chosen, cond, "left").withColumn(
+        "_copies", F.col("_copies") - F.when(F.col("_first").eqNullSafe(whole), 1).otherwise(0)
+    )
+    blocks = left.filter("_copies > 0").select(
+        *df.columns, "_copies",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / COPIES).cast("long"))).alias("_block"),
+    )
+    many = F.least(F.lit(COPIES).cast("long"), F.col("_copies") - F.col("_block") * COPIES)
+    spread = blocks.withColumn("_copies", many).repartition(*df.columns, "_block")
+    rejects = spread.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_i"))
+    return Checked(kept.select(*df.columns), rejects.select(*df.columns))
 
 
 def enforce_foreign_key(

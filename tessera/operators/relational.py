@@ -132,12 +132,12 @@ def _top_k_labelled(
 
     With ``assume_fk`` (every key of ``measures`` has a label row, as after a
     foreign-key-checked load) the inner join cannot drop rows, so the top ``k``
-    is taken from the measures first (a partial top-k per task, no join) and
+    is taken from the measures with a key first (a partial top-k per task, no join) and
     only those ``k`` rows meet the labels, through a broadcast bounded by ``k``.
     Otherwise all measures are joined, then ranked.
     """
     if k is not None and assume_fk:
-        top = measures.orderBy(*order).limit(k)
+        top = measures.filter(F.col(key).isNotNull()).orderBy(*order).limit(k)
         out = labels.join(F.broadcast(top), key)
     else:
         out = labels.join(measures, key)

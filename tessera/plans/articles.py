@@ -24,7 +24,7 @@ from tessera.sources.tables import read_table
 
 AS_OF_YEAR = 2002
 YEARS = list(range(1995, AS_OF_YEAR + 1))
-BLOCK = r"(?s)<body>(.*?)</body>"
+BLOCK = r"(?s)<body>(.*?)(?:</body>|\z)"  # an unclosed body ends with the page
 TITLE = r"(?s)<h1>(.*?)</h1>"
 INFO = r'(?s)<div class="ad">(.*?)</div>'
 LINK = r"(?s)<a\b[^>]*>(.*?)</a>"
@@ -124,8 +124,9 @@ def _strip_tags_sql(expr: str) -> str:
 
 
 PAGE_SQL = f"""
-WITH b AS (SELECT page_id, regexp_extract_all(html, '{BLOCK}', 1) AS bl FROM pages),
-blocks AS (SELECT page_id, CAST(i AS INTEGER) AS pos, bl[i + 1] AS blk FROM b, range(len(b.bl)) r(i))
+WITH parts AS (SELECT page_id, string_split(html, '<body>') AS pt FROM pages),
+blocks AS (SELECT page_id, CAST(i AS INTEGER) AS pos, string_split(pt[i + 2], '</body>')[1] AS blk
+           FROM parts, range(len(parts.pt) - 1) r(i))
 SELECT page_id, pos,
   {_strip_tags_sql(f"regexp_extract(blk, '{TITLE}', 1)")} AS title,
   {_strip_tags_sql(f"""regexp_extract(blk, '{INFO.replace("'", "''")}', 1)""")} AS publication_info,

@@ -39,7 +39,7 @@ def q_movie_documents(spark, root) -> DataFrame:
     t = raw_tables(spark, root)
     docs = D.movie_documents(t.movies, t.acts_in, t.directs, ORDER, ORDER)
     return docs.select(
-        "doc_type", "name", "year", "rank", "movie_id",
+        "doc_type", "name", "year", "rank", "movie_id", "chunk",
         flat("director_ids"), flat("actor_ids"), flat("actor_roles"),
     )
 
@@ -47,14 +47,14 @@ def q_movie_documents(spark, root) -> DataFrame:
 def q_director_documents(spark, root) -> DataFrame:
     t = raw_tables(spark, root)
     docs = D.director_documents(t.directors, t.directs, ORDER)
-    return docs.select("doc_type", "first_name", "last_name", "director_id", flat("movie_ids"))
+    return docs.select("doc_type", "first_name", "last_name", "director_id", "chunk", flat("movie_ids"))
 
 
 def q_person_documents(spark, root) -> DataFrame:
     t = raw_tables(spark, root)
     docs = D.person_documents(t.persons, t.acts_in, ORDER)
     return docs.select(
-        "doc_type", "first_name", "last_name", "gender", "person_id",
+        "doc_type", "first_name", "last_name", "gender", "person_id", "chunk",
         flat("movie_ids"), flat("movie_roles"),
     )
 
@@ -87,7 +87,7 @@ def q_related_directors(spark, root) -> DataFrame:
     links = t.directs.join(wanted, "did", "left_semi")
     heads = t.directors.join(wanted.withColumnRenamed("did", "id"), "id", "left_semi")
     docs = D.director_documents(heads, links, ORDER)
-    return docs.select("director_id", "first_name", "last_name")
+    return docs.filter("chunk = 0").select("director_id", "first_name", "last_name")
 
 
 def q_related_actors(spark, root) -> DataFrame:
@@ -97,7 +97,26 @@ def q_related_actors(spark, root) -> DataFrame:
     people = t.persons.join(wanted, "id", "left_semi")
     links = t.acts_in.join(wanted.withColumnRenamed("id", "pid"), "pid", "left_semi")
     docs = D.person_documents(people, links, ORDER)
-    return docs.select("person_id", "first_name", "last_name", "gender")
+    return docs.filter("chunk = 0").select("person_id", "first_name", "last_name", "gender")
+
+
+def q_related_actor_roles(spark, root) -> DataFrame:
+    """The named movie's cast with the role aligned to each id, in list order."""
+    t = raw_tables(spark, root)
+    cast = _anchor(t, PM.NAMED_MOVIE).select(
+        "chunk", F.posexplode(F.arrays_zip("actor_ids", "actor_roles")).alias("pos", "entry")
+    ).select((F.col("chunk").cast("long") * D.PAGE + F.col("pos")).alias("pos"), F.col("entry.actor_ids").alias("person_id"), F.col("entry.actor_roles").alias("role"))
+    people = t.persons.select(F.col("id").alias("person_id"), F.col("fname").alias("first_name"), F.col("lname").alias("last_name"))
+    return cast.join(people, "person_id").select("pos", "person_id", "first_name", "last_name", "role")
+
+
+def q_movie_collection(spark, root) -> DataFrame:
+    """U4: movies, directors and persons as one collection."""
+    docs = D.build_documents(*raw_tables(spark, root), ORDER, ORDER)
+    return docs.select(
+        "doc_type", "name", "year", "rank", "movie_id", "director_id", "person_id", "first_name", "last_name", "gender",
+        "chunk", *[flat(c) for c in D.ARRAY_FIELDS],
+    )
 
 
 QUERIES = {
@@ -106,6 +125,8 @@ QUERIES = {
     "person_documents": q_person_documents,
     "related_directors": q_related_directors,
     "related_actors": q_related_actors,
+    "related_actor_roles": q_related_actor_roles,
+    "movie_collection": q_movie_collection,
 }
 
 _DOCS = (
@@ -119,7 +140,7 @@ cast_lists AS (SELECT mid,
     string_agg(coalesce(trim(role, '[]'), ''), ',' ORDER BY ord, pid, role) AS actor_roles
   FROM raw_acts GROUP BY mid),
 movie_docs AS (
-  SELECT 'movie' AS doc_type, name, year, rank, id AS movie_id,
+  SELECT 'movie' AS doc_type, name, year, rank, id AS movie_id, 0 AS chunk,
          director_ids, actor_ids, actor_roles
   FROM raw_movies LEFT JOIN heads ON heads.mid = raw_movies.id
                   LEFT JOIN cast_lists ON cast_lists.mid = raw_movies.id),
@@ -132,14 +153,14 @@ ORACLE = {
     "director_documents": _DOCS
     + """
 SELECT 'director' AS doc_type, d.fname AS first_name, d.lname AS last_name,
-       f.did AS director_id, f.movie_ids
+       f.did AS director_id, 0 AS chunk, f.movie_ids
 FROM (SELECT did, string_agg(CAST(mid AS VARCHAR), ',' ORDER BY ord, mid) AS movie_ids
       FROM raw_directs_o GROUP BY did) f
 LEFT JOIN raw_directors d ON d.id = f.did""",
     "person_documents": _DOCS
     + """
 SELECT 'person' AS doc_type, p.fname AS first_name, p.lname AS last_name, p.gender,
-       p.id AS person_id, f.movie_ids, f.movie_roles
+       p.id AS person_id, 0 AS chunk, f.movie_ids, f.movie_roles
 FROM raw_persons p LEFT JOIN (
   SELECT pid,
     string_agg(CAST(mid AS VARCHAR), ',' ORDER BY ord, mid, role) AS movie_ids,
@@ -157,3 +178,21 @@ SELECT p.id AS person_id, p.fname AS first_name, p.lname AS last_name, p.gender
 FROM raw_persons p
 WHERE p.id IN (SELECT pid FROM raw_acts WHERE mid = (SELECT movie_id FROM anchor))""",
 }
+
+ORACLE["related_actor_roles"] = _DOCS + """
+SELECT row_number() OVER (ORDER BY ord, pid, trim(role, '[]')) - 1 AS pos, pid AS person_id,
+       fname AS first_name, lname AS last_name, trim(role, '[]') AS role
+FROM raw_acts JOIN raw_persons ON raw_persons.id = pid
+WHERE mid = (SELECT movie_id FROM anchor)"""
+
+ORACLE["movie_collection"] = f"""
+SELECT doc_type, name, year, rank, movie_id, NULL::BIGINT AS director_id, NULL::BIGINT AS person_id,
+       NULL AS first_name, NULL AS last_name, NULL AS gender, chunk, director_ids, actor_ids, actor_roles,
+       NULL AS movie_ids, NULL AS movie_roles
+FROM ({ORACLE["movie_documents"]})
+UNION ALL
+SELECT doc_type, NULL, NULL, NULL, NULL, director_id, NULL, first_name, last_name, NULL, chunk, NULL, NULL, NULL, movie_ids, NULL
+FROM ({ORACLE["director_documents"]})
+UNION ALL
+SELECT doc_type, NULL, NULL, NULL, NULL, NULL, person_id, first_name, last_name, gender, chunk, NULL, NULL, NULL, movie_ids, movie_roles
+FROM ({ORACLE["person_documents"]})"""

@@ -54,8 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     The folder comes from ``spark.checkpoint.dir`` (or a directory already set on
-    the context). Only when neither is set - local tests - a scratch folder is
-    created and registered.
+    the context). Only a local session with neither, as in tests, gets a scratch
+    folder; a cluster session without a shared folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +63,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -93,9 +95,8 @@ def checkpoint_keyed(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
         # Writing a reliable checkpoint runs the plan a second time unless the
         # rows are held; keep them for the duration of the checkpoint only.
         target = target.persist()
-        result = target.checkpoint()
+        return target.checkpoint()
     finally:
+        target.unpersist()
         for k, v in saved.items():
             spark.conf.set(k, v)
-    target.unpersist()
-    return result

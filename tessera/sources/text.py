@@ -45,11 +45,11 @@ class LineSpec:
         self.types = list(types)
 
 
-MOVIE = LineSpec(MOVIE_PATTERN, ["id", "name", "year", "rank"], ["int", "string", "int", "double"])
-PERSON = LineSpec(PERSON_PATTERN, ["id", "fname", "lname", "gender"], ["int", "string", "string", "string"])
-DIRECTOR = LineSpec(DIRECTOR_PATTERN, ["id", "fname", "lname"], ["int", "string", "string"])
-MOVIE_DIRECTOR = LineSpec(MOVIE_DIRECTOR_PATTERN, ["did", "mid"], ["int", "int"])
-CAST = LineSpec(CAST_PATTERN, ["pid", "mid", "role"], ["int", "int", "string"])
+MOVIE = LineSpec(MOVIE_PATTERN, ["id", "name", "year", "rank"], ["bigint", "string", "int", "double"])
+PERSON = LineSpec(PERSON_PATTERN, ["id", "fname", "lname", "gender"], ["bigint", "string", "string", "string"])
+DIRECTOR = LineSpec(DIRECTOR_PATTERN, ["id", "fname", "lname"], ["bigint", "string", "string"])
+MOVIE_DIRECTOR = LineSpec(MOVIE_DIRECTOR_PATTERN, ["did", "mid"], ["bigint", "bigint"])
+CAST = LineSpec(CAST_PATTERN, ["pid", "mid", "role"], ["bigint", "bigint", "string"])
 
 
 def read_lines(
@@ -99,14 +99,16 @@ def parse_lines(lines: DataFrame, spec: LineSpec, clean: bool = True) -> Checked
     pattern = UNICODE + spec.pattern
     value = F.col("value")
     fields: list[Column] = []
+    castable = F.lit(True)  # a number that does not fit its type rejects the line
     for i, (name, typ) in enumerate(zip(spec.columns, spec.types), start=1):
         raw = F.regexp_extract(value, pattern, i)
         if typ == "string":
             col = clean_text(raw) if clean else F.nullif(raw, F.lit(""))
         else:
             col = F.nullif(raw, F.lit("")).try_cast(typ)
+            castable = castable & (col.isNotNull() | (raw == F.lit("")))
         fields.append(col.alias(name))
-    matched = value.rlike(pattern)
+    matched = F.coalesce(value.rlike(pattern) & castable, F.lit(False))
     kept = lines.filter(matched).select(*fields, "ord")
     rejects = lines.filter(~matched).select("value", "ord")
     return Checked(kept, rejects)

@@ -7,7 +7,8 @@
   with a watermark, so late readings within the watermark still count and the
   state of closed days is dropped.
 
-Stream checkpoints live under the cluster's ``spark.checkpoint.dir``.
+The caller names the stream's state folder: it must be shared and stay the same from
+run to run, or a later application starts again at the first batch.
 """
 
 from __future__ import annotations
@@ -17,15 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.operators.articles import clean_articles
-from tessera.session import checkpoint_dir
 
 RAW_ARTICLE_SCHEMA = "title string, publication_info string, cited_by string"
 
 
-def _state_dir(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-
-
 def article_stream(spark: SparkSession, raw_dir: str, as_of_year: int) -> DataFrame:
     """Cleaned records of every CSV file that lands in ``raw_dir``."""
     raw = spark.readStream.schema(RAW_ARTICLE_SCHEMA).option("header", "true").csv(raw_dir)
@@ -37,16 +33,17 @@ def start_article_cleaning(
     raw_dir: str,
     out_dir: str,
     as_of_year: int,
-    name: str = "clean_articles",
+    state_dir: str,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Clean new raw files into parquet under ``out_dir``; with ``available_now``
+    """Clean new raw files into parquet under ``out_dir``, keeping the stream's progress
+    in ``state_dir`` (the same for every run); with ``available_now``
     the query processes what is there and stops (a scheduled incremental run)."""
     writer = (
         article_stream(spark, raw_dir, as_of_year)
         .writeStream.format("parquet")
         .outputMode("append")
-        .option("checkpointLocation", _state_dir(spark, name))
+        .option("checkpointLocation", state_dir)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start(out_dir)

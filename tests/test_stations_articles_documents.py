@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from tessera.plans import catalog
 from tessera.operators import articles as A
 from tessera.operators import documents as D
 from tessera.operators import stations as S
@@ -192,7 +193,8 @@ def test_entry_and_registry(spark):
     assert df.count() > 0
     qs, oracle = E.queries(), E.oracle_sql()
     assert set(oracle) <= set(qs)
-    assert set(qs) - set(oracle) == {"polyfit_coefficients", "poly_grid"}
+    assert set(catalog.QUERIES) <= set(qs)
+    assert set(catalog.QUERIES) - set(oracle) == {"polyfit_coefficients", "poly_grid"}
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
@@ -205,7 +207,7 @@ def test_hot_key_lists_are_bucketed(spark):
         [(1, i, f"r{i}", i) for i in range(50)] + [(2, 7, "x", 0), (2, 3, "y", 1)],
         "mid long, pid long, role string, ord long",
     )
-    lists = D.group_to_lists(links, "mid", ["pid", "role"], ["ord"], ["ids", "roles"], max_list=10)
+    lists = D.group_to_lists(links, "mid", ["pid", "role"], ["ord"], ["ids", "roles"], page=10)
     hot = lists.filter("mid = 1").collect()
     assert len(hot) == 5  # ceil(50 / 10) chunks
     assert sorted(i for r in hot for i in r.ids) == list(range(50))

@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,13 +18,30 @@ def _write_raw(folder, name, rows):
             f.write(",".join(f'"{v}"' for v in r) + "\n")
 
 
+RUN = """
+import sys
+from tessera.session import build_session
+from tessera.streaming import incremental as S
+raw, out, state = sys.argv[1:]
+spark = build_session("local[1]", 1)
+S.start_article_cleaning(spark, raw, out, 2024, state).awaitTermination()
+spark.stop()
+"""
+
+
 def test_article_cleaning_runs_incrementally(spark, tmp_dir):
-    raw, out = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "clean")
+    """Two separate applications with one state folder clean two files to two rows."""
+    raw, out, state = (os.path.join(tmp_dir, d) for d in ("raw", "clean", "state"))
+
+    def run():
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        subprocess.run([sys.executable, "-c", RUN, raw, out, state], check=True, env=os.environ | {"PYTHONPATH": root}, capture_output=True)
+
     _write_raw(raw, "a.csv", [("T1 [PDF]", "A - V 2020 - P", "Cited by 4"), ("bad", "A - P", "Cited by 1")])
-    S.start_article_cleaning(spark, raw, out, 2024, name=f"art-{os.path.basename(tmp_dir)}").awaitTermination()
+    run()
     assert [r.title for r in spark.read.parquet(out).collect()] == ["T1"]
     _write_raw(raw, "b.csv", [("T2", "B - W, 2022 - Q", "Cited by 9")])
-    S.start_article_cleaning(spark, raw, out, 2024, name=f"art-{os.path.basename(tmp_dir)}").awaitTermination()
+    run()
     got = sorted((r.title, r.citation_count) for r in spark.read.parquet(out).collect())
     assert got == [("T1", 4), ("T2", 9)]
 
