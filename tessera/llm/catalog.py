@@ -79,10 +79,10 @@ QUERIES = {f.__name__: f for f in (op1_topk, op2_packing, op3_bpe, op4_ngram_joi
 ORACLE = {
     "op1_topk": """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
     SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
     FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(q.e) = len(c.e)

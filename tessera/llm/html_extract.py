@@ -215,7 +215,7 @@ class Model:
         return " ".join(t for i, t in page.runs.items() if full[i] >= 0.5)
 
 
-def labelled_pages(pages: int = 240, seed: int = 11) -> list[tuple[str, set[str]]]:
+def labelled_pages(pages: int = 360, seed: int = 11) -> list[tuple[str, set[str]]]:
     """Labelled training pages: ``(html, article runs)``. Layouts vary in tags, class
     names and order; text lengths overlap, so that structure has to decide."""
     rng = random.Random(seed)
@@ -240,7 +240,7 @@ def labelled_pages(pages: int = 240, seed: int = 11) -> list[tuple[str, set[str]
     def boiler(kind: str) -> str:
         filler = lambda: rng.choice([block("p", words(2, 40)), words(1, 30), block("div", words(1, 25)), block("p", f"<b>{words(1, 9)}</b> {words(1, 20)}")])
         if kind == "nav":
-            return rng.choice([block("nav", links()), block("div", links(), mark("menu", "main-nav", "navbar", "breadcrumbs", "site-navigation", "nav content")), block("ul", block("li", f"<a href='/'>{words(0, 2)}</a>"), mark("menu", "pagination"))])
+            return rng.choice([block("nav", links()), block("nav", rng.choice([words(0, 6), block("p", words(0, 6)), block("span", words(0, 3)), "".join(f'<a href="/z">{words(0, 2)}</a> ' for _ in range(3))])), block("div", links(), mark("menu", "main-nav", "navbar", "breadcrumbs", "site-navigation", "nav content")), block("ul", block("li", f"<a href='/'>{words(0, 2)}</a>"), mark("menu", "pagination"))])
         if kind == "head":
             return rng.choice([block("header", filler() + links()), block("header", block("h1", words(1, 6)), mark("site-header", "page-header")), block("div", filler(), mark("header", "masthead", "topbar")), block("header", filler())])
         if kind == "foot":
