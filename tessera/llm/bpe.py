@@ -33,8 +33,8 @@ from tokenizers import Tokenizer
 BITS = 20
 MASK = (1 << BITS) - 1
 NONE = 1 << 62
-CACHED_PIECES = 300_000
-CACHED_WORDS = 100_000
+CACHED_PIECES = 360_000
+CACHED_WORDS = 50_000
 CACHED_CHARS = 64
 SLICE_CHARS = 1 << 16
 LATIN_END = "\u0250"
@@ -186,7 +186,11 @@ class Encoder:
                 at = m.end()
             parts += [*map(self.by_word.of, self.split(piece[at:]))]
             return b"".join(parts)
-        return b"".join(map(self.by_word.of, self.split(piece)))
+        words = self.split(piece)
+        if words == [piece]:
+            return self._word(piece)
+        # an ASCII pre-token is a piece with the same ids, so both share one cache
+        return b"".join([self.by_piece.of(w) if w.isascii() else self.by_word.of(w) for w in words])
 
     def encode(self, text: str | None) -> Iterator[bytes]:
         """Ids of a text, slice by slice (slices end at white space)."""
