@@ -123,6 +123,40 @@ def monthly_hdd(
     )
 
 
+def in_extent(daily: DataFrame, catalogue: DataFrame, date: str = "date") -> DataFrame:
+    """Rows of the catalogue's stations in the years from the first start to
+    the last end of their records; the last year itself is excluded."""
+    extent = year_extent(catalogue)
+    first, end = (extent.select(c).scalar() for c in ("start_year", "end_year"))
+    own = daily.join(catalogue.select("station"), "station", "left_semi")
+    return own.filter((F.year(date) >= first) & (F.year(date) < end))
+
+
+def region_panel(
+    catalogue: DataFrame, daily: DataFrame, country: str, region: str, tavg_mode: str = "midpoint"
+) -> DataFrame:
+    """S13 + P9 + A15 + T12: annual HDD of a region's stations older than its average,
+    one row per station and year of the extent (``station, year, hdd``; NULL where the
+    year is incomplete or its total is zero). :func:`panel` lays it out wide."""
+    chosen = older_than_average(in_region(catalogue, country, region))
+    extent = year_extent(chosen)
+    cells = chosen.select(
+        "station",
+        extent.select("start_year").scalar().alias("first"),
+        extent.select("end_year").scalar().alias("end"),
+    ).filter("first < end")
+    cells = cells.select("station", F.explode(F.sequence("first", F.col("end") - 1)).alias("year"))
+    return cells.join(annual_hdd(in_extent(daily, chosen), tavg_mode), ["station", "year"], "left")
+
+
+def region_monthly(
+    catalogue: DataFrame, daily: DataFrame, country: str, region: str, tavg_mode: str = "midpoint"
+) -> DataFrame:
+    """T13 over the same stations and years: ``station, month_end, hdd``."""
+    chosen = older_than_average(in_region(catalogue, country, region))
+    return monthly_hdd(in_extent(daily, chosen), tavg_mode)
+
+
 def panel(
     long: DataFrame,
     stations: Sequence | None,

@@ -6,6 +6,8 @@ Stand-ins (rows in the reference's schema, nothing else):
 * meter readings ``(ts, kwh)``: ``purchase`` events, ``kwh = value``
 * weather observations ``(ts, temp, wspd)``: ``view`` events give
   ``temp = value - 30`` (deg C), ``click`` events give ``wspd = value / 5``
+* a series of several years: first lines of orders are readings (``kwh = quantity / 1000``)
+  on their ship date, the other lines are observations (``temp = quantity - 30``)
 
 The library then builds the hourly meter series (hour bins, gaps as 0 kWh),
 the hourly weather series (hour means, observed hours only), joins them on the
@@ -46,6 +48,16 @@ def hourly(spark, root, start: Column | None = None, end: Column | None = None)
     return E.hourly(readings(spark, root), observations(spark, root), start, end)
 
 
+def long_hourly(spark, root) -> DataFrame:
+    """The same frame over the series of several years."""
+    pin_utc(spark)
+    li = read_table(spark, root, "lineitem")
+    stamp, first = F.col("l_shipdate").cast("timestamp_ntz").alias("ts"), F.col("l_linenumber") == 1
+    meter = li.filter(first).select(stamp, (F.col("l_quantity") / 1000.0).alias("kwh"))
+    weather = li.filter(~first).select(stamp, (F.col("l_quantity") - 30.0).alias("temp"), F.lit(None).cast("double").alias("wspd"))
+    return E.hourly(meter, weather)
+
+
 def daily(spark, root) -> DataFrame:
     """T1 + T4 + T8 + T9: daily bins with HDD / CDD ("missing above base")."""
     return E.daily(hourly(spark, root), "null")
@@ -173,6 +185,13 @@ monthly AS (
   FROM month_span s LEFT JOIN month_raw m USING (label) LEFT JOIN month_hdd h USING (label))
 """
 
+#: The series of several years, in the shape of ``events``.
+LONG_SQL = """
+WITH events AS (
+  SELECT CAST(l_shipdate AS TIMESTAMP) AS ts, CASE WHEN l_linenumber = 1 THEN 'purchase' ELSE 'view' END AS event_type,
+         CASE WHEN l_linenumber = 1 THEN l_quantity / 1000 ELSE l_quantity END AS value FROM lineitem),
+""" + HOURLY_SQL.replace("WITH", "", 1)
+
 
 def _r(expr: str, name: str) -> str:
     return f"round({expr}, 6) AS {name}"

@@ -1,12 +1,18 @@
 """Registered regression / polynomial queries (M1-M8, N6) over frames the
-library derives from the test tables (see ``plans.energy`` and ``plans.stations``)."""
+library derives from the test tables (see ``plans.energy`` and ``plans.stations``).
+
+The ``events`` table spans one month, so the monthly regression, the weekly and monthly
+intervals and the seasonal polynomials read a series of several years instead
+(``plans.energy.long_hourly``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators import energy as E
 from tessera.operators import models as M
+from tessera.operators import timeseries as ts
 from tessera.operators.quality import drop_incomplete
 from tessera.plans import energy, stations
 from tessera.plans.common import rounded, two_step_round
@@ -16,8 +22,8 @@ OLS_COLUMNS = [
     "n", "slope", "intercept", "r_squared", "sigma", "se_slope", "se_intercept",
     "t_slope", "t_intercept", "f_stat",
 ]
-ORACLE_DEGREES = [2, 3, 4]
-ALL_DEGREES = list(range(2, 11))
+MONTH_DEGREES = list(range(2, 11))
+WEEK_DEGREES = list(range(2, 10))
 
 
 def daily_frame(spark, root) -> DataFrame:
@@ -27,10 +33,27 @@ def daily_frame(spark, root) -> DataFrame:
     return drop_incomplete(d)
 
 
+def normed(frame: DataFrame) -> DataFrame:
+    """Period bins with z-scores of HDD and kWh, rows with a gap dropped."""
+    return drop_incomplete(M.zscore(M.zscore(frame, "hdd", name="hdd_norm"), "kwh_sum", name="kwh_norm"))
+
+
 def weekly_frame(spark, root) -> DataFrame:
-    w = energy.weekly(spark, root)
-    w = M.zscore(M.zscore(w, "hdd", name="hdd_norm"), "kwh_sum", name="kwh_norm")
-    return drop_incomplete(w)
+    return normed(energy.weekly(spark, root))
+
+
+def long_weekly(spark, root) -> DataFrame:
+    return E.weekly(energy.long_hourly(spark, root))
+
+
+def long_monthly(spark, root) -> DataFrame:
+    return E.monthly(energy.long_hourly(spark, root))
+
+
+def seasonal_points(frame: DataFrame, by: str, value: str) -> DataFrame:
+    """x = position in the year (week number or month), y = ``value``; rows with a gap dropped."""
+    points = ts.seasonal_positions(frame, "label", by)
+    return drop_incomplete(points.select(F.col("position").cast("double").alias("x"), F.col(value).alias("y")))
 
 
 def monthly_points(spark, root) -> DataFrame:
@@ -49,10 +72,29 @@ def q_ols_weekly(spark, root):
     return rounded(M.ols(weekly_frame(spark, root), "hdd", "kwh_sum").select(*OLS_COLUMNS))
 
 
+def q_ols_monthly(spark, root):
+    pin_utc(spark)
+    return rounded(M.ols(normed(long_monthly(spark, root)), "hdd", "kwh_sum").select(*OLS_COLUMNS))
+
+
+def interval(frame: DataFrame, label: str) -> DataFrame:
+    p = M.ols_predict(frame, "hdd", "kwh_sum", 0.95)
+    return rounded(p.select(F.col("label").alias(label), "hdd", "kwh_sum", "fitted", "obs_ci_lower", "obs_ci_upper"))
+
+
 def q_ols_interval(spark, root):
     pin_utc(spark)
-    p = M.ols_predict(daily_frame(spark, root), "hdd", "kwh_sum", 0.95)
-    return rounded(p.select(F.col("label").alias("date"), "hdd", "kwh_sum", "fitted", "obs_ci_lower", "obs_ci_upper"))
+    return interval(daily_frame(spark, root), "date")
+
+
+def q_ols_interval_weekly(spark, root):
+    pin_utc(spark)
+    return interval(normed(long_weekly(spark, root)), "week")
+
+
+def q_ols_interval_monthly(spark, root):
+    pin_utc(spark)
+    return interval(normed(long_monthly(spark, root)), "month_end")
 
 
 def q_hdd_zscore_daily(spark, root):
@@ -61,16 +103,34 @@ def q_hdd_zscore_daily(spark, root):
     return rounded(d.select(F.col("label").alias("date"), "hdd", "hdd_norm", "kwh_sum", "kwh_norm"))
 
 
+def metrics(points: DataFrame, degrees: list[int]) -> DataFrame:
+    return rounded(M.fit_table(points, "x", "y", degrees).select("degree", "r_squared", "mse", "rmse"))
+
+
 def q_polyfit_table(spark, root):
     pin_utc(spark)
-    t = M.fit_table(monthly_points(spark, root), "x", "y", ORACLE_DEGREES)
-    return rounded(t.select("degree", "r_squared", "mse", "rmse"))
+    return metrics(monthly_points(spark, root), MONTH_DEGREES)
+
+
+def q_polyfit_weekly_hdd(spark, root):
+    pin_utc(spark)
+    return metrics(seasonal_points(long_weekly(spark, root), "week", "hdd"), WEEK_DEGREES)
+
+
+def q_polyfit_weekly_kwh(spark, root):
+    pin_utc(spark)
+    return metrics(seasonal_points(long_weekly(spark, root), "week", "kwh_sum"), WEEK_DEGREES)
+
+
+def q_polyfit_monthly_kwh(spark, root):
+    pin_utc(spark)
+    return metrics(seasonal_points(long_monthly(spark, root), "month", "kwh_sum"), MONTH_DEGREES)
 
 
 def q_polyfit_coefficients(spark, root):
     """M3-M5 for degrees 2-10 with the coefficients (checked against numpy in tests)."""
     pin_utc(spark)
-    t = M.fit_table(monthly_points(spark, root), "x", "y", ALL_DEGREES)
+    t = M.fit_table(monthly_points(spark, root), "x", "y", MONTH_DEGREES)
     return t.select(
         "degree",
         F.array_join(F.transform("coefficients", lambda c: F.format_number(c, 6)), " ").alias("p"),
@@ -93,18 +153,22 @@ def q_poly_grid(spark, root):
 QUERIES = {
     "ols_daily": q_ols_daily,
     "ols_weekly": q_ols_weekly,
+    "ols_monthly": q_ols_monthly,
     "ols_interval": q_ols_interval,
+    "ols_interval_weekly": q_ols_interval_weekly,
+    "ols_interval_monthly": q_ols_interval_monthly,
     "hdd_zscore_daily": q_hdd_zscore_daily,
     "polyfit_table": q_polyfit_table,
+    "polyfit_weekly_hdd": q_polyfit_weekly_hdd,
+    "polyfit_weekly_kwh": q_polyfit_weekly_kwh,
+    "polyfit_monthly_kwh": q_polyfit_monthly_kwh,
     "polyfit_coefficients": q_polyfit_coefficients,
     "poly_grid": q_poly_grid,
 }
 
 # ---------------------------------------------------------------- DuckDB oracles
 
-_DAILY = (
-    energy.HOURLY_SQL
-    + """,
+_FRAMES = """,
 dz AS (
   SELECT label, kwh_sum, temp_min, temp_max, temp_mean, mean_f, hdd0 AS hdd FROM daily_hdd),
 dn AS (
@@ -113,14 +177,13 @@ dn AS (
 pts AS (SELECT * FROM dn WHERE temp_min IS NOT NULL AND temp_max IS NOT NULL
         AND temp_mean IS NOT NULL AND mean_f IS NOT NULL AND hdd_norm IS NOT NULL
         AND kwh_norm IS NOT NULL),
-wn AS (
-  SELECT *, (hdd - avg(hdd) OVER ()) / stddev_samp(hdd) OVER () AS hdd_norm,
-         (kwh_sum - avg(kwh_sum) OVER ()) / stddev_samp(kwh_sum) OVER () AS kwh_norm FROM weekly),
-wpts AS (SELECT * FROM wn WHERE temp_min IS NOT NULL AND temp_max IS NOT NULL
-         AND temp_mean IS NOT NULL AND hdd IS NOT NULL AND hdd_norm IS NOT NULL
-         AND kwh_norm IS NOT NULL)
+wpts AS (SELECT * FROM weekly WHERE temp_min IS NOT NULL AND temp_max IS NOT NULL
+         AND temp_mean IS NOT NULL AND hdd IS NOT NULL),
+mpts AS (SELECT * FROM monthly WHERE temp_min IS NOT NULL AND temp_max IS NOT NULL
+         AND temp_mean IS NOT NULL)
 """
-)
+_DAILY = energy.HOURLY_SQL.replace("WITH", "WITH RECURSIVE", 1) + _FRAMES
+_LONG = energy.LONG_SQL.replace("WITH", "WITH RECURSIVE", 1) + _FRAMES
 
 
 def _ols_sql(src: str) -> str:
@@ -140,63 +203,99 @@ SELECT n, round(slope, 6) AS slope, round(intercept, 6) AS intercept,
 FROM s2"""
 
 
-# t quantile 0.975 with 28 degrees of freedom (the sf0.01 daily frame has 30 days).
-T_975_28 = 2.048407141795244
-
-_POINTS = (
-    stations.DAILY_SQL
-    + """,
-p0 AS (SELECT CAST(month(month_end) AS DOUBLE) AS x, hdd AS y, 1.0 AS q0, 0.0 AS qm
-       FROM monthly WHERE hdd IS NOT NULL),
-a0 AS (SELECT sum(x * q0 * q0) / sum(q0 * q0) AS al, sum(q0 * q0) AS nr,
-              sum(y * q0) / sum(q0 * q0) AS c FROM p0),
-p1 AS (SELECT p0.*, (x - a0.al) * q0 AS q1 FROM p0, a0),
-a1 AS (SELECT sum(x * q1 * q1) / sum(q1 * q1) AS al, sum(q1 * q1) AS nr,
-              sum(y * q1) / sum(q1 * q1) AS c FROM p1),
-p2 AS (SELECT p1.*, (x - a1.al) * q1 - (a1.nr / a0.nr) * q0 AS q2 FROM p1, a1, a0),
-a2 AS (SELECT sum(x * q2 * q2) / sum(q2 * q2) AS al, sum(q2 * q2) AS nr,
-              sum(y * q2) / sum(q2 * q2) AS c FROM p2),
-p3 AS (SELECT p2.*, (x - a2.al) * q2 - (a2.nr / a1.nr) * q1 AS q3 FROM p2, a2, a1),
-a3 AS (SELECT sum(x * q3 * q3) / sum(q3 * q3) AS al, sum(q3 * q3) AS nr,
-              sum(y * q3) / sum(q3 * q3) AS c FROM p3),
-p4 AS (SELECT p3.*, (x - a3.al) * q3 - (a3.nr / a2.nr) * q2 AS q4 FROM p3, a3, a2),
-a4 AS (SELECT sum(y * q4) / sum(q4 * q4) AS c FROM p4),
-fits AS (
-  SELECT y,
-    a0.c * q0 + a1.c * q1 + a2.c * q2 AS f2,
-    a0.c * q0 + a1.c * q1 + a2.c * q2 + a3.c * q3 AS f3,
-    a0.c * q0 + a1.c * q1 + a2.c * q2 + a3.c * q3 + a4.c * q4 AS f4
-  FROM p4, a0, a1, a2, a3, a4)
-"""
-)
+#: Simpson's rule over [0, m] of cos(x) ** (df - 1), in 2000 steps.
+_SIMPSON = """{m} / 6000 * list_sum(list_transform(range(0, 2001), lambda i:
+    (CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * pow(cos({m} * i / 2000), df - 1)))"""
 
-ORACLE = {
-    "ols_daily": _DAILY + _ols_sql("pts"),
-    "ols_weekly": _DAILY + _ols_sql("wpts"),
-    "ols_interval": _DAILY
-    + f""",
+
+def _interval_sql(src: str, label: str) -> str:
+    """Prediction interval; the t quantile by bisection of the angle whose tangent it is."""
+    return f""",
 s AS (SELECT regr_count(kwh_sum, hdd) AS n, regr_slope(kwh_sum, hdd) AS slope,
              regr_intercept(kwh_sum, hdd) AS intercept, regr_sxx(kwh_sum, hdd) AS sxx,
              regr_syy(kwh_sum, hdd) AS syy, regr_sxy(kwh_sum, hdd) AS sxy,
-             regr_avgx(kwh_sum, hdd) AS xbar FROM pts),
-f AS (SELECT pts.label, pts.hdd, pts.kwh_sum, s.intercept + s.slope * pts.hdd AS fitted,
-             {T_975_28} * sqrt((s.syy - s.sxy * s.sxy / s.sxx) / (s.n - 2))
-               * sqrt(1 + 1.0 / s.n + pow(pts.hdd - s.xbar, 2) / s.sxx) AS half
-      FROM pts, s)
-SELECT label AS date, round(hdd, 6) AS hdd, round(kwh_sum, 6) AS kwh_sum, round(fitted, 6) AS fitted,
-       round(fitted - half, 6) AS obs_ci_lower, round(fitted + half, 6) AS obs_ci_upper FROM f""",
+             regr_avgx(kwh_sum, hdd) AS xbar FROM {src}),
+dof AS (SELECT df, {_SIMPSON.format(m="(pi() / 2)")} AS whole FROM (SELECT n - 2 AS df FROM s)),
+bisect AS (
+  SELECT 0 AS step, CAST(0 AS DOUBLE) AS lo, pi() / 2 AS hi
+  UNION ALL
+  SELECT step + 1, CASE WHEN below THEN mid ELSE lo END, CASE WHEN below THEN hi ELSE mid END
+  FROM (SELECT step, lo, hi, (lo + hi) / 2 AS mid,
+               {_SIMPSON.format(m="((lo + hi) / 2)")} < 0.95 * whole AS below FROM bisect, dof WHERE step < 52)),
+tq AS (SELECT sqrt(df) * tan((lo + hi) / 2) AS t FROM bisect, dof WHERE step = 52),
+f AS (SELECT p.label, p.hdd, p.kwh_sum, s.intercept + s.slope * p.hdd AS fitted,
+             tq.t * sqrt((s.syy - s.sxy * s.sxy / s.sxx) / (s.n - 2))
+               * sqrt(1 + 1.0 / s.n + pow(p.hdd - s.xbar, 2) / s.sxx) AS half
+      FROM {src} p, s, tq)
+SELECT label AS {label}, round(hdd, 6) AS hdd, round(kwh_sum, 6) AS kwh_sum, round(fitted, 6) AS fitted,
+       round(fitted - half, 6) AS obs_ci_lower, round(fitted + half, 6) AS obs_ci_upper FROM f"""
+
+
+def _basis(name: str, source: str, degree: int) -> str:
+    """Orthogonal polynomials q0..q<degree> on ``source`` (x, y) as CTEs ``name``0..,
+    by the three-term recurrence; ``a``k holds the recurrence and fit of step k."""
+    steps = [f"{name}0 AS (SELECT x, y, CAST(1 AS DOUBLE) AS q0 FROM {source})"]
+    for k in range(1, degree + 1):
+        if name == "p":
+            norm = f"sum(q{k - 1} * q{k - 1})"
+            steps.append(
+                f"a{k - 1} AS (SELECT sum(x * q{k - 1} * q{k - 1}) / {norm} AS al, {norm} AS nr,"
+                f" sum(y * q{k - 1}) / {norm} AS c FROM p{k - 1})"
+            )
+        last = f" - a{k - 1}.nr / a{k - 2}.nr * q{k - 2}" if k > 1 else ""
+        others = f", a{k - 1}" + (f", a{k - 2}" if k > 1 else "")
+        steps.append(f"{name}{k} AS (SELECT {name}{k - 1}.*, (x - a{k - 1}.al) * q{k - 1}{last} AS q{k} FROM {name}{k - 1}{others})")
+    if name == "p":
+        steps.append(f"a{degree} AS (SELECT sum(y * q{degree}) / sum(q{degree} * q{degree}) AS c FROM p{degree})")
+    return ",\n".join(steps)
+
+
+def _value(degree: int) -> str:
+    return " + ".join(f"a{k}.c * q{k}" for k in range(degree + 1))
+
+
+def _table_sql(points: str, degrees: list[int]) -> str:
+    top = max(degrees)
+    fits = ", ".join(f"{_value(d)} AS f{d}" for d in degrees)
+    rows = "\nUNION ALL\n".join(
+        f"SELECT {d} AS degree, round(pow(corr(y, f{d}), 2), 6) AS r_squared, round(avg(pow(y - f{d}, 2)), 6) AS mse,"
+        f" round(sqrt(avg(pow(y - f{d}, 2))), 6) AS rmse FROM fits"
+        for d in degrees
+    )
+    return f""",
+points AS ({points}),
+{_basis("p", "points", top)},
+fits AS (SELECT y, {fits} FROM p{top}, {", ".join(f"a{k}" for k in range(top + 1))})
+{rows}"""
+
+
+_MONTH_POINTS = "SELECT CAST(month(month_end) AS DOUBLE) AS x, hdd AS y FROM monthly WHERE hdd IS NOT NULL"
+_WEEK_POINTS = """SELECT floor(date_diff('day', make_date(CAST(year(label) AS INTEGER) - 1, 12, 31), label) / 7.0) AS x,
+  {y} AS y FROM weekly WHERE {y} IS NOT NULL"""
+_GRID = f""",
+points AS ({_MONTH_POINTS}),
+{_basis("p", "points", 4)},
+grid AS (SELECT 1 + i * (CAST(11 AS DOUBLE) / 99) AS x, CAST(NULL AS DOUBLE) AS y FROM range(100) t(i)),
+{_basis("g", "grid", 4)}
+SELECT round(x, 6) AS x, round({_value(4)}, 6) AS y FROM g4, a0, a1, a2, a3, a4"""
+
+ORACLE = {
+    "ols_daily": _DAILY + _ols_sql("pts"),
+    "ols_weekly": _DAILY + _ols_sql("wpts"),
+    "ols_monthly": _LONG + _ols_sql("mpts"),
+    "ols_interval": _DAILY + _interval_sql("pts", "date"),
+    "ols_interval_weekly": _LONG + _interval_sql("wpts", "week"),
+    "ols_interval_monthly": _LONG + _interval_sql("mpts", "month_end"),
     "hdd_zscore_daily": _DAILY
     + """
 SELECT label AS date, round(hdd, 6) AS hdd, round(hdd_norm, 6) AS hdd_norm,
        round(kwh_sum, 6) AS kwh_sum, round(kwh_norm, 6) AS kwh_norm FROM pts""",
-    "polyfit_table": _POINTS
-    + """
-SELECT 2 AS degree, round(pow(corr(y, f2), 2), 6) AS r_squared, round(avg(pow(y - f2, 2)), 6) AS mse,
-       round(sqrt(avg(pow(y - f2, 2))), 6) AS rmse FROM fits
-UNION ALL
-SELECT 3, round(pow(corr(y, f3), 2), 6), round(avg(pow(y - f3, 2)), 6), round(sqrt(avg(pow(y - f3, 2))), 6) FROM fits
-UNION ALL
-SELECT 4, round(pow(corr(y, f4), 2), 6), round(avg(pow(y - f4, 2)), 6), round(sqrt(avg(pow(y - f4, 2))), 6) FROM fits""",
+    "polyfit_table": stations.DAILY_SQL + _table_sql(_MONTH_POINTS, MONTH_DEGREES),
+    "polyfit_weekly_hdd": energy.LONG_SQL + _table_sql(_WEEK_POINTS.format(y="hdd"), WEEK_DEGREES),
+    "polyfit_weekly_kwh": energy.LONG_SQL + _table_sql(_WEEK_POINTS.format(y="kwh_sum"), WEEK_DEGREES),
+    "polyfit_monthly_kwh": energy.LONG_SQL
+    + _table_sql("SELECT CAST(month(label) AS DOUBLE) AS x, kwh_sum AS y FROM monthly", MONTH_DEGREES),
+    "poly_grid": stations.DAILY_SQL + _GRID,
 }
 
 # Same presentation rounding as the Spark side (see plans.common.round_half_away).

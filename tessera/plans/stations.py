@@ -9,6 +9,9 @@ Stand-ins (rows in the reference's schema, nothing else):
   ``latitude = 43 + 0.5 * (key % 5)``, ``longitude = -71 + 0.6 * (key div 5)``,
   region = region name, record span = first / last ship date of the nation's
   suppliers
+* stations of a region with records of their own: line number modulo 4; station ``k``
+  reports from 1994 + ``k`` to the end of 2000 (a complete last year); station 0 lies in
+  another region
 """
 
 from __future__ import annotations
@@ -65,6 +68,20 @@ def catalogue(spark, root) -> DataFrame:
     )
 
 
+def panel_daily(spark, root) -> DataFrame:
+    li = read_table(spark, root, "lineitem")
+    station, q = F.col("l_linenumber") % 4, F.col("l_quantity") - 30.0
+    rows = li.filter(F.year("l_shipdate").between(station + 1994, F.lit(2000)))
+    return rows.groupBy(station.alias("station"), F.to_date("l_shipdate").alias("date")).agg(
+        F.min(q).alias("tmin"), F.max(q).alias("tmax")
+    )
+
+
+def panel_catalogue(daily: DataFrame) -> DataFrame:
+    spans = daily.groupBy("station").agg(F.min("date").alias("daily_start"), F.max("date").alias("daily_end"))
+    return spans.withColumn("country", F.lit("US")).withColumn("region", F.when(F.col("station") == 0, "NH").otherwise("ME"))
+
+
 def monthly_z(spark, root) -> DataFrame:
     """T13 + N6: monthly HDD per station (complete years), z-scored per station."""
     m = S.monthly_hdd(daily_series(spark, root))
@@ -121,6 +138,25 @@ def q_station_year_extent(spark, root):
     return S.year_extent(catalogue(spark, root))
 
 
+def q_region_annual_hdd(spark, root):
+    """Region, older than average, extent, annual HDD with the daily mean as written."""
+    pin_utc(spark)
+    daily = panel_daily(spark, root)
+    return rounded(S.region_panel(panel_catalogue(daily), daily, "US", "ME", "as_written"))
+
+
+def q_region_monthly_trends(spark, root):
+    """The same choice, monthly HDD z-scored per station, a trend per month of the year."""
+    pin_utc(spark)
+    daily = panel_daily(spark, root)
+    m = S.region_monthly(panel_catalogue(daily), daily, "US", "ME", "as_written")
+    z = M.zscore(m, "hdd", ["station"], "hdd_z").select(
+        F.month("month_end").alias("month"), F.year("month_end").alias("year"), "hdd_z"
+    )
+    t = M.linear_trends(z, "month", "year", "hdd_z")
+    return rounded(t.select("month", "slope", "intercept", "r_squared", "stdev", "mse", "rmse"))
+
+
 def q_ytd_hdd(spark, root):
     pin_utc(spark)
     return rounded(S.ytd_hdd(daily_series(spark, root), AS_OF))
@@ -161,6 +197,8 @@ QUERIES = {
     "stations_below_median": q_stations_below_median,
     "older_stations": q_older_stations,
     "station_year_extent": q_station_year_extent,
+    "region_annual_hdd": q_region_annual_hdd,
+    "region_monthly_trends": q_region_monthly_trends,
     "ytd_hdd": q_ytd_hdd,
     "coldest_day": q_coldest_day,
     "ytd_hdd_running": q_ytd_hdd_running,
@@ -211,7 +249,38 @@ near AS (
 within AS (SELECT * FROM near WHERE distance <= {radius} * 1609.344)
 """.format(lat=POINT[0], lon=POINT[1], radius=RADIUS_MILES)
 
+REGION_SQL = """
+WITH pd AS (
+  SELECT l_linenumber % 4 AS station, CAST(l_shipdate AS DATE) AS date,
+         min(l_quantity - 30) AS tmin, max(l_quantity - 30) AS tmax
+  FROM lineitem WHERE year(l_shipdate) BETWEEN 1994 + l_linenumber % 4 AND 2000 GROUP BY 1, 2),
+spans AS (SELECT station, min(date) AS d0, max(date) AS d1 FROM pd WHERE station <> 0 GROUP BY 1),
+chosen AS (SELECT * FROM spans WHERE epoch(d0) < (SELECT avg(epoch(d0)) FROM spans)),
+years AS (SELECT CAST(y AS INTEGER) AS year
+          FROM range((SELECT min(year(d0)) FROM chosen), (SELECT max(year(d1)) FROM chosen)) t(y)),
+days AS (
+  SELECT station, date, y.year, greatest(65 - ((tmax + tmin / 2) * 1.8 + 32), 0) AS hdd,
+         count(*) OVER (PARTITION BY station, y.year) AS n
+  FROM pd JOIN chosen USING (station) JOIN years y ON y.year = year(date)),
+rm AS (SELECT station, CAST(month(date) AS INTEGER) AS month, year, nullif(sum(hdd), 0) AS hdd
+       FROM days WHERE n >= 365 GROUP BY 1, 2, 3),
+rz AS (SELECT month, CAST(year AS DOUBLE) AS x, (hdd - avg(hdd) OVER (PARTITION BY station))
+         / stddev_samp(hdd) OVER (PARTITION BY station) AS y FROM rm)
+"""
+
 ORACLE = {
+    "region_annual_hdd": REGION_SQL
+    + """
+SELECT c.station, y.year, round(nullif(sum(d.hdd), 0), 6) AS hdd
+FROM chosen c CROSS JOIN years y LEFT JOIN days d ON d.station = c.station AND d.year = y.year AND d.n >= 365
+GROUP BY 1, 2""",
+    "region_monthly_trends": REGION_SQL
+    + """
+SELECT month, round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept,
+       round(pow(corr(y, x), 2), 6) AS r_squared, round(stddev_pop(y), 6) AS stdev,
+       round(var_pop(y) * (1 - pow(corr(y, x), 2)), 6) AS mse,
+       round(sqrt(var_pop(y) * (1 - pow(corr(y, x), 2))), 6) AS rmse
+FROM rz WHERE y IS NOT NULL GROUP BY month""",
     "annual_hdd_by_station": DAILY_SQL + "SELECT station, year, round(hdd, 6) AS hdd FROM annual",
     "annual_hdd_panel": DAILY_SQL
     + """,
