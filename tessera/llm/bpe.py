@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from tessera.llm.common import small_batches
+
 BITS = 20
 MASK = (1 << BITS) - 1
 NONE = 1 << 62
@@ -284,7 +286,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<bigint>")
+    return docs.select(id_col, text_col).transform(small_batches).mapInArrow(run, f"`{id_col}` {kind}, ids array<bigint>")
 
 
 def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -314,6 +316,6 @@ def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(
+    return docs.select(id_col, text_col).transform(small_batches).mapInArrow(
         run, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     )

@@ -1,16 +1,14 @@
 """Helpers shared by the training-data operators: the shared work folder, written
-intermediate tables and Arrow batch mapping."""
+intermediate tables and the size of Arrow batches."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,11 +40,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(
-    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType
-) -> DataFrame:
-    """``mapInArrow`` under the name the operators use."""
-    return df.mapInArrow(fn, schema)
+#: Bytes of rows in one Arrow batch; the default of 10,000 rows has no useful bound for long texts.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df`` with Arrow batches of about :data:`BATCH_BYTES` for what maps it (a setting
+    of the session, kept where it is lower already); no batch is cut within a row."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = re.fullmatch(r"(\d+)b?", df.sparkSession.conf.get(key))
+    if not held or int(held[1]) > BATCH_BYTES:
+        df.sparkSession.conf.set(key, str(BATCH_BYTES))
+    return df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

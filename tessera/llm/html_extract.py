@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import small_batches
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("script style noscript template head title svg math iframe object canvas audio video".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -365,6 +367,6 @@ def extract(pages: DataFrame, model: Model, id_col: str = "page_id", url_col: st
             )
 
     kinds = [pages.schema[c].dataType.simpleString() for c in (id_col, url_col)]
-    return pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(
+    return pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).transform(small_batches).mapInArrow(
         run, f"page_id {kinds[0]}, url {kinds[1]}, text string, n_chars bigint"
     )

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import hash_sample
+from tessera.llm.common import hash_sample, small_batches
 
 UND = "und"
 BUCKETS = 1 << 16
@@ -186,7 +186,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).transform(small_batches).mapInArrow(
         run, f"doc_id {kind}, lang_pred string, score double, rejected boolean"
     )
 
@@ -201,4 +201,4 @@ def accept(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([not scorer.predict(t.as_py())[2] for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(small_batches).mapInArrow(run, docs.schema)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fresh, materialize, small
+from tessera.llm.common import fresh, materialize, small, small_batches
 
 MIN_WORDS = 30
 
@@ -143,7 +143,7 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id"
                 names=["d", "th", "hashes", "words", "keys"],
             ).filter(pa.array([bool(k) for k in keys], pa.bool_()))
 
-    lines = materialize(texts.mapInArrow(run, f"d {kind}, th bigint, hashes array<bigint>, words array<int>, keys array<bigint>"), "lines")
+    lines = materialize(texts.transform(small_batches).mapInArrow(run, f"d {kind}, th bigint, hashes array<bigint>, words array<int>, keys array<bigint>"), "lines")
     keyed = lines.select(F.explode("keys").alias("k"), F.struct("d", "th").alias("me"))
     first = keyed.groupBy("k").agg(F.min("me").alias("first"), F.max("me").alias("most")).filter("first < most")
     first = first.select(F.col("k").alias("f_k"), "first")
@@ -166,7 +166,7 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id"
             cut = [common_blocks(*args, min_words) for args in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cut, pa.list_(pa.int32()))], names=["d", "th", "lines"])
 
-    aligned = both.mapInArrow(align, f"d {kind}, th bigint, lines array<int>").filter(F.size("lines") > 0)
+    aligned = both.transform(small_batches).mapInArrow(align, f"d {kind}, th bigint, lines array<int>").filter(F.size("lines") > 0)
     return aligned.groupBy("d", "th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("lines"))
 
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, small
+from tessera.llm.common import materialize, small, small_batches
 from tessera.llm.components import connected_components
 
 #: Prefix shingles that a linked pair must share (fewer for tiny sets).
@@ -94,7 +94,7 @@ def documents_nodes(docs: DataFrame, k: int) -> DataFrame:
                 names=["doc_id", "node", "n"],
             )
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node bigint, n bigint")
+    return docs.transform(small_batches).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node bigint, n bigint")
 
 
 def starts(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -109,7 +109,7 @@ def starts(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 names=["node", "n", "first"],
             )
 
-    return docs.mapInArrow(run, "node bigint, n bigint, first array<bigint>").dropDuplicates(["node"])
+    return docs.transform(small_batches).mapInArrow(run, "node bigint, n bigint, first array<bigint>").dropDuplicates(["node"])
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, one_doc: DataFrame, k: int) -> DataFrame:
@@ -124,7 +124,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, one_doc: DataFrame, k: int) ->
                 [pa.array([node_of(h) for h in sets], pa.int64()), pa.array([h.tobytes() for h in sets], pa.binary())], names=["node", "h"]
             )
 
-    return texts.mapInArrow(run, "node bigint, h binary")
+    return texts.transform(small_batches).mapInArrow(run, "node bigint, h binary")
 
 
 def prefixes(source: DataFrame, frequent, percent: int, whole: bool) -> DataFrame:
@@ -154,7 +154,7 @@ def prefixes(source: DataFrame, frequent, percent: int, whole: bool) -> DataFram
                 names=["node", "n", "prefix", "plain"],
             )
 
-    return source.mapInArrow(run, "node bigint, n bigint, prefix array<bigint>, plain bigint")
+    return source.transform(small_batches).mapInArrow(run, "node bigint, n bigint, prefix array<bigint>, plain bigint")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, one_doc: DataFrame, k: int, percent: int) -> DataFrame:
@@ -177,7 +177,7 @@ def verified(pairs: DataFrame, docs: DataFrame, one_doc: DataFrame, k: int, perc
                 ok.append(100 * common >= percent * (len(both) - common))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    return joined.mapInArrow(run, "a bigint, b bigint")
+    return joined.transform(small_batches).mapInArrow(run, "a bigint, b bigint")
 
 
 def links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe
-from tessera.llm.common import materialize
+from tessera.llm.common import materialize, small_batches
 
 #: Pieces of one length that a single task ranks, about.
 RANKED_TOGETHER = 20_000
@@ -73,7 +73,7 @@ def token_pieces(
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).transform(small_batches).mapInArrow(
         run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
     )
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import hash_sample
+from tessera.llm.common import hash_sample, small_batches
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -220,7 +220,7 @@ def _measured(docs: DataFrame, model: Trees | None, extra: bool) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     tail = "features array<double>" if extra else "kept boolean, probability double"
-    return docs.mapInArrow(run, f"doc_id {kind}, " + "".join(f"{c} bigint, " for c in BASE) + f"base_failed boolean, {tail}")
+    return docs.transform(small_batches).mapInArrow(run, f"doc_id {kind}, " + "".join(f"{c} bigint, " for c in BASE) + f"base_failed boolean, {tail}")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Trees | None:
@@ -261,4 +261,4 @@ def keep(docs: DataFrame, model: Trees | None, text_col: str = "text") -> DataFr
                 ok &= trees.probability(np.array([f for _, f in got], float)) >= trees.threshold
             yield batch.filter(pa.array(ok))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(small_batches).mapInArrow(run, docs.schema)

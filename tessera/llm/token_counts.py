@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe
-from tessera.llm.common import materialize, new_folder
+from tessera.llm.common import materialize, new_folder, small_batches
 
 BLOCK_BYTES = 8 << 20
 
@@ -65,7 +65,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, separator: int, id_w
                     size += id_width
         yield pa.RecordBatch.from_arrays([pa.array([name.rsplit("/", 1)[1]]), pa.array([size], pa.int64())], names=["path", "bytes"])
 
-    files = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "path string, bytes bigint")
+    files = docs.select(F.col(text_col).alias("text")).transform(small_batches).mapInArrow(run, "path string, bytes bigint")
     return materialize(files.select(F.concat(F.lit(folder + "/"), "path").alias("path"), "bytes"), "token-files")
 
 
@@ -97,7 +97,7 @@ def count_tokens(files: DataFrame, separator: int, id_width: int = 2, block_byte
                 )
 
     scanned = materialize(
-        blocks.mapInArrow(scan, "path string, block bigint, ends array<bigint>, n bigint, last_end bigint, tokens bigint"), "blocks"
+        blocks.transform(small_batches).mapInArrow(scan, "path string, block bigint, ends array<bigint>, n bigint, last_end bigint, tokens bigint"), "blocks"
     )
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = scanned.select(
