@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from tessera.llm.common import small_batches
+from tessera.llm.common import kept, small_batches
 
 BITS = 20
 MASK = (1 << BITS) - 1
@@ -254,16 +254,14 @@ class Decoder:
         return self.state.decode(b"", final=True)
 
 
-_LOADED: dict[str, tuple[dict, Encoder]] = {}
-
-
 def loaded(text: str) -> tuple[dict, Encoder]:
     """The tokenizer file's content, and one encoder of it per worker process."""
-    key = hashlib.sha256(text.encode()).hexdigest()
-    if key not in _LOADED:
+
+    def make() -> tuple[dict, Encoder]:
         spec = json.loads(text)
-        _LOADED[key] = (spec, Encoder(spec))
-    return _LOADED[key]
+        return spec, Encoder(spec)
+
+    return kept(hashlib.sha256(text.encode()).hexdigest(), make)
 
 
 def read_spec(path: str) -> str:

@@ -6,6 +6,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,23 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+#: What a worker process keeps between the tasks of one operator.
+_KEPT: dict = {}
+
+
+def kept(key: str, make: Callable):
+    """``make()``, kept in this worker process under ``key``; another key's entry goes."""
+    if key not in _KEPT:
+        release()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Frees what an earlier operator's tasks kept in this (reused) worker process."""
+    _KEPT.clear()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

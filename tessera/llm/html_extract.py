@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small_batches
+from tessera.llm.common import release, small_batches
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("script style noscript template head title svg math iframe object canvas audio video".split())
@@ -356,6 +356,7 @@ def extract(pages: DataFrame, model: Model, id_col: str = "page_id", url_col: st
     shared = pages.sparkSession.sparkContext.broadcast((model.weights, model.pair))
 
     def run(batches):
+        release()
         m = Model()
         m.weights, m.pair = shared.value
         m.weights = m.weights.tolist()

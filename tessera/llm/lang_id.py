@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import hash_sample, small_batches
+from tessera.llm.common import hash_sample, release, small_batches
 
 UND = "und"
 BUCKETS = 1 << 16
@@ -177,6 +177,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        release()
         scorer = Scorer(shared.value)
         for batch in batches:
             out = list(zip(*(scorer.predict(t.as_py()) for t in batch.column(1)))) or [(), (), ()]
@@ -197,6 +198,7 @@ def accept(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     at = docs.columns.index(text_col)
 
     def run(batches):
+        release()
         scorer = Scorer(shared.value)
         for batch in batches:
             yield batch.filter(pa.array([not scorer.predict(t.as_py())[2] for t in batch.column(at)], pa.bool_()))

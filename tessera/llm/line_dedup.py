@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fresh, materialize, small, small_batches
+from tessera.llm.common import fresh, materialize, release, small, small_batches
 
 MIN_WORDS = 30
 
@@ -134,6 +134,7 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id"
     kind = texts.schema["d"].dataType.simpleString()
 
     def run(batches):
+        release()
         for batch in batches:
             got = [line_hashes(t.as_py()) for t in batch.column(2)]
             keys = [list(dict.fromkeys(passage_keys(h, w, min_words))) for h, w in got]
@@ -162,6 +163,7 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id"
     )
 
     def align(batches):
+        release()
         for batch in batches:
             cut = [common_blocks(*args, min_words) for args in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cut, pa.list_(pa.int32()))], names=["d", "th", "lines"])

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, small, small_batches
+from tessera.llm.common import materialize, release, small, small_batches
 from tessera.llm.components import connected_components
 
 #: Prefix shingles that a linked pair must share (fewer for tiny sets).
@@ -87,6 +87,7 @@ def documents_nodes(docs: DataFrame, k: int) -> DataFrame:
     """``doc_id, node, n`` of every row of ``docs`` (``doc_id, text``)."""
 
     def run(batches):
+        release()
         for batch in batches:
             sets = [shingles(t.as_py(), k) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -101,6 +102,7 @@ def starts(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``node, n, first``: the smallest hashes of every node, one and a half prefixes long."""
 
     def run(batches):
+        release()
         for batch in batches:
             sets = [h for t in batch.column(1) if len(h := shingles(t.as_py(), k))]
             yield pa.RecordBatch.from_arrays(
@@ -118,6 +120,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, one_doc: DataFrame, k: int) ->
     texts = docs.join(small(ids.select(F.col("one").alias("w_id"))), F.col("doc_id") == F.col("w_id"), "left_semi")
 
     def run(batches):
+        release()
         for batch in batches:
             sets = [h for t in batch.column(1) if len(h := shingles(t.as_py(), k))]
             yield pa.RecordBatch.from_arrays(
@@ -133,6 +136,7 @@ def prefixes(source: DataFrame, frequent, percent: int, whole: bool) -> DataFram
     counts its shingles that are not on the frequent list."""
 
     def run(batches):
+        release()
         last = frequent.value
         for batch in batches:
             ids, ns, out, plain = [], [], [], []
@@ -167,6 +171,7 @@ def verified(pairs: DataFrame, docs: DataFrame, one_doc: DataFrame, k: int, perc
     joined = pairs.join(right, F.col("b") == F.col("b_node")).join(left, F.col("a") == F.col("a_node")).select("a", "b", "ha", "hb")
 
     def run(batches):
+        release()
         for batch in batches:
             ok = []
             for x, y in zip(batch.column(2), batch.column(3)):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import hash_sample, small_batches
+from tessera.llm.common import hash_sample, release, small_batches
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -199,6 +199,7 @@ def _measured(docs: DataFrame, model: Trees | None, extra: bool) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        release()
         trees = shared.value
         for batch in batches:
             if not batch.num_rows:
@@ -251,6 +252,7 @@ def keep(docs: DataFrame, model: Trees | None, text_col: str = "text") -> DataFr
     at = docs.columns.index(text_col)
 
     def run(batches):
+        release()
         trees = shared.value
         for batch in batches:
             if not batch.num_rows:
