@@ -1,17 +1,18 @@
 """Line dedup by pairwise alignment.
 
 A passage is a run of lines; the shortest run of at least ``min_words`` words that starts
-at a line is a rare key by construction (frequent short lines alone never make one). Each
-key names the first document that has it, so a document is paired with the earlier
-documents that it overlaps, and a passage in a million documents makes a million pairs
-at most, never all pairs. Each pair is aligned by patience diff on line hashes, and the
-aligned common blocks of at least ``min_words`` words are deleted from the later one.
+or ends at a line is a rare key by construction (frequent short lines alone never make
+one). Each key names the first document that has it, so a document is paired with the
+earlier documents that it overlaps, and a passage in a million documents makes a million
+pairs at most, never all pairs. Each pair is aligned by patience diff on line hashes, and
+the aligned common blocks of at least ``min_words`` words are deleted from the later one;
+so is every run of a key that the pair shares, wherever it was moved or repeated.
 
 "Earlier" is by id, then by a hash of the text. Every line of a deleted block stays in
 the first document that has it. Results for odd input: null and empty texts and rows
 without an id stay as they are; rows that repeat both id and text share their fate;
-lines are compared without white space at their ends; blank lines belong to a block
-only between its other lines.
+lines are compared without white space at their ends; blank lines are left out of the
+comparison and go between two deleted lines only.
 """
 
 from __future__ import annotations
@@ -39,20 +40,29 @@ def line_hashes(text: str) -> tuple[list[int], list[int]]:
     return hashes, words
 
 
+def passage_runs(hashes: list[int], words: list[int], min_words: int) -> list[tuple[int, int, int]]:
+    """``(key, start, end)`` of the shortest runs with enough words from each line, and of
+    those to each line; no line is blank."""
+    raw = np.array(hashes, np.int64).tobytes()
+    upto = np.concatenate([[0], np.cumsum(np.array(words, np.int64))])
+    # first end for each start, last start for each end
+    ends = np.searchsorted(upto, upto[:-1] + min_words)
+    starts = np.searchsorted(upto, upto[1:] - min_words, "right") - 1
+    spans = {(s, e) for s, e in enumerate(ends.tolist()) if e <= len(hashes)} | {(s, e + 1) for e, s in enumerate(starts.tolist()) if s >= 0}
+    return [(xxhash.xxh64_intdigest(raw[8 * s : 8 * e]) - (1 << 63), s, e) for s, e in sorted(spans)]
+
+
 def passage_keys(hashes: list[int], words: list[int], min_words: int) -> list[int]:
     """Hash of the shortest run with enough words from each line that is not blank."""
     at = [i for i, w in enumerate(words) if w]
-    keys, end, total = [], 0, 0
-    raw = np.array([hashes[i] for i in at], np.int64).tobytes()
-    for start in range(len(at)):
-        while end < len(at) and total < min_words:
-            total += words[at[end]]
-            end += 1
-        if total < min_words:
-            break
-        keys.append(xxhash.xxh64_intdigest(raw[8 * start : 8 * end]) - (1 << 63))
-        total -= words[at[start]]
-    return keys
+    firsts = {s: k for k, s, _ in reversed(passage_runs([hashes[i] for i in at], [words[i] for i in at], min_words))}
+    return [firsts[s] for s in sorted(firsts)]
+
+
+def all_keys(hashes: list[int], words: list[int], min_words: int) -> list[int]:
+    """Distinct keys of a document: shortest runs from each line and to each line."""
+    at = [i for i, h in enumerate(hashes) if h]
+    return list(dict.fromkeys(k for k, _, _ in passage_runs([hashes[i] for i in at], [words[i] for i in at], min_words)))
 
 
 def patience(later: list[int], earlier: list[int]) -> dict[int, int]:
@@ -99,9 +109,9 @@ def patience(later: list[int], earlier: list[int]) -> dict[int, int]:
     return match
 
 
-def common_blocks(later: list[int], words: list[int], earlier: list[int], min_words: int) -> list[int]:
-    """Lines of ``later`` in aligned common blocks of at least ``min_words`` words.
-    Passes repeat on what is not deleted yet, so moved passages are found too."""
+def aligned_lines(later: list[int], words: list[int], earlier: list[int], min_words: int) -> set[int]:
+    """Lines of ``later`` in aligned common blocks of at least ``min_words`` words (no
+    blank lines on either side). Passes repeat on what is not deleted yet."""
     lines, gone = list(later), set()
     while True:
         match = patience(lines, earlier)
@@ -109,23 +119,43 @@ def common_blocks(later: list[int], words: list[int], earlier: list[int], min_wo
         block: list[int] = []
         for i in [*sorted(match), None]:
             if block and (i is None or i != block[-1] + 1 or match[i] != match[block[-1]] + 1):
-                while block and not lines[block[0]]:
-                    block.pop(0)
-                while block and not lines[block[-1]]:
-                    block.pop()
                 if sum(words[b] for b in block) >= min_words:
                     found.update(block)
                 block = []
             if i is not None:
                 block.append(i)
         if not found:
-            return sorted(gone)
+            return gone
         gone |= found
         # a deleted line must not match, or bridge its neighbours, again
         for i in found:
             lines[i] = -(1 << 62) - i
 
 
+def common_blocks(later: list[int], words: list[int], earlier: list[int], min_words: int) -> list[int]:
+    """Lines of ``later`` in runs of at least ``min_words`` words that ``earlier`` has too,
+    blank lines aside: the aligned blocks, and every key run of ``earlier`` (moved and
+    repeated passages, whatever the alignment chose). Each line of a common run is in a
+    shortest run from a start or to an end within it, so none is left."""
+    at = [i for i, h in enumerate(later) if h]
+    mine, n = [later[i] for i in at], [words[i] for i in at]
+    theirs = [h for h in earlier if h]
+    gone = aligned_lines(mine, n, theirs, min_words)
+    count = dict(zip(mine, n))
+    shared: set[int] = set()
+    part: list[int] = []
+    for h in [*theirs, None]:  # a line that only the earlier one has ends a common run
+        if h in count:
+            part.append(h)
+        elif part:
+            shared.update(k for k, _, _ in passage_runs(part, [count[x] for x in part], min_words))
+            part = []
+    for k, start, end in passage_runs(mine, n, min_words):
+        if k in shared:
+            gone.update(range(start, end))
+    return sorted(line for i in gone for line in (range(at[i], at[i + 1]) if i + 1 in gone else (at[i],)))
+
+
 def removals(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``d, th, lines``: line numbers to delete, per id and text hash."""
     texts = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
@@ -137,7 +167,7 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id"
         release()
         for batch in batches:
             got = [line_hashes(t.as_py()) for t in batch.column(2)]
-            keys = [list(dict.fromkeys(passage_keys(h, w, min_words))) for h, w in got]
+            keys = [all_keys(h, w, min_words) for h, w in got]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([h for h, _ in got], pa.list_(pa.int64())),
                  pa.array([w for _, w in got], pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))],

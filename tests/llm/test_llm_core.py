@@ -254,3 +254,25 @@ def test_common_blocks():
     hashes = [11, 12, 13, 14, 15]
     assert len(line_dedup.passage_keys(hashes, words, 4)) == 3
     assert line_dedup.passage_keys(hashes, words, 100) == []
+
+
+def test_common_blocks_of_moved_and_repeated_lines():
+    count = {1: 60, 2: 5, 3: 5, 4: 20, 5: 20, 6: 20, 7: 3, 8: 3}
+
+    def cut(later, earlier):
+        return line_dedup.common_blocks(later, [count.get(h, 0) for h in later], earlier, 30)
+
+    assert cut([1, 2, 3], [2, 3, 1]) == [0]  # the chain of two short lines is longer
+    assert cut([2, 7, 1, 8, 1], [2, 1]) == [2, 4]
+    assert cut([2, 7, 1, 8], [2, 1, 3, 1]) == [2]
+    assert cut([4, 5, 6], [4, 0, 5, 0, 6]) == [0, 1, 2]  # blank lines of one side
+    assert cut([4, 0, 5, 0, 0, 6, 0], [7, 4, 5, 6]) == [0, 1, 2, 3, 4, 5]
+    rng = random.Random(12)
+    for _ in range(300):
+        later, earlier = ([rng.randint(0, 8) for _ in range(rng.randint(0, 14))] for _ in range(2))
+        at = [i for i, h in enumerate(later) if h]
+        lines, there = [later[i] for i in at], [h for h in earlier if h]
+        runs = {tuple(there[i:j]) for i in range(len(there)) for j in range(i + 1, len(there) + 1)}
+        spans = [(i, j) for i in range(len(at)) for j in range(i + 1, len(at) + 1) if tuple(lines[i:j]) in runs and sum(count[h] for h in lines[i:j]) >= 30]
+        gone = {x for i, j in spans for x in range(i, j)}
+        assert cut(later, earlier) == sorted(x for i in gone for x in (range(at[i], at[i + 1]) if i + 1 in gone else [at[i]]))
