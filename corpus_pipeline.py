@@ -26,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of an earlier document; emptied documents go."""
-    return line_dedup.clean_documents(docs)
+    return line_dedup.clean_documents(docs, passage=line_dedup.PASSAGE)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,7 +63,7 @@ def op8_html_extract(spark, sf_dir):
 
 def op9_line_dedup(spark, sf_dir):
     """Every document without the passages that an earlier one has."""
-    return line_dedup.dedup_lines(documents(spark, sf_dir))
+    return line_dedup.dedup_lines(documents(spark, sf_dir), passage=line_dedup.PASSAGE)
 
 
 def op10_sharding(spark, sf_dir):

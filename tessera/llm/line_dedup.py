@@ -8,26 +8,42 @@ pairs at most, never all pairs. Each pair is aligned by patience diff on line ha
 the aligned common blocks of at least ``min_words`` words are deleted from the later one;
 so is every run of a key that the pair shares, wherever it was moved or repeated.
 
-"Earlier" is by id, then by a hash of the text. Every line of a deleted block stays in
-the first document that has it. Results for odd input: null and empty texts and rows
-without an id stay as they are; rows that repeat both id and text share their fate;
-lines are compared without white space at their ends; blank lines are left out of the
-comparison and go between two deleted lines only.
+With ``passage``, those that start or end inside a line are found by words, line ends
+aside: the least hash of every ``passage - min_words + 1`` neighbouring windows of
+``min_words`` words is a key, so any common run of ``passage`` words has one in both
+documents. Around the keys that two documents share, all windows are compared, and every
+window that an earlier document has is deleted from the later ones: no word of a common
+run of ``passage`` words (over 50) is left, and no word outside a common run of
+``min_words`` goes. Shorter runs of words, and repeated lines that make no run of
+``min_words``, stay by that rule.
+
+"Earlier" is by id, then by a hash of the text. Every line of a deleted block, and every
+deleted window, stays in the first document that has it (less what a still earlier one
+has). Results for odd input: null and empty texts and rows without an id stay as they are;
+rows that repeat both id and text share their fate; lines are compared without white space
+at their ends; blank lines are left out of the comparison and go between two deleted lines
+only; where words go from within a line, its other words stay, joined by a blank.
 """
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fresh, materialize, release, small, small_batches
+from tessera.llm.common import BROADCAST_IDS, fresh, materialize, release, small, small_batches
 
 MIN_WORDS = 30
+#: Shortest common run of words that is certain to be found wherever it starts: over 50.
+PASSAGE = 51
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def line_hashes(text: str) -> tuple[list[int], list[int]]:
@@ -156,25 +172,139 @@ def common_blocks(later: list[int], words: list[int], earlier: list[int], min_wo
     return sorted(line for i in gone for line in (range(at[i], at[i + 1]) if i + 1 in gone else (at[i],)))
 
 
-def removals(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``d, th, lines``: line numbers to delete, per id and text hash."""
+def word_hashes(text: str) -> np.ndarray:
+    """Hash of every word, line ends aside."""
+    words = text.encode("utf-8", "replace").split()
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
+
+
+def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the ``n`` words from each word, made of runs of 1, 2, 4, ... words."""
+    m = len(words) - n + 1
+    if m <= 0:
+        return np.zeros(0, np.int64)
+    out, at, size, level = np.zeros(m, np.uint64), 0, 1, words
+    while size <= n:
+        if n & size:
+            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + level[at : at + m])
+            at += size
+        if 2 * size <= n:
+            level = mixed(level[:-size] * np.uint64(0xA0761D6478BD642F) + level[size:])
+        size *= 2
+    return out.view(np.int64)
+
+
+def window_keys(windows: np.ndarray, reach: int) -> list[int]:
+    """Distinct least hashes of every ``reach`` neighbouring windows."""
+    if len(windows) < reach:
+        return []
+    return np.unique(np.lib.stride_tricks.sliding_window_view(windows, reach).min(axis=1)).tolist()
+
+
+def near_keys(windows: np.ndarray, keys: list[int], reach: int) -> np.ndarray:
+    """Starts of the windows less than ``reach`` from one with a hash of ``keys``."""
+    at = np.flatnonzero(np.isin(windows, np.array(keys, np.int64)))
+    step = np.zeros(len(windows) + 1, np.int64)
+    np.add.at(step, np.maximum(at - reach + 1, 0), 1)
+    np.add.at(step, np.minimum(at + reach, len(windows)), -1)
+    return np.flatnonzero(np.cumsum(step)[:-1])
+
+
+def cut_text(text: str, lines: list[int], starts: list[int], n: int) -> tuple[str, list[int], int]:
+    """``text`` without ``lines`` and without the ``n`` words from each of ``starts``; the
+    numbers of the lines that went, and how many words went."""
+    rows = text.encode("utf-8", "replace").split(b"\n")
+    words = [len(r.split()) for r in rows]
+    first = np.concatenate([[0], np.cumsum(np.array(words, np.int64))])
+    gone = np.zeros(first[-1], bool)
+    for i in lines:
+        gone[first[i] : first[i + 1]] = True
+    for s in starts:
+        gone[s : s + n] = True
+    out: list[bytes | None] = []
+    for i, row in enumerate(rows):
+        lost = gone[first[i] : first[i + 1]]
+        if not lost.any():
+            out.append(row)
+        elif lost.all():
+            out.append(None)
+        else:
+            spans = [m.span() for m in _WORD.finditer(row)]
+            kept = np.flatnonzero(~lost).tolist()
+            line = row[: spans[0][0]] if kept[0] == 0 else b""
+            for before, k in zip([None, *kept], kept):
+                if before is not None:
+                    line += row[spans[before][1] : spans[k][0]] if before == k - 1 else b" "
+                line += row[spans[k][0] : spans[k][1]]
+            out.append(line + (row[spans[-1][1] :] if kept[-1] == len(spans) - 1 else b""))
+    whole = [i for i, w in enumerate(words) if w]
+    for i, j in zip(whole, whole[1:]):  # blank lines between two deleted ones
+        if out[i] is None and out[j] is None:
+            out[i + 1 : j] = [None] * (j - i - 1)
+    return b"\n".join(r for r in out if r is not None).decode("utf-8", "replace"), [i for i, r in enumerate(out) if r is None], int(gone.sum())
+
+
+def word_starts(texts: DataFrame, lines: DataFrame, n: int, reach: int) -> DataFrame:
+    """``d, th, starts``: first words of the windows that an earlier document has."""
+    keyed = lines.select(F.explode("windows").alias("k"), "r")
+    both = keyed.groupBy("k").count().filter("count > 1").select("k")  # a repeated row counts too: it adds no earlier document
+    shared = keyed.join(both, "k").groupBy("r").agg(F.collect_list("k").alias("ks"))
+    # one number for (id, text hash), in their order: narrow rows from here on
+    hot = shared.join(lines.select("r", F.col("d").alias("h_d"), F.col("th").alias("h_th")), "r").dropDuplicates(["h_d", "h_th"])
+    hot = materialize(hot.orderBy("h_d", "h_th").select(F.monotonically_increasing_id().alias("me"), "h_d", "h_th", "ks"), "shared-windows")
+    ids = hot.select("h_d").distinct()
+    if ids.count() <= BROADCAST_IDS:
+        texts = texts.join(F.broadcast(ids), F.col("d") == F.col("h_d"), "left_semi")
+    found = texts.join(hot, (F.col("d") == F.col("h_d")) & (F.col("th") == F.col("h_th"))).select("me", "text", "ks")
+
+    def run(batches):
+        release()
+        for batch in batches:
+            near = []
+            for text, keys in zip(batch.column(1), batch.column(2)):
+                windows = window_hashes(word_hashes(text.as_py()), n)
+                at = near_keys(windows, keys.values.to_numpy(), reach)
+                near.append((windows[at].tolist(), at.tolist()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([k for k, _ in near], pa.list_(pa.int64())), pa.array([a for _, a in near], pa.list_(pa.int32()))],
+                names=["me", "ks", "starts"],
+            )
+
+    dense = materialize(found.transform(small_batches).mapInArrow(run, "me bigint, ks array<bigint>, starts array<int>"), "windows")
+    spots = dense.select("me", F.explode(F.arrays_zip("ks", "starts")).alias("w")).select(F.col("w.ks").alias("k"), "me", F.col("w.starts").alias("start"))
+    first = spots.groupBy(F.col("k").alias("f_k")).agg(F.min("me").alias("first"))
+    late = spots.join(first, F.col("k") == F.col("f_k")).filter("first < me").groupBy("me").agg(F.array_sort(F.collect_set("start")).alias("starts"))
+    return late.join(hot.select("me", F.col("h_d").alias("d"), F.col("h_th").alias("th")), "me").select("d", "th", "starts")
+
+
+def removals(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", passage: int | None = None) -> DataFrame:
+    """``d, th, lines, starts``: line numbers to delete and first words of the windows to
+    delete, per id and text hash; whole lines only if ``passage`` is None."""
     texts = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("d"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text")
     )
     kind = texts.schema["d"].dataType.simpleString()
+    reach = max(passage, min_words) - min_words + 1 if passage else 0
 
     def run(batches):
         release()
         for batch in batches:
             got = [line_hashes(t.as_py()) for t in batch.column(2)]
             keys = [all_keys(h, w, min_words) for h, w in got]
+            windows = [window_keys(window_hashes(word_hashes(t.as_py()), min_words), reach) if reach else [] for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([h for h, _ in got], pa.list_(pa.int64())),
-                 pa.array([w for _, w in got], pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))],
-                names=["d", "th", "hashes", "words", "keys"],
-            ).filter(pa.array([bool(k) for k in keys], pa.bool_()))
+                [batch.column(0), batch.column(1), pa.array([h for h, _ in got], pa.list_(pa.int64())), pa.array([w for _, w in got], pa.list_(pa.int32())),
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(windows, pa.list_(pa.int64()))],
+                names=["d", "th", "hashes", "words", "keys", "windows"],
+            ).filter(pa.array([bool(k or w) for k, w in zip(keys, windows)], pa.bool_()))
 
-    lines = materialize(texts.transform(small_batches).mapInArrow(run, f"d {kind}, th bigint, hashes array<bigint>, words array<int>, keys array<bigint>"), "lines")
+    found = texts.transform(small_batches).mapInArrow(run, f"d {kind}, th bigint, hashes array<bigint>, words array<int>, keys array<bigint>, windows array<bigint>")
+    lines = materialize(found.withColumn("r", F.monotonically_increasing_id()), "lines")
     keyed = lines.select(F.explode("keys").alias("k"), F.struct("d", "th").alias("me"))
     first = keyed.groupBy("k").agg(F.min("me").alias("first"), F.max("me").alias("most")).filter("first < most")
     first = first.select(F.col("k").alias("f_k"), "first")
@@ -183,7 +313,7 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id"
             F.col("me.d").alias("l_d"), F.col("me.th").alias("l_th"), F.col("first.d").alias("e_d"), F.col("first.th").alias("e_th")
         ).distinct(), "line-pairs",
     )
-    once = lines.dropDuplicates(["d", "th"])
+    once = lines.filter(F.size("keys") > 0).dropDuplicates(["d", "th"])
     later = once.select(F.col("d").alias("a_d"), F.col("th").alias("a_th"), F.col("hashes").alias("a_h"), F.col("words").alias("a_w"))
     earlier = once.select(F.col("d").alias("b_d"), F.col("th").alias("b_th"), F.col("hashes").alias("b_h"))
     both = (
@@ -199,48 +329,61 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cut, pa.list_(pa.int32()))], names=["d", "th", "lines"])
 
     aligned = both.transform(small_batches).mapInArrow(align, f"d {kind}, th bigint, lines array<int>").filter(F.size("lines") > 0)
-    return aligned.groupBy("d", "th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("lines"))
+    cut = aligned.withColumn("starts", F.array().cast("array<int>"))
+    if passage:
+        cut = cut.unionByName(word_starts(texts, lines, min_words, reach).withColumn("lines", F.array().cast("array<int>")))
+    return cut.groupBy("d", "th").agg(*(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("lines", "starts")))
 
 
-def marked(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> tuple[DataFrame, str, str]:
-    """``docs`` with the lines to delete and the text without them, under fresh names."""
-    cut = materialize(removals(docs, min_words, id_col, text_col), "removals")
-    hit, th, lines, d, clean = fresh(docs, "hit_id", "text_hash", "cut_lines", "cut_id", "clean_text")
-    ids = cut.select(F.col("d").alias(hit)).distinct()
-    ids = small(ids)
+def marked(docs: DataFrame, min_words: int, id_col: str, text_col: str, passage: int | None) -> tuple[DataFrame, str]:
+    """``docs`` with what a cut leaves (null without one): ``text``, ``lines`` (numbers of
+    the deleted lines) and ``words`` (how many were deleted), under a fresh name."""
+
+    @F.pandas_udf("text string, lines array<int>, words int")
+    def left(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        release()
+        for texts, lines, starts in parts:
+            rows = [("", [], 0) if l is None else cut_text(t, l, s, min_words) for t, l, s in zip(texts, lines, starts)]
+            yield pd.DataFrame(rows, columns=["text", "lines", "words"])
+
+    cut = materialize(removals(docs, min_words, id_col, text_col, passage), "removals")
+    hit, th, d, c_th, lines, starts, out = fresh(docs, "hit_id", "text_hash", "cut_id", "cut_hash", "cut_lines", "cut_starts", "cut")
+    ids = small(cut.select(F.col("d").alias(hit)).distinct())
     touched = docs.join(ids, docs[id_col] == F.col(hit), "left_semi").withColumn(th, F.xxhash64(F.col(text_col)))
-    plan = cut.select(F.col("d").alias(d), F.col("th").alias("th_"), F.col("lines").alias(lines))
-    joined = touched.join(plan, (F.col(id_col) == F.col(d)) & (F.col(th) == plan["th_"]), "left").drop(d, th, "th_" if "th_" not in docs.columns else plan["th_"])
-    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col(lines), i))
-    cleaned = joined.withColumn(clean, F.when(F.col(lines).isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text_col)))
+    plan = cut.select(F.col("d").alias(d), F.col("th").alias(c_th), F.col("lines").alias(lines), F.col("starts").alias(starts))
+    joined = touched.join(plan, (F.col(id_col) == F.col(d)) & (F.col(th) == F.col(c_th)), "left").transform(small_batches)
+    made = left.asNondeterministic()(F.col(text_col), F.col(lines), F.col(starts))
+    cleaned = joined.withColumn(out, made).withColumn(out, F.when(F.col(lines).isNotNull(), F.col(out))).drop(th, d, c_th, lines, starts)
     same = docs.join(ids, docs[id_col] == F.col(hit), "left_anti")
-    same = same.withColumn(lines, F.lit(None).cast("array<int>")).withColumn(clean, F.col(text_col))
-    return cleaned.unionByName(same), lines, clean
+    return cleaned.unionByName(same.withColumn(out, F.lit(None).cast(cleaned.schema[out].dataType))), out
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text`` (without the deleted lines), ``n_lines`` (before) and
-    ``removed_lines`` (their numbers from 0) of every row."""
-    out, lines, clean = marked(docs.select(id_col, text_col), min_words, id_col, text_col)
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", passage: int | None = None) -> DataFrame:
+    """``doc_id, text`` (without what is deleted), ``n_lines`` (before), ``removed_lines``
+    (numbers from 0 of the lines of which nothing is left) and ``removed_words`` of every row.
+    Without ``passage`` whole lines only; with it also runs of words within lines."""
+    out, cut = marked(docs.select(id_col, text_col), min_words, id_col, text_col, passage)
     return out.select(
-        F.col(id_col).alias("doc_id"), F.col(clean).alias("text"),
+        F.col(id_col).alias("doc_id"), F.when(F.col(cut).isNotNull(), F.col(cut)["text"]).otherwise(F.col(text_col)).alias("text"),
         F.coalesce(F.size(F.split(F.col(text_col), "\n", -1)), F.lit(0)).alias("n_lines"),
-        F.coalesce(F.col(lines), F.array().cast("array<int>")).alias("removed_lines"),
+        F.coalesce(F.col(cut)["lines"], F.array().cast("array<int>")).alias("removed_lines"),
+        F.coalesce(F.col(cut)["words"], F.lit(0)).alias("removed_words"),
     )
 
 
-def clean_documents(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
-    """``docs`` (all their columns) without the deleted lines; a document of which nothing
-    is left goes. ``chars_col``, if there, follows a changed text."""
-    out, lines, clean = marked(docs, min_words, id_col, text_col)
-    out = out.filter(F.col(lines).isNull() | (F.regexp_replace(F.col(clean), r"[\x20\x09-\x0D]+", "") != ""))
+def clean_documents(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars", passage: int | None = None) -> DataFrame:
+    """``docs`` (all their columns) without what is deleted (``passage`` as for
+    :func:`dedup_lines`); a document of which nothing is left goes. ``chars_col``, if there, follows a changed text."""
+    out, cut = marked(docs, min_words, id_col, text_col, passage)
+    clean, changed = F.col(cut)["text"], F.col(cut).isNotNull()
+    out = out.filter(~changed | (F.regexp_replace(clean, r"[\x20\x09-\x0D]+", "") != ""))
     cols = []
     for c in docs.columns:
         if c == text_col:
-            cols.append(F.col(clean).alias(c))
+            cols.append(F.when(changed, clean).otherwise(F.col(c)).alias(c))
         elif c == chars_col:
             kind = docs.schema[c].dataType
-            cols.append(F.when(F.col(lines).isNotNull(), F.char_length(F.col(clean)).cast(kind)).otherwise(F.col(c)).alias(c))
+            cols.append(F.when(changed, F.char_length(clean).cast(kind)).otherwise(F.col(c)).alias(c))
         else:
             cols.append(F.col(c))
     return out.select(*cols)

@@ -110,6 +110,53 @@ def test_line_dedup_keeps_every_line_once(spark):
     assert max(lines.values(), default=0) <= 1  # a long line survives in one document only
 
 
+def test_line_dedup_finds_passages_within_lines(spark):
+    def words(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    shared, split = words("s", 51), words("t", 60).split()
+    rows = [
+        (1, f"{words('a', 9)} {shared} {words('b', 7)}\n{words('c', 5)} {' '.join(split)}"),
+        (2, f"{words('d', 40)} {shared} {words('e', 3)}"),  # in mid-line
+        (3, f"x {' '.join(split[:25])}\n\n{' '.join(split[25:])} y\nz"),  # over line ends
+        (4, f"{words('s', 20)} own words {words('t', 25)}"),  # short pieces stay
+        (5, f"{words('f', 33)} {shared} {shared} g"),  # repeated
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs, passage=line_dedup.PASSAGE).collect()}
+    assert [got[i]["text"] for i in (1, 4)] == [rows[0][1], rows[3][1]] and got[1]["removed_words"] == 0
+    assert got[2]["text"] == f"{words('d', 40)} {words('e', 3)}" and got[2]["removed_words"] == 51 and got[2]["removed_lines"] == []
+    cleaned = line_dedup.clean_documents(docs, passage=line_dedup.PASSAGE)
+    assert {r["doc_id"]: r["text"] for r in cleaned.collect()} == {d: r["text"] for d, r in got.items()}
+    assert got[3]["text"] == "x\n\ny\nz" and got[5]["text"] == f"{words('f', 33)} g"
+
+
+def test_no_passage_of_over_50_words_is_left(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    before = {r["doc_id"]: r["text"].split() for r in docs.collect()}
+    after = {r["doc_id"]: r["text"].split() for r in line_dedup.dedup_lines(docs, passage=line_dedup.PASSAGE).collect()}
+
+    def without_copies(n):
+        """Words of every document that are in no run of n words of an earlier one."""
+        first, out = {}, {}
+        for d in sorted(before):
+            text = before[d]
+            copied = [False] * len(text)
+            for i in range(len(text) - n + 1):
+                if first.setdefault(hash(tuple(text[i : i + n])), d) != d:
+                    copied[i : i + n] = [True] * n
+            out[d] = [w for w, c in zip(text, copied) if not c]
+        return out
+
+    def within(part, whole):
+        rest = iter(whole)
+        return all(w in rest for w in part)
+
+    least, most = without_copies(line_dedup.MIN_WORDS), without_copies(line_dedup.PASSAGE)
+    assert sum(map(len, most.values())) < sum(map(len, before.values()))
+    assert all(within(least[d], after[d]) and within(after[d], most[d]) for d in before)
+
+
 def check_packing(rows, capacity):
     by = defaultdict(list)
     for r in rows:
