@@ -10,7 +10,10 @@ order. The potentials are trained by maximum likelihood on labelled pages
 
 Results for odd input: null or empty html, and pages without an article, give an empty
 text; unclosed and stray tags are tolerated (a page without ``</body>`` is read to its
-end); repeated rows give equal results.
+end, a head ends where its content does); repeated rows give equal results. Only script,
+style, template and the page's title are dropped before the model; MathML, SVG text and
+the fallback text of noscript, object, canvas, audio, video and iframe are scored as the
+text around them.
 """
 
 from __future__ import annotations
@@ -28,8 +31,11 @@ from pyspark.sql import functions as F
 from tessera.llm.common import release, small_batches
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("script style noscript template head title svg math iframe object canvas audio video".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+DROPPED = frozenset("script style template title".split())
+#: A head without its end tag ends at any other tag (or at text).
+IN_HEAD = frozenset("html head base link meta noscript script style template title".split())
+FOREIGN = frozenset({"math", "svg"})
+INLINE = frozenset("a abbr acronym audio b bdi bdo big canvas cite code data del dfn em font i iframe img ins kbd label mark math noscript object q s samp small span strike strong sub sup svg time tt u var video wbr".split())
 #: An opening tag ends these open elements, up to the given containers.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 TAGS = "html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tbody tr td th blockquote pre figure figcaption nav header footer aside form fieldset button select option textarea dialog details summary address menu center".split()
@@ -60,8 +66,9 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes: list[tuple[int, tuple]] = []
         self.runs: dict[int, str] = {}
-        self.stack: list[list] = []  # tag, attributes, node or None
+        self.stack: list[list] = []  # tag, attributes, node or None, dropped, inline
         self.dropped = 0
+        self.foreign = 0
         self.held: list[tuple[str, bool]] = []
         self.links = 0
         self.feed(html)
@@ -72,7 +79,7 @@ class Page(HTMLParser):
         """Node of the innermost open block element; makes the missing ones."""
         parent = -1
         for entry in self.stack:
-            if entry[2] is None and entry[0] not in INLINE:
+            if entry[2] is None and not entry[4]:
                 inside = any(e[0] in ("article", "main") for e in self.stack[: self.stack.index(entry)]) if entry[0] in ("header", "footer") else False
                 self.nodes.append((parent, (entry[0], entry[1], inside)))
                 entry[2] = len(self.nodes) - 1
@@ -91,23 +98,36 @@ class Page(HTMLParser):
             self.held = []
 
     def pop_to(self, at: int) -> None:
-        if any(e[0] not in INLINE for e in self.stack[at:]):
+        if any(not e[4] for e in self.stack[at:]):
             self.flush()
         for entry in self.stack[at:]:
-            self.dropped -= entry[0] in DROPPED
+            self.dropped -= entry[3]
+            self.foreign -= entry[0] in FOREIGN
             self.links -= entry[0] == "a"
+            if self.foreign and entry[0] in ("text", "title", "desc"):  # labels of a drawing
+                self.held.append((" ", False))
         del self.stack[at:]
 
+    def end_head(self) -> None:
+        for at, entry in enumerate(self.stack):
+            if entry[0] == "head":
+                self.pop_to(at)
+                break
+
     def handle_starttag(self, tag, attrs):
+        if tag not in IN_HEAD and not self.dropped:
+            self.end_head()
         if tag == "br":
             self.held.append(("\n", False))
             return
-        if tag not in INLINE:
+        # MathML and SVG elements are parts of a line; HTML blocks within them stay blocks
+        inline = tag in INLINE or self.foreign > 0 and tag not in TAGS
+        if not inline:
             for at in range(len(self.stack) - 1, -1, -1):  # a block ends an open paragraph
                 if self.stack[at][0] == "p":
                     self.pop_to(at)
                     break
-                if self.stack[at][0] not in INLINE:
+                if not self.stack[at][4]:
                     break
             if tag in CLOSES:
                 ends, within = CLOSES[tag]
@@ -118,17 +138,14 @@ class Page(HTMLParser):
                         self.pop_to(at)
                         break
             self.flush()
-        if tag == "body":  # a missing </head>
-            for at, entry in enumerate(self.stack):
-                if entry[0] == "head":
-                    self.pop_to(at)
-                    break
         if tag in VOID:
             return
         marks = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
         hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v and "display:none" in v.replace(" ", "") for k, v in attrs)
-        self.stack.append([tag, (marks, hidden), None])
-        self.dropped += tag in DROPPED
+        drop = tag in DROPPED and not (tag == "title" and self.foreign)
+        self.stack.append([tag, (marks, hidden), None, drop, inline])
+        self.dropped += drop
+        self.foreign += tag in FOREIGN
         self.links += tag == "a"
 
     def handle_endtag(self, tag):
@@ -136,11 +153,13 @@ class Page(HTMLParser):
             if self.stack[at][0] == tag:
                 self.pop_to(at)
                 return
-            if tag in INLINE and self.stack[at][0] not in INLINE:
+            if tag in INLINE and not self.stack[at][4]:
                 return
 
     def handle_data(self, data):
         if not self.dropped:
+            if data.strip():
+                self.end_head()
             self.held.append((data, self.links > 0))
 
 

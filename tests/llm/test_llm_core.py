@@ -223,6 +223,22 @@ def test_extraction_details(pages_model):
     assert pages_model.text(None) == pages_model.text("") == pages_model.text("<nav>x</nav>") == ""
 
 
+def test_extraction_drops_only_script_style_template_and_title(pages_model):
+    first = "The first sentence of the article, with enough words to be one."
+    page = f"<html><head><meta charset=utf-8><title>t</title><article><h1>A title</h1><p>{first}<p>Second one.</article>"
+    assert pages_model.text(page) == f"A title {first} Second one."  # neither </head> nor body
+    assert html_extract.Page("<head><title>t</title><template><p>no</p></template>Text of the page").runs == {0: "Text of the page"}
+    for inner, text in [
+        ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "x=2"),
+        ("<svg><title>a chart</title><path d='M0'/><text>of <tspan>sales</tspan></text><style>no</style></svg>", "a chart of sales"),
+        ("<svg><script>no</script></svg>", ""),
+        *((f"<{t}>plain words</{t}>", "plain words") for t in ("noscript", "object", "canvas", "audio", "video")),
+    ]:
+        page = f"<html><head><title>t</title></head><body><article><h1>A title</h1><p>{first} Let {inner} hold.</p></article></body>"
+        assert pages_model.text(page) == " ".join(f"A title {first} Let {text} hold.".split())
+    assert pages_model.text(f"<body><article><p>{first}</p><noscript><p>Second one.</p></noscript></article>") == f"{first} Second one."
+
+
 def test_shingles_and_prefixes():
     assert len(ngram_join.shingles("", 3)) == len(ngram_join.shingles(None, 3)) == 0
     assert (ngram_join.shingles("A b", 3) == ngram_join.shingles("a\tB", 3)).all()
