@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, html_extract, lang_id, line_dedup, ngram_join, packing, quality, sharding, token_counts, topk
+from tessera.llm import bpe, html_extract, lang_id, line_dedup, ngram_join, packing, quality, runs, sharding, token_counts, topk
 from tessera.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -74,7 +74,12 @@ def op10_sharding(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_packing, op3_bpe, op4_ngram_join, op5_language_id, op6_quality, op7_token_counts, op8_html_extract, op9_line_dedup, op10_sharding)}
+def op13_runs(spark, sf_dir):
+    """Periodic runs of every document, by digests."""
+    return runs.run_digests(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_packing, op3_bpe, op4_ngram_join, op5_language_id, op6_quality, op7_token_counts, op8_html_extract, op9_line_dedup, op10_sharding, op13_runs)}
 
 ORACLE = {
     "op1_topk": """
