@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, html_extract, lang_id, line_dedup, ngram_join, packing, quality, runs, sharding, token_counts, topk
+from tessera.llm import bpe, compression, html_extract, lang_id, line_dedup, ngram_join, packing, quality, ranked, runs, sharding, token_counts, topk
 from tessera.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -74,12 +74,23 @@ def op10_sharding(spark, sf_dir):
     )
 
 
+def op11_ranked(spark, sf_dir):
+    """Ten highest-scoring documents of every benchmark item."""
+    return ranked.rank(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 10)
+
+
+def op12_compression(spark, sf_dir):
+    """Quality of every document by compressed sizes."""
+    docs = documents(spark, sf_dir)
+    return compression.score(docs, compression.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op13_runs(spark, sf_dir):
     """Periodic runs of every document, by digests."""
     return runs.run_digests(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_packing, op3_bpe, op4_ngram_join, op5_language_id, op6_quality, op7_token_counts, op8_html_extract, op9_line_dedup, op10_sharding, op13_runs)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_packing, op3_bpe, op4_ngram_join, op5_language_id, op6_quality, op7_token_counts, op8_html_extract, op9_line_dedup, op10_sharding, op11_ranked, op12_compression, op13_runs)}
 
 ORACLE = {
     "op1_topk": """
@@ -96,5 +107,36 @@ WITH v AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""",
+    "op11_ranked": r"""
+WITH item_terms AS (
+    SELECT item, item_id, term, count(*) AS c
+    FROM (
+        SELECT item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)
+    ) GROUP BY ALL
+), doc_terms AS (
+    SELECT row, doc_id, term, count(*) AS tf
+    FROM (
+        SELECT row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)
+    ) GROUP BY ALL
+), lengths AS (
+    SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM doc_terms GROUP BY row
+), corpus AS (
+    SELECT CAST(count(*) AS BIGINT) AS N_docs, CAST(sum(n) AS BIGINT) AS L FROM lengths
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(N_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM doc_terms, corpus GROUP BY term
+), scores AS (
+    SELECT item, item_id, row, doc_id,
+           CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * N_docs) // L))))) AS BIGINT) AS score
+    FROM item_terms JOIN doc_terms USING (term) JOIN weights USING (term) JOIN lengths USING (row), corpus
+    GROUP BY ALL
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+    FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """,
 }

@@ -33,11 +33,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, row_group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (cuts lineage; lost
-    executors re-read files instead of recomputing)."""
+    executors re-read files instead of recomputing). ``row_group_bytes`` bounds what a reader
+    holds at once where single rows are large."""
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes).option("parquet.page.size.row.check.min", 1)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
