@@ -45,12 +45,15 @@ def group_to_lists(
 
     Entry numbers come from counts per (key, range of the first ordinal), summed
     over the earlier ranges, plus the number within the range; no task sorts a hot
-    key whole if the ordinal is numeric and tells its rows apart.
+    key whole if the first column of the order (without ``order``, the first value) is
+    numeric and tells its rows apart. Lines of files get such an ordinal from
+    :func:`tessera.sources.text.number_lines`.
     """
     names = list(names or values)
     order = list(order)
-    ranged = bool(order) and isinstance(df.schema[order[0]].dataType, NumericType)
-    part = F.coalesce(F.floor(F.col(order[0]) / F.lit(page)), F.lit(-1)) if ranged else F.lit(0).cast("long")
+    lead = (order or list(values))[0]
+    ranged = isinstance(df.schema[lead].dataType, NumericType)
+    part = F.coalesce(F.floor(F.col(lead) / F.lit(page)), F.lit(-1)) if ranged else F.lit(0).cast("long")
     df = df.withColumn("_part", part)
     earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     counts = df.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"))

@@ -13,6 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import quality
+from tessera.sinks import writers
 from tessera.sources import text
 
 
@@ -88,6 +89,33 @@ def enforce_constraints(
     return tables, rejects
 
 
+def read_link_rows(
+    spark: SparkSession, movies: str, persons: str, directors: str, directs: str, cast: str, mode: str = "permissive"
+) -> MovieTables:
+    """S1-S5 without constraints, for the documents (which keep repeated links): both link
+    tables carry a dense line number ``ord``, so the lists of a hot key are not sorted in one task."""
+
+    def kept(path: str, spec: text.LineSpec, dense: bool = False) -> DataFrame:
+        rows = text.read_regex_lines(spark, path, spec, mode, dense=dense).kept
+        return rows if dense else rows.drop("ord")
+
+    return MovieTables(
+        kept(movies, text.MOVIE), kept(persons, text.PERSON), kept(directors, text.DIRECTOR),
+        kept(cast, text.CAST, True), kept(directs, text.MOVIE_DIRECTOR, True),
+    )
+
+
+def store_tables(tables: MovieTables, root: str) -> str:
+    """K1: write a constrained load once, for every query that reads it (:func:`stored_tables`)."""
+    writers.write_tables(tables._asdict(), root)
+    return root
+
+
+def stored_tables(spark: SparkSession, root: str) -> MovieTables:
+    """The tables of a load stored by :func:`store_tables`."""
+    return MovieTables(*[spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in MovieTables._fields])
+
+
 def read_movie_files(
     spark: SparkSession,
     movies: str,

@@ -37,11 +37,11 @@ def enforce_primary_key(
 
     The kept row is the smallest by ``order_by`` (an input ordinal, so "first
     row wins" as with inserts that skip unique violations), ties broken by the
-    remaining columns, so the choice is deterministic. Equal rows are counted
-    first (map-side partials), and the choice is a ``min(struct(...))`` over the
-    counted rows, so a hot key costs one row per map task. Rejects are all other
-    copies and the rows with a NULL in their key; the copies of one repeated row
-    are emitted in blocks of at most :data:`COPIES`, spread over tasks.
+    remaining columns, so the choice is deterministic. It is a ``min(struct(...))``
+    with map-side partials, so a hot key costs one row per map task and the kept rows one
+    shuffle. Rejects are all other copies and the rows with a NULL in their key; only
+    they need equal rows counted. The copies of one repeated row are emitted in blocks
+    of at most :data:`COPIES`, spread over tasks.
     """
     keys = list(keys)
     order_by = [c for c in order_by if c not in keys]
@@ -51,7 +51,7 @@ def enforce_primary_key(
     complete = F.lit(True)
     for k in keys:
         complete = complete & F.col(k).isNotNull()
-    first = counted.filter(complete).groupBy(*keys).agg(F.min(whole).alias("_first"))
+    first = df.filter(complete).groupBy(*keys).agg(F.min(whole).alias("_first"))
     kept = first.select(*keys, "_first.*") if order_by or rest else first.select(*keys)
     chosen = first.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_first")
     cond = [counted[k] == chosen[f"_k{i}"] for i, k in enumerate(keys)]

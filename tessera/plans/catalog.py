@@ -3,11 +3,11 @@ matching DuckDB SQL in ``ORACLE[name]`` (absent where SQL cannot express it)."""
 
 from __future__ import annotations
 
-from tessera.plans import articles, documents, energy, graph, models, movies, stations
+from tessera.plans import articles, documents, energy, files, graph, models, movies, stations
 
 QUERIES = {}
 ORACLE = {}
-for _module in (movies, documents, graph, energy, stations, models, articles):
+for _module in (movies, documents, files, graph, energy, stations, models, articles):
     QUERIES.update(_module.QUERIES)
     ORACLE.update(_module.ORACLE)
 

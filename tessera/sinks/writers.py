@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +56,40 @@ def write_lines(
     _one(df.select(line), single_file).write.mode("overwrite").text(path)
 
 
+def write_coded_lines(df: DataFrame, line: str, path: str, header: str | None = None, encoding: str = "ISO-8859-1") -> None:
+    """Text lines (column ``line``) in an encoding, one file per task, each with the line
+    ``header`` first: the input format of the regex-delimited sources. Nothing is quoted."""
+    name = header or "value"
+    (
+        df.select(F.col(line).alias(name)).write.mode("overwrite").option("encoding", encoding).option("header", str(bool(header)).lower())
+        .option("sep", "\u0001").option("quote", "").option("escape", "").option("escapeQuotes", "false").option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    )
+
+
+def append_batch(df: DataFrame, path: str, batch: str, keys: Sequence[str]) -> None:
+    """K5: append rows as one batch (a string that names it), repeatable: rows of the batch
+    whose keys are in the table already are left out, so an append that failed half-way or is
+    run again adds nothing twice. Only the batch's own folder is read, and joined on the keys
+    without collecting anything. Rows that the batch itself repeats are all written by one run, none by
+    the next. A batch's rows must be the same on every run."""
+    spark = df.sparkSession
+    folder = f"{path.rstrip('/')}/batch={batch}"
+    try:
+        stored = spark.read.schema(df.schema).parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = None
+    if stored is not None:
+        seen = stored.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+        same = F.lit(True)
+        for k in keys:
+            same = same & df[k].eqNullSafe(seen[f"_{k}"])
+        df = df.join(seen, same, "left_anti")
+    df.write.mode("append").parquet(folder)
+
+
 def write_documents(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K2: the document collection as parquet, one folder per ``doc_type``."""
     docs.write.mode(mode).partitionBy("doc_type").parquet(path)

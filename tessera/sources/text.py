@@ -88,6 +88,30 @@ def read_lines(
     )
 
 
+def number_lines(lines: DataFrame, name: str = "ord") -> DataFrame:
+    """Replace the ``ord`` struct of :func:`read_lines` by one dense number per line, from 0,
+    in the order of the file paths and of the lines within each file.
+
+    The lines of every input split are counted (one pass that aggregates in the scan), the
+    counts summed over the earlier splits, and a line's number is its split's sum plus its place
+    in the split. What reaches the driver and is broadcast is one row per split, of which
+    the scan's planner holds the list anyway. Both passes read the same splits, so row
+    ids agree.
+    """
+    spark = lines.sparkSession
+    split = ["ord.file", "ord.block"]
+    counted = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("n"), F.min("ord.row").alias("first")).collect()
+    base, rows = 0, []
+    for r in sorted(counted, key=lambda r: (r["file"], r["block"])):
+        rows.append((r["file"], r["block"], base - r["first"]))
+        base += r["n"]
+    bases = spark.createDataFrame(rows, "_file string, _block bigint, _base bigint")
+    same = (F.col("ord.file") == bases["_file"]) & (F.col("ord.block") == bases["_block"])
+    numbered = lines.join(F.broadcast(bases), same)
+    others = [c for c in lines.columns if c != "ord"]
+    return numbered.select(*others, (F.col("_base") + F.col("ord.row")).alias(name))
+
+
 def parse_lines(lines: DataFrame, spec: LineSpec, clean: bool = True) -> Checked:
     """Cut ``value`` into the groups of ``spec``; unmatched lines are rejects.
 
@@ -121,13 +145,17 @@ def read_regex_lines(
     mode: str = "permissive",
     encoding: str = "ISO-8859-1",
     header: bool = True,
+    dense: bool = False,
 ) -> Checked:
     """Parse a regex-delimited file.
 
     ``mode='permissive'`` returns unmatched lines as rejects; ``'failfast'``
     makes the scan raise on the first unmatched line (the reference crashes).
+    ``dense`` numbers the lines (:func:`number_lines`; the file is counted first).
     """
     lines = read_lines(spark, path, encoding, header)
+    if dense:
+        lines = number_lines(lines)
     if mode == "failfast":
         matched = F.col("value").rlike(UNICODE + spec.pattern)
         stop = F.raise_error(F.concat(F.lit("line does not match: "), F.col("value")))
