@@ -1,15 +1,17 @@
 """Regression and polynomial models as distributed aggregates.
 
-Every fit is one or two aggregate passes over the data; only fixed-size
-summaries (a handful of sums per degree) reach the driver, where the tiny
-normal-equation systems are solved with numpy.
+Every fit is one or two passes over the data; only fixed-size summaries (a handful of
+sums, or one small triangle of a QR factorisation) reach the driver, where the tiny
+systems are solved with numpy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,87 +134,131 @@ def linspace(spark: SparkSession, start: float, stop: float, num: int) -> DataFr
     return spark.range(num).select((F.lit(start) + F.col("id") * F.lit(step)).alias("x"))
 
 
-def _scaled_moments(df: DataFrame, x: str, y: str, max_degree: int):
+#: Rows of one tall block.
+BLOCK_ROWS = 65_536
+
+
+def chebyshev(u: np.ndarray, degree: int) -> np.ndarray:
+    """Columns ``T_0(u) .. T_degree(u)``: well scaled on [-1, 1]."""
+    return np.polynomial.chebyshev.chebvander(u, degree)
+
+
+def _triangle(block: np.ndarray) -> np.ndarray:
+    """The triangular factor of ``block``, padded to as many rows as columns."""
+    r = np.linalg.qr(block, mode="r")
+    return np.vstack([r, np.zeros((block.shape[1] - len(r), block.shape[1]))])
+
+
+def _triangles(df: DataFrame, x: str, y: str, max_degree: int):
+    """Tree-reduced QR of the tall matrix ``[T_0(u) .. T_d(u), y]`` of all complete pairs, with
+    ``u`` = x scaled to [-1, 1]: every task factors its rows block by block and keeps one small triangle;
+    triangles are stacked and factored again by a sixteenth as many tasks as there are cores, then
+    on the driver. The triangle has the same inner products as the whole matrix, but unlike sums of powers it does
+    not square the condition number. Returns ``(n, mid, half, triangle)`` or None without a pair."""
     pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).filter(
         F.col("x").isNotNull() & F.col("y").isNotNull()
     )
-    lo, hi = pairs.agg(F.min("x"), F.max("x")).first()
+    lo, hi, n = pairs.agg(F.min("x"), F.max("x"), F.count(F.lit(1))).first()
     if lo is None:
         return None
-    mid = (lo + hi) / 2.0
-    half = (hi - lo) / 2.0 or 1.0
-    u = (F.col("x") - F.lit(mid)) / F.lit(half)
-    powers = [F.sum(F.pow(u, k)).alias(f"s{k}") for k in range(2 * max_degree + 1)]
-    moments = [F.sum(F.col("y") * F.pow(u, k)).alias(f"t{k}") for k in range(max_degree + 1)]
-    row = pairs.agg(*powers, *moments).first()
-    s = np.array([row[f"s{k}"] for k in range(2 * max_degree + 1)], dtype=float)
-    t = np.array([row[f"t{k}"] for k in range(max_degree + 1)], dtype=float)
-    return pairs, mid, half, s, t
-
-
-def _solve(s: np.ndarray, t: np.ndarray, degree: int) -> np.ndarray:
-    a = np.array([[s[i + j] for j in range(degree + 1)] for i in range(degree + 1)])
-    c, *_ = np.linalg.lstsq(a, t[: degree + 1], rcond=None)
-    return c  # lowest power first, in the scaled variable
-
-
-def _to_raw(c_scaled: np.ndarray, mid: float, half: float) -> list[float]:
-    p = np.polynomial.Polynomial(c_scaled)
-    raw = p(np.polynomial.Polynomial([-mid / half, 1.0 / half])).coef
-    raw = np.pad(raw, (0, len(c_scaled) - len(raw)))
-    return [float(v) for v in raw[::-1]]  # highest power first
+    mid, half = (lo + hi) / 2.0, (hi - lo) / 2.0 or 1.0
+    width = max_degree + 2
+
+    def factor(batches):
+        kept = np.zeros((0, width))
+        for batch in batches:
+            u = (batch.column(0).to_numpy(zero_copy_only=False) - mid) / half
+            v = batch.column(1).to_numpy(zero_copy_only=False)
+            for at in range(0, len(u), BLOCK_ROWS):
+                part = slice(at, at + BLOCK_ROWS)
+                kept = _triangle(np.vstack([kept, np.column_stack([chebyshev(u[part], max_degree), v[part]])]))
+        if len(kept):
+            yield pa.RecordBatch.from_arrays([pa.array([kept.ravel().tolist()])], names=["r"])
+
+    def stack(batches):
+        kept = np.zeros((0, width))
+        for batch in batches:
+            for r in batch.column(0):
+                kept = _triangle(np.vstack([kept, np.array(r.as_py()).reshape(width, width)]))
+        if len(kept):
+            yield pa.RecordBatch.from_arrays([pa.array([kept.ravel().tolist()])], names=["r"])
+
+    found = pairs.mapInArrow(factor, "r array<double>")
+    tasks = max(1, df.sparkSession.sparkContext.defaultParallelism // 16)
+    triangle = np.zeros((0, width))
+    for row in found.repartition(tasks).mapInArrow(stack, "r array<double>").collect():  # (degree + 2)**2 numbers a task
+        triangle = _triangle(np.vstack([triangle, np.array(row["r"]).reshape(width, width)]))
+    return n, mid, half, triangle
+
+
+def _solve(triangle: np.ndarray, degree: int) -> np.ndarray:
+    """Least-squares coefficients of ``T_0 .. T_degree`` from the triangle."""
+    a, b = triangle[:, : degree + 1], triangle[:, -1]
+    return np.linalg.lstsq(a, b, rcond=None)[0]
+
+
+def _to_raw(c: np.ndarray, mid: float, half: float) -> list[float]:
+    """Coefficients of the powers of x, highest first, of a Chebyshev series in ``(x - mid) / half``.
+    Expanded in exact fractions, as the powers of a wide x cancel."""
+    u = [Fraction(-mid) / Fraction(half), 1 / Fraction(half)]
+
+    def times(p: list[Fraction], q: list[Fraction]) -> list[Fraction]:
+        out = [Fraction(0)] * (len(p) + len(q) - 1)
+        for i, a in enumerate(p):
+            for j, b in enumerate(q):
+                out[i + j] += a * b
+        return out
+
+    total, last, now = [Fraction(0)] * len(c), [Fraction(0)], [Fraction(1)]
+    for k, weight in enumerate(c):
+        for i, a in enumerate(now):
+            total[i] += Fraction(float(weight)) * a
+        above = [a * (1 if k == 0 else 2) for a in times(u, now)]
+        last, now = now, [a - (last[i] if k and i < len(last) else 0) for i, a in enumerate(above)]
+    return [float(v) for v in reversed(total)]
 
 
 def polyfit(df: DataFrame, x: str, y: str, degree: int) -> list[float] | None:
-    """M3: least-squares polynomial coefficients, highest power first.
-
-    One aggregate collects power sums of ``u = (x - mid) / half`` (x scaled to
-    [-1, 1], which keeps the normal equations well conditioned up to degree 10);
-    the (degree+1)^2 system is solved on the driver and expanded back to x.
-    ``None`` when there is no complete (x, y) pair.
+    """M3: least-squares polynomial coefficients, highest power first, by a tree-reduced QR
+    (:func:`_triangles`) on Chebyshev columns. With fewer distinct x than coefficients it is the
+    solution of least norm in those columns. ``None`` when there is no complete (x, y) pair.
     """
-    moments = _scaled_moments(df, x, y, degree)
-    if moments is None:
+    reduced = _triangles(df, x, y, degree)
+    if reduced is None:
         return None
-    _, mid, half, s, t = moments
-    return _to_raw(_solve(s, t, degree), mid, half)
+    _, mid, half, triangle = reduced
+    return _to_raw(_solve(triangle, degree), mid, half)
+
+
+def _metrics(triangle: np.ndarray, c: np.ndarray, n: int) -> tuple[float | None, float, float]:
+    """``corr(y, p)**2``, mean squared residual and its root, from inner products in the triangle."""
+    one, y, p = triangle[:, 0], triangle[:, -1], triangle[:, : len(c)] @ c
+    mse = float(((y - p) ** 2).sum() / n)
+    y, p = (v - one * (one @ v) / n for v in (y, p))
+    spread = (y @ y) * (p @ p)
+    scale = (triangle[:, -1] @ triangle[:, -1]) ** 2
+    r2 = None if spread <= 1e-24 * scale else min(1.0, float((y @ p) ** 2 / spread))
+    return r2, mse, float(np.sqrt(mse))
 
 
 def fit_table(df: DataFrame, x: str, y: str, degrees: Sequence[int]) -> DataFrame:
     """M4 + M5: ``(degree, coefficients, r_squared, mse, rmse)`` per degree.
 
-    ``r_squared`` is ``corr(y, p(x))^2`` and ``mse`` the mean squared residual,
-    all degrees evaluated in one more aggregate pass (Horner in the scaled
-    variable for accuracy).
+    ``r_squared`` is ``corr(y, p(x))^2`` (NULL when either has no spread) and ``mse`` the mean
+    squared residual. One pass for the extent of x and one for the triangle serve all degrees,
+    coefficients and metrics.
     """
     degrees = list(degrees)
-    moments = _scaled_moments(df, x, y, max(degrees))
-    if moments is None:
-        schema = "degree int, coefficients array<double>, r_squared double, mse double, rmse double"
+    schema = "degree int, coefficients array<double>, r_squared double, mse double, rmse double"
+    reduced = _triangles(df, x, y, max(degrees))
+    if reduced is None:
         return df.sparkSession.createDataFrame([], schema)
-    pairs, mid, half, s, t = moments
-    u = (F.col("x") - F.lit(mid)) / F.lit(half)
-    scaled = {d: _solve(s, t, d) for d in degrees}
-    preds = pairs.select(
-        "y", *[polyeval(list(scaled[d][::-1]), u).alias(f"p{d}") for d in degrees]
-    )
-    metrics = preds.agg(
-        *[pearson_r2("y", f"p{d}").alias(f"c{d}") for d in degrees],
-        *[F.avg(F.pow(F.col("y") - F.col(f"p{d}"), 2)).alias(f"m{d}") for d in degrees],
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(d).alias("degree"),
-                F.array(*[F.lit(v) for v in _to_raw(scaled[d], mid, half)]).alias("coefficients"),
-                F.col(f"c{d}").alias("r_squared"),
-                F.col(f"m{d}").alias("mse"),
-                F.sqrt(F.col(f"m{d}")).alias("rmse"),
-            )
-            for d in degrees
-        ]
-    )
-    return metrics.select(F.explode(rows).alias("r")).select("r.*")
+    n, mid, half, triangle = reduced
+    rows = []
+    for d in degrees:
+        c = _solve(triangle, d)
+        rows.append((d, _to_raw(c, mid, half), *_metrics(triangle, c, n)))
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def linear_trends(df: DataFrame, group: str, x: str, y: str) -> DataFrame:

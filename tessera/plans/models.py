@@ -128,15 +128,15 @@ def q_polyfit_monthly_kwh(spark, root):
 
 
 def q_polyfit_coefficients(spark, root):
-    """M3-M5 for degrees 2-10 with the coefficients (checked against numpy in tests)."""
+    """M3-M5 for degrees 2-10 with the coefficients, highest power first, to seven digits."""
     pin_utc(spark)
-    t = M.fit_table(monthly_points(spark, root), "x", "y", MONTH_DEGREES)
+    t = rounded(M.fit_table(monthly_points(spark, root), "x", "y", MONTH_DEGREES))
     return t.select(
         "degree",
-        F.array_join(F.transform("coefficients", lambda c: F.format_number(c, 6)), " ").alias("p"),
-        F.round("r_squared", 6).alias("r_squared"),
-        F.round("mse", 4).alias("mse"),
-        F.round("rmse", 4).alias("rmse"),
+        F.array_join(F.transform("coefficients", lambda c: F.format_string("%.6e", c)), " ").alias("p"),
+        "r_squared",
+        "mse",
+        "rmse",
     )
 
 
@@ -254,6 +254,30 @@ def _value(degree: int) -> str:
     return " + ".join(f"a{k}.c * q{k}" for k in range(degree + 1))
 
 
+def _coefficients_sql(points: str, degrees: list[int]) -> str:
+    """The fits' coefficients of the powers of x: the same recurrence on coefficient lists."""
+    top = max(degrees)
+    powers = f"range(0, {top + 1})"
+    steps = [f"b0 AS (SELECT list_transform({powers}, lambda i: CASE WHEN i = 0 THEN CAST(1 AS DOUBLE) ELSE 0 END) AS q)"]
+    for k in range(1, top + 1):
+        last = f" - a{k - 1}.nr / a{k - 2}.nr * b{k - 2}.q[i + 1]" if k > 1 else ""
+        others = f", b{k - 2}, a{k - 2}" if k > 1 else ""
+        steps.append(f"b{k} AS (SELECT list_transform({powers}, lambda i: coalesce(CASE WHEN i > 0 THEN b{k - 1}.q[i] END, 0) - a{k - 1}.al * b{k - 1}.q[i + 1]{last}) AS q FROM b{k - 1}, a{k - 1}{others})")
+    lists = "\nUNION ALL\n".join(
+        f"SELECT {d} AS degree, array_to_string(list_transform(range({d}, -1, -1), lambda i: printf('%.6e', "
+        + " + ".join(f"a{k}.c * b{k}.q[i + 1]" for k in range(d + 1))
+        + f")), ' ') AS p FROM {', '.join(f'a{k}, b{k}' for k in range(d + 1))}"
+        for d in degrees
+    )
+    table = _table_sql(points, degrees)
+    cut = table.index("\nSELECT")
+    return f"""{table[:cut]},
+{", ".join(steps)},
+shown AS ({lists}),
+metrics AS ({table[cut:]})
+SELECT degree, p, r_squared, mse, rmse FROM shown JOIN metrics USING (degree)"""
+
+
 def _table_sql(points: str, degrees: list[int]) -> str:
     top = max(degrees)
     fits = ", ".join(f"{_value(d)} AS f{d}" for d in degrees)
@@ -296,6 +320,7 @@ SELECT label AS date, round(hdd, 6) AS hdd, round(hdd_norm, 6) AS hdd_norm,
     "polyfit_monthly_kwh": energy.LONG_SQL
     + _table_sql("SELECT CAST(month(label) AS DOUBLE) AS x, kwh_sum AS y FROM monthly", MONTH_DEGREES),
     "poly_grid": stations.DAILY_SQL + _GRID,
+    "polyfit_coefficients": stations.DAILY_SQL + _coefficients_sql(_MONTH_POINTS, MONTH_DEGREES),
 }
 
 # Same presentation rounding as the Spark side (see plans.common.round_half_away).
