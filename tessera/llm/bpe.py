@@ -24,6 +24,7 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import pyarrow as pa
 import regex
@@ -35,8 +36,8 @@ from tessera.llm.common import kept, small_batches
 BITS = 20
 MASK = (1 << BITS) - 1
 NONE = 1 << 62
-CACHED_PIECES = 360_000
-CACHED_WORDS = 50_000
+#: Bytes of a cache generation, and what an entry takes besides its string and its ids.
+PIECE_CACHE_BYTES, WORD_CACHE_BYTES, ENTRY_BYTES = 72 << 20, 8 << 20, 190
 CACHED_CHARS = 64
 SLICE_CHARS = 1 << 16
 LATIN_END = "\u0250"
@@ -67,11 +68,11 @@ def sufficient_lookahead(merges: list[tuple[str, str]]) -> int:
 
 
 class Recent:
-    """Cache of the results of ``make`` for short strings: two generations of at most
-    ``entries`` each; a full one becomes the older, and the oldest goes."""
+    """Cache of the results of ``make`` for short strings: two generations of about
+    ``size`` bytes each; a full one becomes the older, and the oldest goes."""
 
-    def __init__(self, entries: int, make: Callable[[str], bytes]):
-        self.entries, self.make = entries, make
+    def __init__(self, size: int, make: Callable[[str], bytes]):
+        self.size, self.make, self.held = size, make, 0
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -82,16 +83,17 @@ class Recent:
             if value is None:
                 value = self.make(key)
             if len(key) <= CACHED_CHARS:
-                if len(self.new) >= self.entries:
-                    self.new, self.old = {}, self.new
+                if self.held >= self.size:
+                    self.new, self.old, self.held = {}, self.new, 0
                 self.new[key] = value
+                self.held += ENTRY_BYTES + len(key) + len(value)
         return value
 
 
 class Encoder:
     """Streaming encoder for one tokenizer file (BPE with byte alphabet and word ends)."""
 
-    def __init__(self, spec: dict, lookahead: int | None = None):
+    def __init__(self, spec: dict, lookahead: int | None = None, source: str | None = None, cache_bytes: int = PIECE_CACHE_BYTES):
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.end = model.get("end_of_word_suffix") or ""
@@ -109,12 +111,20 @@ class Encoder:
         self.last = [self.vocab[c + self.end] for c in alphabet]
         self.specials = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
         self.special_re = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
-        self.library = Tokenizer.from_str(json.dumps(spec))
+        self.source = source or json.dumps(spec)
         self.back = {c: b for b, c in enumerate(alphabet)}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"])
-        self.by_word = Recent(CACHED_WORDS, self._word)
-        self.by_piece = Recent(CACHED_PIECES, self._piece)
+        self.by_word = Recent(WORD_CACHE_BYTES, self._word)
+        self.by_piece = Recent(cache_bytes, self._piece)
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        """The library's tokenizer (normaliser and splitter), made when a text needs it; its merges
+        are left out."""
+        spec = json.loads(self.source)
+        spec["model"] |= {"vocab": {t: i for t, i in spec["model"]["vocab"].items() if len(t) < 2}, "merges": []}
+        return Tokenizer.from_str(json.dumps(spec))
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Apply the merge list to ``symbols``: lowest rank first, left to right."""
@@ -255,13 +265,14 @@ class Decoder:
 
 
 def loaded(text: str) -> tuple[dict, Encoder]:
-    """The tokenizer file's content, and one encoder of it per worker process."""
+    """The tokenizer file's content, and this worker's encoder of it."""
+    return json.loads(text), encoder_of(text)
 
-    def make() -> tuple[dict, Encoder]:
-        spec = json.loads(text)
-        return spec, Encoder(spec)
 
-    return kept(hashlib.sha256(text.encode()).hexdigest(), make)
+def encoder_of(text: str, cache_bytes: int = PIECE_CACHE_BYTES) -> Encoder:
+    """One encoder of the tokenizer file per worker process; the file's parsed content is not kept."""
+    key = f"{hashlib.sha256(text.encode()).hexdigest()} {cache_bytes}"
+    return kept(key, lambda: Encoder(json.loads(text), source=text, cache_bytes=cache_bytes))
 
 
 def read_spec(path: str) -> str:
@@ -274,7 +285,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(tokenizer_path))
 
     def run(batches):
-        _, encoder = loaded(spec.value)
+        encoder = encoder_of(spec.value)
         for batch in batches:
             for i, text in zip(batch.column(0), batch.column(1)):
                 ids = array("I", b"".join(encoder.encode(text.as_py())))
@@ -294,8 +305,7 @@ def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(tokenizer_path))
 
     def run(batches):
-        content, encoder = loaded(spec.value)
-        decoder = Decoder(content)
+        encoder, decoder = encoder_of(spec.value), Decoder(json.loads(spec.value))
         for batch in batches:
             out = []
             for text in batch.column(1):

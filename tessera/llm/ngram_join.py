@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, release, small, small_batches
+from tessera.llm.common import fresh, materialize, release, small, small_batches
 from tessera.llm.components import connected_components
 
 #: Prefix shingles that a linked pair must share (fewer for tiny sets).
@@ -375,8 +375,21 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` (all their columns) whose id is the smallest of its component."""
-    drop = materialize(
-        components(docs, k, percent, id_col, text_col).filter("component_id <> doc_id").select(F.col("doc_id").alias("drop_id")).distinct(), "dropped"
-    )
-    return docs.join(small(drop), docs[id_col] == drop["drop_id"], "left_anti")
+    """The rows of ``docs`` (all their columns) but for those of a component that are not its
+    first by (id, hash of the text). So where rows of different texts share an id, only copies go.
+    Of rows that repeat id and text one stays (any: they differ in other columns at
+    most). Rows without an id or without a word are linked with nothing and stay."""
+    key, th = fresh(docs, "row_key", "text_hash")
+    pair = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"))
+    keyed = docs.select(F.when(F.col(id_col).isNotNull(), pair).alias(key), F.col(text_col).alias(text_col))
+    placed = materialize(components(keyed, k, percent, key, text_col).filter("doc_id is not null and n_shingles > 0"), "linked")
+    drop = placed.filter("component_id <> doc_id").select(F.col("doc_id.id").alias("x_id"), F.col("doc_id.th").alias("x_th"), F.lit(True).alias("x_all"))
+    again = placed.filter("component_id = doc_id").groupBy("doc_id").count().filter("count > 1")
+    marks = drop.distinct().unionByName(again.select(F.col("doc_id.id").alias("x_id"), F.col("doc_id.th").alias("x_th"), F.lit(False).alias("x_all")))
+    marks = materialize(marks, "marked")
+    ids = small(marks.select(F.col("x_id").alias(key)).distinct())
+    same = docs.join(ids, docs[id_col] == ids[key], "left_anti")
+    touched = docs.join(ids, docs[id_col] == ids[key], "left_semi").withColumn(th, F.xxhash64(F.col(text_col)))
+    touched = touched.join(marks, (F.col(id_col) == F.col("x_id")) & (F.col(th) == F.col("x_th")), "left").filter("x_all is null or not x_all")
+    once = touched.filter("x_all is not null").dropDuplicates([id_col, th])
+    return same.unionByName(touched.filter("x_all is null").unionByName(once).select(*docs.columns))

@@ -35,15 +35,16 @@ PLAN_BROADCAST_ROWS = 200_000
 
 def token_pieces(
     docs: DataFrame, tokenizer_path: str, capacity: int = 2048, separator: int = 0,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", cache_bytes: int = bpe.PIECE_CACHE_BYTES,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of every document's ids and its
-    closing ``separator``, cut every ``capacity`` tokens."""
+    closing ``separator``, cut every ``capacity`` tokens. ``cache_bytes`` bounds the encoder's cache
+    of a worker (less memory, more time)."""
     spec = docs.sparkSession.sparkContext.broadcast(bpe.read_spec(tokenizer_path))
     step = 4 * capacity
 
     def run(batches):
-        _, encoder = bpe.loaded(spec.value)
+        encoder = bpe.encoder_of(spec.value, cache_bytes)
         tail = array("I", [separator]).tobytes()
         for batch in batches:
             source, pieces, starts, lengths, crcs = [], [], [], [], []
@@ -167,6 +168,8 @@ def assign(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer_path: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", cache_bytes: int = bpe.PIECE_CACHE_BYTES
+) -> DataFrame:
     """Pack all documents: one row per piece with its sequence and offset."""
-    return assign(materialize(token_pieces(docs, tokenizer_path, capacity, 0, id_col, text_col), "pieces"), capacity)
+    return assign(materialize(token_pieces(docs, tokenizer_path, capacity, 0, id_col, text_col, cache_bytes), "pieces"), capacity)

@@ -9,8 +9,9 @@ Training uses at most ``sample_rows`` labelled documents (in hash order of their
 only their statistics reach the driver. A fifth of them sets the threshold, such that
 at most ``lost_good`` of the good rows that pass the base rules are turned away.
 
-Results for odd input: a null or empty text has no words and fails the base rules; with
-no labelled rows the base rules alone decide; repeated rows get equal verdicts.
+Results for odd input: a null or empty text has no words and fails the base rules; without
+labelled rows of both classes the base rules alone decide, however few they are else; of
+texts that share a labelled id one is learned from; repeated rows get equal verdicts.
 """
 
 from __future__ import annotations
@@ -185,12 +186,15 @@ def boost(x: np.ndarray, y: np.ndarray, monotone: list[int], trees: int = 60, de
 
 
 def fit(x: np.ndarray, y: np.ndarray, lost_good: float = 0.005) -> Trees | None:
-    """Model and threshold; None when the sample has one class or no rows."""
-    if len(y) < 50 or y.min() == y.max():
+    """Model and threshold; None when the sample has one class or no rows. Every fifth row of a
+    class sets the threshold (all rows of label 1 where fewer than five have it)."""
+    if not len(y) or y.min() == y.max():
         return None
-    held = np.arange(len(y)) % 5 == 0
+    held = np.zeros(len(y), bool)
+    for c in (0, 1):
+        held[np.flatnonzero(y == c)[4::5]] = True
     model = boost(x[~held], y[~held], MONOTONE)
-    good = model.probability(x[held][y[held] == 1])
+    good = model.probability(x[held & (y == 1)] if (held & (y == 1)).any() else x[y == 1])
     model.threshold = float(min(0.5, np.quantile(good, lost_good))) if len(good) else 0.0
     return model
 
@@ -231,9 +235,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, id_col: s
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
         F.broadcast(sample), F.col("doc_id") == F.col("l_id")
     )
-    measured = _measured(picked.select("doc_id", "text"), None, True).dropDuplicates(["doc_id"])
+    measured = _measured(picked.select("doc_id", "text"), None, True).filter("not base_failed")
+    measured = measured.groupBy("doc_id").agg(F.min("features").alias("features"))
     rows = (
-        measured.filter("not base_failed").join(F.broadcast(sample), F.col("doc_id") == F.col("l_id"))
+        measured.join(F.broadcast(sample), F.col("doc_id") == F.col("l_id"))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "l_y").limit(sample_rows).select("features", "l_y").collect()
     )
     if not rows:

@@ -49,7 +49,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, separator: int, id_w
     kind = {2: "H", 4: "I"}[id_width]
 
     def run(batches):
-        _, encoder = bpe.loaded(spec.value)
+        encoder = bpe.encoder_of(spec.value)
         store, path = open_store(folder)
         store.create_dir(path, recursive=True)
         name = f"{path}/{uuid.uuid4().hex}.bin"
