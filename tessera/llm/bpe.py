@@ -37,7 +37,7 @@ BITS = 20
 MASK = (1 << BITS) - 1
 NONE = 1 << 62
 #: Bytes of a cache generation, and what an entry takes besides its string and its ids.
-PIECE_CACHE_BYTES, WORD_CACHE_BYTES, ENTRY_BYTES = 72 << 20, 8 << 20, 190
+PIECE_CACHE_BYTES, WORD_CACHE_BYTES, ENTRY_BYTES = 72 << 20, 12 << 20, 190
 CACHED_CHARS = 64
 SLICE_CHARS = 1 << 16
 LATIN_END = "\u0250"
