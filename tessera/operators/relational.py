@@ -185,6 +185,37 @@ def movies_by_cast_size(
     )
 
 
+#: Directors of one movie and range of ids from which a bitmap (4 KB) is smaller than their ids.
+BITMAP_FROM = 512
+
+
+def directors_per_actor(acts_in: DataFrame, directs: DataFrame, bitmap_from: int = BITMAP_FROM) -> DataFrame:
+    """A2: ``pid, num_directors``, the distinct directors an actor worked with, without expanding
+    a heavy movie into actors x directors rows.
+
+    The directors of a movie are taken in ranges of 32,768 ids. A range with ``bitmap_from``
+    directors or more is one bitmap, joined to the movie's actors as one row, and an actor's
+    bitmaps are merged by OR before the shuffle. All other pairs are counted as rows; those
+    of an actor with bitmaps are turned into bitmaps first, so nobody counts twice. Ids must not
+    be negative.
+    """
+    links = directs.filter("mid is not null and did is not null").select("mid", "did").distinct()
+    links = links.withColumn("bucket", F.bitmap_bucket_number("did"))
+    sizes = links.groupBy("mid", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    heavy = sizes.filter(F.col("n") >= bitmap_from).select("mid", "bucket")
+    acts = acts_in.select("pid", "mid").filter("pid is not null and mid is not null")
+    maps = links.join(heavy, ["mid", "bucket"], "left_semi").groupBy("mid", "bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("did")).alias("bits"))
+    merged = acts.join(maps, "mid").groupBy("pid", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    light = acts.join(links.join(heavy, ["mid", "bucket"], "left_anti").select("mid", "did"), "mid").select("pid", "did")
+    mapped = merged.select("pid").distinct()
+    both = light.join(mapped, "pid", "left_semi")
+    both = both.groupBy("pid", F.bitmap_bucket_number("did").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("did")).alias("bits"))
+    dense = merged.unionByName(both).groupBy("pid", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    dense = dense.groupBy("pid").agg(F.sum(F.bitmap_count("bits")).alias("num_directors"))
+    plain = light.join(mapped, "pid", "left_anti").groupBy("pid").agg(F.count_distinct("did").alias("num_directors"))
+    return plain.unionByName(dense)
+
+
 def actors_with_many_directors(
     persons: DataFrame,
     acts_in: DataFrame,

@@ -103,7 +103,37 @@ def q_highly_cited_recent(spark, root):
     return rounded(A.highly_cited(clean(spark, root), 300, 1999))
 
 
+def result_pages(spark, root) -> DataFrame:
+    """A result page per customer, one block per order; a block holds elements of its own name, and
+    comments and scripts name the tag too."""
+    o = read_table(spark, root, "orders")
+    n = F.col("o_orderkey").cast("string")
+    cited = F.when(F.col("o_orderstatus") != "P", F.concat(F.lit('<a href="x">Cited by '), F.floor(F.col("o_totalprice") / 1000).cast("string"), F.lit("</a>")))
+    block = F.concat(
+        F.lit('<div class="r"><h3>[PDF] Report <b>'), n, F.lit('</b></h3><div class="i"><div>C'), F.col("o_custkey").cast("string"), F.lit("</div> - "),
+        F.col("o_orderpriority"), F.lit(' &amp; more</div><!-- <div> --><a href="y">Related</a>'), F.coalesce(cited, F.lit("")), F.lit("</div>"),
+    )
+    blocks = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", block.alias("b")))), lambda x: x["b"])
+    html = F.concat(F.lit('<body><div class="page"><script>"</div><div class=\\"r\\">"</script>'), F.array_join(blocks, "<div>ad</div>"), F.lit("</div></body>"))
+    return o.groupBy(F.col("o_custkey").alias("page_id")).agg(html.alias("html"))
+
+
+def q_result_page_records(spark, root):
+    """Several blocks per page, each with elements of its own name."""
+    pin_utc(spark)
+    return A.nested_records(result_pages(spark, root), "div", 'class="r"', r"(?s)<h3>(.*?)</h3>", r'(?s)<div class="i">(.*)</div>', "Cited by")
+
+
+def q_page_ads(spark, root):
+    """S16 on the pages as given: the text of every ``div`` of class ``ad``."""
+    pin_utc(spark)
+    blocks = A.nested_blocks(read_table(spark, root, "pages"), "div", 'class="ad"')
+    return blocks.select("page_id", "pos", A.tx.strip_tags("block").alias("text"))
+
+
 QUERIES = {
+    "result_page_records": q_result_page_records,
+    "page_ads": q_page_ads,
     "page_records": q_page_records,
     "clean_articles": q_clean_articles,
     "articles_per_year": q_articles_per_year,
@@ -176,6 +206,24 @@ years AS (SELECT CAST(range AS INTEGER) AS year FROM range(%d, %d))
 """ % (AS_OF_YEAR, YEARS[0], YEARS[-1] + 1)
 
 ORACLE = {
+    "result_page_records": """
+SELECT o_custkey AS page_id, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INTEGER) AS pos,
+       concat('[PDF] Report ', o_orderkey) AS title, concat('C', o_custkey, ' - ', o_orderpriority, ' & more') AS publication_info,
+       CASE WHEN o_orderstatus <> 'P' THEN concat('Cited by ', CAST(floor(o_totalprice / 1000) AS BIGINT)) END AS cited_by
+FROM orders""",
+    "page_ads": f"""
+WITH RECURSIVE cut AS (
+  SELECT page_id, regexp_extract_all(h, '(?is)</?div\\b[^>]*>') AS tags, regexp_split_to_array(h, '(?is)</?div\\b[^>]*>') AS parts
+  FROM (SELECT page_id, regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'g') AS h FROM pages)),
+walk AS (  -- one row per (block, tag): how deep the tag leaves the block
+  SELECT page_id, tags, parts, i AS first, i, 1 AS depth, parts[i + 1] AS block
+  FROM (SELECT *, unnest(range(1, len(tags) + 1)) AS i FROM cut) WHERE tags[i] NOT LIKE '</%' AND regexp_matches(tags[i], 'class="ad"')
+  UNION ALL
+  SELECT page_id, tags, parts, first, i + 1, depth + CASE WHEN tags[i + 1] LIKE '</%' THEN -1 ELSE 1 END,
+         CASE WHEN depth = 1 AND tags[i + 1] LIKE '</%' THEN block ELSE concat(block, tags[i + 1], parts[i + 2]) END
+  FROM walk WHERE depth > 0 AND i < len(tags)),
+ends AS (SELECT page_id, first, block FROM walk WHERE depth = 0 OR i = len(tags))
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY first) - 1 AS INTEGER) AS pos, {_strip_tags_sql("block")} AS text FROM ends""",
     "page_records": PAGE_SQL,
     "clean_articles": RAW_SQL
     + "SELECT title, authors, year, venue, publisher, citation_count,"

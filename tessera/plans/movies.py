@@ -186,7 +186,16 @@ def q_fk_rejects(spark, root):
     return quality.enforce_foreign_key(directs, movies, ["mid"], ["id"]).rejects
 
 
+def q_directors_per_actor(spark, root):
+    """A2 on the raw links: distinct directors of every actor, bitmaps where a movie has many."""
+    pin_utc(spark)
+    # movies of few keys, so that each has many directors and actors
+    links = [df.withColumn("mid", F.col("mid") % 25) for df in (raw_acts_in(spark, root), raw_directs(spark, root))]
+    return relational.directors_per_actor(*links, bitmap_from=64)
+
+
 QUERIES = {
+    "directors_per_actor": q_directors_per_actor,
     "top_k_per_year": q_top_k_per_year,
     "active_in_both_periods": q_active_in_both_periods,
     "leap_year_directors": q_leap_year_directors,
@@ -243,6 +252,10 @@ directs AS (SELECT DISTINCT did, mid FROM raw_directs
 )
 
 ORACLE = {
+    "directors_per_actor": """
+WITH acts AS (SELECT DISTINCT l_partkey AS pid, l_orderkey % 25 AS mid FROM lineitem),
+directs AS (SELECT DISTINCT l_suppkey AS did, l_orderkey % 25 AS mid FROM lineitem)
+SELECT pid, count(DISTINCT did) AS num_directors FROM acts JOIN directs USING (mid) GROUP BY pid""",
     # top of each year: cut the year's ordered list
     "top_k_per_year": _LOADED
     + """

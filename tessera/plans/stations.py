@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import models as M
+from tessera.operators import periods, quantiles, series, spatial
 from tessera.operators import stations as S
 from tessera.plans.common import rounded, two_step_round
 from tessera.session import pin_utc
@@ -188,7 +189,66 @@ def q_coldest_day(spark, root):
     return rounded(S.coldest_day(daily_series(spark, root), AS_OF))
 
 
+def wide_catalogue(spark, root) -> DataFrame:
+    """A station per supplier, over the whole globe; some report too late or too short."""
+    s = read_table(spark, root, "supplier")
+    key = F.col("s_suppkey").cast("double")
+    return s.select(
+        F.col("s_suppkey").alias("station"), (key * 53.1373 % 160 - 80).alias("latitude"), (key * 71.9131 % 360 - 180).alias("longitude"),
+        F.date_add(F.lit("2023-12-20").cast("date"), (F.col("s_suppkey") % 20).cast("int")).cast("timestamp").alias("hourly_start"),
+        F.date_add(F.lit("2024-03-10").cast("date"), (F.col("s_suppkey") % 7).cast("int")).cast("timestamp").alias("hourly_end"),
+    )
+
+
+def q_nearest_stations(spark, root):
+    """S12 + C7 + J12 for many points: the three nearest stations of every customer whose record covers the events."""
+    pin_utc(spark)
+    key = F.col("c_custkey").cast("double")
+    points = read_table(spark, root, "customer").select("c_custkey", (key * 37.3717 % 180 - 90).alias("latitude"), (key * 91.7117 % 360 - 180).alias("longitude"))
+    covering = S.covering_stations(wide_catalogue(spark, root), read_table(spark, root, "events"), "ts")
+    near = spatial.k_nearest(points, covering, 3)
+    return rounded(near.select("c_custkey", "nearest_rank", "station", "distance"), 2)
+
+
+def daily_a(spark, root) -> DataFrame:
+    """Daily HDD of station A."""
+    return S.with_daily_hdd(daily_series(spark, root).filter("station = 'A'")).select("date", "hdd")
+
+
+def billing_periods(spark, root) -> DataFrame:
+    """A period per order, of 0 to 59 days, and of many years for a few: overlaps and gaps."""
+    days = F.when(F.col("o_orderkey") % 1000 == 0, 3000).otherwise(F.col("o_orderkey") % 60).cast("int")
+    start = F.to_date("o_orderdate")
+    return read_table(spark, root, "orders").select(F.col("o_orderkey").alias("period"), start.alias("start"), F.date_add(start, days).alias("end"))
+
+
+def q_billing_hdd(spark, root):
+    """Heating degree days of arbitrary billing periods (start, end]."""
+    pin_utc(spark)
+    totals = periods.period_totals(daily_a(spark, root), billing_periods(spark, root), "date", "hdd", "period")
+    return rounded(totals.select("period", "start", "end", "n", "hdd"))
+
+
+def q_event_running(spark, root):
+    """N5 + T17 + A16 without a group: backward difference and running sum over all events in time."""
+    pin_utc(spark)
+    e = read_table(spark, root, "events").select("ts", "event_id", "value")
+    out = series.scan_series(e, "ts", "value", ["event_id"])
+    return rounded(out.select("event_id", "previous", "difference", "running"))
+
+
+def q_price_quantiles(spark, root):
+    """P10 + A17: exact quantiles of all prices by selection."""
+    ranks = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
+    values = quantiles.exact_quantiles(read_table(spark, root, "lineitem"), "l_extendedprice", ranks)
+    return rounded(spark.createDataFrame(list(zip(ranks, values)), "q double, price double"))
+
+
 QUERIES = {
+    "nearest_stations": q_nearest_stations,
+    "billing_hdd": q_billing_hdd,
+    "event_running": q_event_running,
+    "price_quantiles": q_price_quantiles,
     "annual_hdd_by_station": q_annual_hdd_by_station,
     "annual_hdd_panel": q_annual_hdd_panel,
     "monthly_hdd_zscore": q_monthly_hdd_zscore,
@@ -269,6 +329,34 @@ rz AS (SELECT month, CAST(year AS DOUBLE) AS x, (hdd - avg(hdd) OVER (PARTITION
 """
 
 ORACLE = {
+    "nearest_stations": f"""
+WITH points AS (SELECT c_custkey, CAST(c_custkey AS DOUBLE) * 37.3717 % 180 - 90 AS lat, CAST(c_custkey AS DOUBLE) * 91.7117 % 360 - 180 AS lon FROM customer),
+stations AS (
+  SELECT s_suppkey AS station, CAST(s_suppkey AS DOUBLE) * 53.1373 % 160 - 80 AS lat, CAST(s_suppkey AS DOUBLE) * 71.9131 % 360 - 180 AS lon FROM supplier
+  WHERE DATE '2023-12-20' + CAST(s_suppkey % 20 AS INTEGER) <= (SELECT min(ts) FROM events)
+    AND DATE '2024-03-10' + CAST(s_suppkey % 7 AS INTEGER) >= (SELECT max(ts) FROM events)),
+far AS (
+  SELECT c_custkey, station, 2 * {S.wx.EARTH_RADIUS_M} * asin(sqrt(pow(sin((radians(s.lat) - radians(p.lat)) / 2), 2)
+           + cos(radians(p.lat)) * cos(radians(s.lat)) * pow(sin((radians(s.lon) - radians(p.lon)) / 2), 2))) AS distance
+  FROM points p, stations s),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY distance, station) AS r FROM far)
+SELECT c_custkey, CAST(r AS INTEGER) AS nearest_rank, station, round(distance, 2) AS distance FROM ranked WHERE r <= 3""",
+    "billing_hdd": """
+WITH days AS (
+  SELECT CAST(l_shipdate AS DATE) AS date, greatest(65 - ((min(l_quantity - 30) + max(l_quantity - 30)) / 2 * 9 / 5 + 32), 0) AS hdd
+  FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1),
+periods AS (
+  SELECT o_orderkey AS period, CAST(o_orderdate AS DATE) AS start,
+         CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderkey % 1000 = 0 THEN 3000 ELSE o_orderkey % 60 END AS INTEGER) AS "end" FROM orders)
+SELECT period, start, "end", count(date) AS n, round(sum(hdd), 6) AS hdd
+FROM periods LEFT JOIN days ON date > start AND date <= "end" GROUP BY ALL""",
+    "event_running": """
+SELECT event_id, round(lag(value) OVER w, 6) AS previous, round(value - lag(value) OVER w, 6) AS difference,
+       round(coalesce(sum(value) OVER w, 0), 6) AS running
+FROM events WHERE ts IS NOT NULL WINDOW w AS (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""",
+    "price_quantiles": "\nUNION ALL\n".join(
+        f"SELECT CAST({q} AS DOUBLE) AS q, round(quantile_cont(l_extendedprice, {q}), 6) AS price FROM lineitem" for q in (0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0)
+    ),
     "region_annual_hdd": REGION_SQL
     + """
 SELECT c.station, y.year, round(nullif(sum(d.hdd), 0), 6) AS hdd

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -100,3 +101,11 @@ def checkpoint_keyed(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
         target.unpersist()
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: later jobs read files, and a lost
+    executor repeats no upstream work."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
