@@ -1,28 +1,35 @@
 """Line dedup by pairwise alignment.
 
-A passage is a run of lines; the shortest run of at least ``min_words`` words that starts
-or ends at a line is a rare key by construction (frequent short lines alone never make
-one). Each key names the first document that has it, so a document is paired with the
-earlier documents that it overlaps, and a passage in a million documents makes a million
-pairs at most, never all pairs. Each pair is aligned by patience diff on line hashes, and
-the aligned common blocks of at least ``min_words`` words are deleted from the later one;
-so is every run of a key that the pair shares, wherever it was moved or repeated.
-
-With ``passage``, those that start or end inside a line are found by words, line ends
-aside: the least hash of every ``passage - min_words + 1`` neighbouring windows of
-``min_words`` words is a key, so any common run of ``passage`` words has one in both
-documents. Around the keys that two documents share, all windows are compared, and every
-window that an earlier document has is deleted from the later ones: no word of a common
-run of ``passage`` words (over 50) is left, and no word outside a common run of
-``min_words`` goes. Shorter runs of words, and repeated lines that make no run of
-``min_words``, stay by that rule.
-
-"Earlier" is by id, then by a hash of the text. Every line of a deleted block, and every
-deleted window, stays in the first document that has it (less what a still earlier one
+Words go that are in a run of ``passage`` words (51) that an earlier document has too, line ends
+aside; no other word goes. No such run is left: all of it goes if the first document with its key
+has it whole (always so where two documents, or any number, share one passage), and ``min_words`` of it
+at least where three documents overlap in different parts of it.
+
+1. Rare keys. Of every ``passage - min_words + 1`` neighbouring windows of ``min_words`` words the least
+   hash is a key, so any common run of ``passage`` words has one in both documents. Each key
+   names the first document that has it; a document is paired with the first holders of its
+   keys, so a passage in a million documents makes a million pairs at most, never all pairs.
+2. Patience diff. The keys that are unique in both documents of a pair are chained in their longest common
+   order; each is grown word by word to both sides, and grown blocks of at least
+   ``passage`` words are deleted from the later document. Passes repeat on what is not covered
+   (moved passages); keys that come several times are settled by comparing the windows of ``passage``
+   words around them.
+3. Keys whose common run with their first holder is shorter than a passage are left open. Documents that
+   hold an open key are paired once more, by the windows of ``passage`` words around it (again
+   with the first holder of each), and aligned the same way. So a passage is found in the first
+   document that has it even if a still earlier one has a part of it.
+
+Without ``passage`` whole lines only are compared: a key is the shortest run of lines of at least
+``min_words`` words from or to a line, pairs are aligned by patience diff on line hashes, and the
+aligned common blocks of at least ``min_words`` words are deleted from the later document; so is
+every run of a key that the pair shares, wherever it was moved or repeated.
+
+"Earlier" is by id, then by a hash of the text; documents are compared as they were, so every
+deleted passage stays in the first document that has it (less what a still earlier one
 has). Results for odd input: null and empty texts and rows without an id stay as they are;
 rows that repeat both id and text share their fate; lines are compared without white space
-at their ends; blank lines are left out of the comparison and go between two deleted lines
-only; where words go from within a line, its other words stay, joined by a blank.
+at their ends; blank lines go between two deleted lines only; where words go from within a
+line, its other words stay, joined by a blank.
 """
 
 from __future__ import annotations
@@ -41,7 +48,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import BROADCAST_IDS, fresh, materialize, release, small, small_batches
 
 MIN_WORDS = 30
-#: Shortest common run of words that is certain to be found wherever it starts: over 50.
+#: Shortest common run of words that goes, wherever it starts: over 50.
 PASSAGE = 51
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -199,24 +206,117 @@ def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def window_keys(windows: np.ndarray, reach: int) -> list[int]:
-    """Distinct least hashes of every ``reach`` neighbouring windows."""
+def key_hashes(windows: np.ndarray, reach: int) -> np.ndarray:
+    """Distinct least hashes of every ``reach`` neighbouring windows, ascending."""
     if len(windows) < reach:
-        return []
-    return np.unique(np.lib.stride_tricks.sliding_window_view(windows, reach).min(axis=1)).tolist()
+        return np.zeros(0, np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(windows, reach).min(axis=1)
+    return np.unique(least[np.concatenate([[True], least[1:] != least[:-1]])])
+
+
+class Words:
+    """A text's word hashes, and where its keys are."""
+
+    def __init__(self, text: str, n: int, reach: int):
+        self.words = word_hashes(text)
+        windows = window_hashes(self.words, n)
+        keys = key_hashes(windows, reach)
+        at = np.searchsorted(keys, windows)
+        self.places = np.flatnonzero(keys[np.minimum(at, len(keys) - 1)] == windows) if len(keys) else np.zeros(0, np.int64)
+        self.keys = windows[self.places]
 
 
-def near_keys(windows: np.ndarray, keys: list[int], reach: int) -> np.ndarray:
-    """Starts of the windows less than ``reach`` from one with a hash of ``keys``."""
-    at = np.flatnonzero(np.isin(windows, np.array(keys, np.int64)))
-    step = np.zeros(len(windows) + 1, np.int64)
-    np.add.at(step, np.maximum(at - reach + 1, 0), 1)
-    np.add.at(step, np.minimum(at + reach, len(windows)), -1)
-    return np.flatnonzero(np.cumsum(step)[:-1])
+def grown(later: np.ndarray, i: int, earlier: np.ndarray, j: int, n: int) -> tuple[int, int]:
+    """The common run around the ``n`` equal words at ``i`` and ``j``, as words of ``later``."""
 
+    def reach(a: np.ndarray, b: np.ndarray) -> int:
+        at, step, most = 0, 64, min(len(a), len(b))
+        while at < most:
+            other = np.flatnonzero(a[at : at + step] != b[at : at + step]) if at + step <= most else np.flatnonzero(a[at:most] != b[at:most])
+            if len(other):
+                return at + int(other[0])
+            at, step = at + step, 4 * step
+        return most
 
-def cut_text(text: str, lines: list[int], starts: list[int], n: int) -> tuple[str, list[int], int]:
-    """``text`` without ``lines`` and without the ``n`` words from each of ``starts``; the
+    return i - reach(later[:i][::-1], earlier[:j][::-1]), i + n + reach(later[i + n :], earlier[j + n :])
+
+
+def longest_chain(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """A longest part of ``pairs`` (first places ascending) whose second places ascend too."""
+    tails: list[int] = []
+    last: list[int] = []
+    back = [-1] * len(pairs)
+    for p, (_, j) in enumerate(pairs):
+        k = bisect_left(tails, j)
+        back[p] = last[k - 1] if k else -1
+        tails[k : k + 1] = [j]
+        last[k : k + 1] = [p]
+    chain, p = [], last[-1] if last else -1
+    while p >= 0:
+        chain.append(pairs[p])
+        p = back[p]
+    return chain[::-1]
+
+
+#: Passes of the alignment; what is still out of order then is grown one by one.
+PASSES = 8
+
+
+def aligned_words(later: Words, earlier: Words, n: int, passage: int) -> tuple[np.ndarray, list[int]]:
+    """Which words of ``later`` are in a run of ``passage`` words that ``earlier`` has, and the shared
+    keys in no such run."""
+    covered = np.zeros(len(later.words), bool)
+    there, first, times = np.unique(earlier.keys, return_index=True, return_counts=True)
+    at = np.searchsorted(there, later.keys)
+    at[at == len(there)] = 0
+    shared = np.flatnonzero(there[at] == later.keys) if len(there) else np.zeros(0, np.int64)
+    mine = later.keys[shared]
+    _, kind, own = np.unique(mine, return_inverse=True, return_counts=True) if len(mine) else (None, np.zeros(0, np.int64), np.zeros(0, np.int64))
+    unique = (own[kind] == 1) & (times[at[shared]] == 1)
+    left = list(zip(later.places[shared[unique]].tolist(), earlier.places[first[at[shared[unique]]]].tolist()))
+    done = 0
+    while left:
+        chain = longest_chain(left) if done < PASSES else left
+        done += 1
+        until = {}  # end of the block grown last on a diagonal
+        for i, j in chain:
+            if i + n <= until.get(i - j, 0):
+                continue
+            start, end = grown(later.words, i, earlier.words, j, n)
+            until[i - j] = end
+            if end - start >= passage:
+                covered[start:end] = True
+        used = set(chain)
+        left = [p for p in left if p not in used and not covered[p[0] : p[0] + n].all()]
+    whole = np.concatenate([[0], np.cumsum(covered)])
+
+    def is_open(spots: np.ndarray) -> np.ndarray:
+        return whole[spots + n] - whole[spots] < n
+
+    twice = shared[~unique]
+    twice = twice[is_open(later.places[twice])]
+    if len(twice):  # windows of a passage around keys that come several times
+        ours, theirs = window_hashes(later.words, passage), window_hashes(earlier.words, passage)
+        if len(ours) and len(theirs):
+            near = np.zeros(len(ours) + 1, np.int64)
+            spots = later.places[twice]
+            np.add.at(near, np.clip(spots + n - passage, 0, len(ours)), 1)
+            np.add.at(near, np.clip(spots + 1, 0, len(ours)), -1)
+            starts = np.flatnonzero(np.cumsum(near)[:-1])
+            for s in starts[np.isin(ours[starts], theirs)].tolist():
+                covered[s : s + passage] = True
+        whole = np.concatenate([[0], np.cumsum(covered)])
+    spots = later.places[shared]
+    return covered, np.unique(later.keys[shared[is_open(spots)]]).tolist() if len(spots) else []
+
+
+def spans_of(covered: np.ndarray) -> list[int]:
+    """Starts and ends of the covered stretches, in turn."""
+    return np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]]).astype(np.int8))).tolist()
+
+
+def cut_text(text: str, lines: list[int], spans: list[int]) -> tuple[str, list[int], int]:
+    """``text`` without ``lines`` and without the words of ``spans`` (start, end, start, end, ...); the
     numbers of the lines that went, and how many words went."""
     rows = text.encode("utf-8", "replace").split(b"\n")
     words = [len(r.split()) for r in rows]
@@ -224,8 +324,8 @@ def cut_text(text: str, lines: list[int], starts: list[int], n: int) -> tuple[st
     gone = np.zeros(first[-1], bool)
     for i in lines:
         gone[first[i] : first[i + 1]] = True
-    for s in starts:
-        gone[s : s + n] = True
+    for s, e in zip(spans[::2], spans[1::2]):
+        gone[s:e] = True
     out: list[bytes | None] = []
     for i, row in enumerate(rows):
         lost = gone[first[i] : first[i + 1]]
@@ -249,62 +349,135 @@ def cut_text(text: str, lines: list[int], starts: list[int], n: int) -> tuple[st
     return b"\n".join(r for r in out if r is not None).decode("utf-8", "replace"), [i for i, r in enumerate(out) if r is None], int(gone.sum())
 
 
-def word_starts(texts: DataFrame, lines: DataFrame, n: int, reach: int) -> DataFrame:
-    """``d, th, starts``: first words of the windows that an earlier document has."""
-    keyed = lines.select(F.explode("windows").alias("k"), "r")
-    both = keyed.groupBy("k").count().filter("count > 1").select("k")  # a repeated row counts too: it adds no earlier document
-    shared = keyed.join(both, "k").groupBy("r").agg(F.collect_list("k").alias("ks"))
-    # one number for (id, text hash), in their order: narrow rows from here on
-    hot = shared.join(lines.select("r", F.col("d").alias("h_d"), F.col("th").alias("h_th")), "r").dropDuplicates(["h_d", "h_th"])
-    hot = materialize(hot.orderBy("h_d", "h_th").select(F.monotonically_increasing_id().alias("me"), "h_d", "h_th", "ks"), "shared-windows")
-    ids = hot.select("h_d").distinct()
-    if ids.count() <= BROADCAST_IDS:
-        texts = texts.join(F.broadcast(ids), F.col("d") == F.col("h_d"), "left_semi")
-    found = texts.join(hot, (F.col("d") == F.col("h_d")) & (F.col("th") == F.col("h_th"))).select("me", "text", "ks")
+#: Documents that hold a key from which its first holder is broadcast instead of shuffled to.
+HOT_KEY = 2000
+
+
+def first_pairs(keyed: DataFrame, label: str) -> DataFrame:
+    """``d, th, f_d, f_th``: each document with the first holders, other than itself, of its keys (``keyed``:
+    ``k, d, th``). Rows of a key that many documents hold are not shuffled by it: the first holders
+    of those keys (no more than rows / ``HOT_KEY``, counted) are broadcast."""
+    me = F.struct("d", "th")
+    first = keyed.groupBy("k").agg(F.min(me).alias("first"), F.max(me).alias("most"), F.count(F.lit(1)).alias("n")).filter("first < most")
+    first = materialize(first.select(F.col("k").alias("f_k"), F.col("first.d").alias("f_d"), F.col("first.th").alias("f_th"), "n"), f"{label}-first")
+    hot = first.filter(F.col("n") >= HOT_KEY).drop("n")
+    if (many := hot.count()) > BROADCAST_IDS:
+        parts = [first.drop("n")]
+    else:
+        parts = [first.filter(F.col("n") < HOT_KEY).drop("n")] + ([F.broadcast(hot)] if many else [])
+    found = None
+    for part in parts:
+        later = keyed.join(part, F.col("k") == F.col("f_k")).filter((F.col("f_d") < F.col("d")) | ((F.col("f_d") == F.col("d")) & (F.col("f_th") < F.col("th"))))
+        later = later.select("d", "th", "f_d", "f_th")
+        found = later if found is None else found.unionByName(later)
+    return materialize(found.distinct(), f"{label}-pairs")
+
+
+def aligned(pairs: DataFrame, texts: DataFrame, n: int, passage: int, label: str) -> DataFrame:
+    """``d, th, spans, open``: what each pair's alignment deletes from the later document, and the
+    shared keys it left open."""
+    kind = texts.schema["d"].dataType.simpleString()
+    ids = pairs.select("d").union(pairs.select("f_d")).distinct()
+    used = texts.join(small(ids.withColumnRenamed("d", "u_d")), F.col("d") == F.col("u_d"), "left_semi").dropDuplicates(["d", "th"])
+    used = materialize(used, f"{label}-texts")
+    earlier = used.select(F.col("d").alias("e_d"), F.col("th").alias("e_th"), F.col("text").alias("e_text"))
+    later = used.select(F.col("d").alias("l_d"), F.col("th").alias("l_th"), "text")
+    both = pairs.join(later, (F.col("d") == F.col("l_d")) & (F.col("th") == F.col("l_th"))).join(
+        earlier, (F.col("f_d") == F.col("e_d")) & (F.col("f_th") == F.col("e_th"))
+    ).select("d", "th", "text", "e_text")
+    reach = passage - n + 1
 
     def run(batches):
         release()
+        held: dict[str, Words] = {}  # a few of the last texts: pairs of one text follow each other
         for batch in batches:
-            near = []
-            for text, keys in zip(batch.column(1), batch.column(2)):
-                windows = window_hashes(word_hashes(text.as_py()), n)
-                at = near_keys(windows, keys.values.to_numpy(), reach)
-                near.append((windows[at].tolist(), at.tolist()))
+            spans, open_ = [], []
+            for mine, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                for text in (mine, other):
+                    if text not in held:
+                        if len(held) >= 8:
+                            held.clear()
+                        held[text] = Words(text, n, reach)
+                if other not in held or mine not in held:  # cleared in between
+                    held = {t: Words(t, n, reach) for t in (mine, other)}
+                covered, left = aligned_words(held[mine], held[other], n, passage)
+                spans.append(spans_of(covered))
+                open_.append(left)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([k for k, _ in near], pa.list_(pa.int64())), pa.array([a for _, a in near], pa.list_(pa.int32()))],
-                names=["me", "ks", "starts"],
-            )
+                [batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.int32())), pa.array(open_, pa.list_(pa.int64()))], names=["d", "th", "spans", "open"]
+            )
+
+    return materialize(both.transform(small_batches).mapInArrow(run, f"d {kind}, th bigint, spans array<int>, open array<bigint>"), f"{label}-aligned")
+
+
+def passage_cuts(texts: DataFrame, n: int, passage: int) -> DataFrame:
+    """``d, th, spans`` (several rows a document): the words in a run of ``passage`` words that an
+    earlier document has."""
+    kind, reach = texts.schema["d"].dataType.simpleString(), passage - n + 1
 
-    dense = materialize(found.transform(small_batches).mapInArrow(run, "me bigint, ks array<bigint>, starts array<int>"), "windows")
-    spots = dense.select("me", F.explode(F.arrays_zip("ks", "starts")).alias("w")).select(F.col("w.ks").alias("k"), "me", F.col("w.starts").alias("start"))
-    first = spots.groupBy(F.col("k").alias("f_k")).agg(F.min("me").alias("first"))
-    late = spots.join(first, F.col("k") == F.col("f_k")).filter("first < me").groupBy("me").agg(F.array_sort(F.collect_set("start")).alias("starts"))
-    return late.join(hot.select("me", F.col("h_d").alias("d"), F.col("h_th").alias("th")), "me").select("d", "th", "starts")
+    def keys(batches):
+        release()
+        for batch in batches:
+            found = [key_hashes(window_hashes(word_hashes(t.as_py()), n), reach) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["d", "th", "keys"]).filter(
+                pa.array([len(k) > 0 for k in found], pa.bool_())
+            )
+
+    held = materialize(texts.transform(small_batches).mapInArrow(keys, f"d {kind}, th bigint, keys array<bigint>"), "keys")
+    keyed = held.select(F.explode("keys").alias("k"), "d", "th")
+    pairs = first_pairs(keyed, "line")
+    found = aligned(pairs, texts, n, passage, "line")
+    cuts = found.filter(F.size("spans") > 0).select("d", "th", "spans")
+    left = materialize(found.select(F.explode("open").alias("o_k")).distinct(), "open-keys")
+    if not left.limit(1).count():
+        return cuts
+    holders = keyed.join(small(left), F.col("k") == F.col("o_k"), "left_semi").groupBy("d", "th").agg(F.collect_set("k").alias("ks"))
+    holders = materialize(holders.withColumnsRenamed({"d": "h_d", "th": "h_th"}), "holders")
+    some = texts.join(small(holders.select(F.col("h_d").alias("u_d")).distinct()), F.col("d") == F.col("u_d"), "left_semi")
+    some = some.join(holders, (F.col("d") == F.col("h_d")) & (F.col("th") == F.col("h_th"))).select("d", "th", "text", "ks")
+
+    def around(batches):
+        release()
+        for batch in batches:
+            found = []
+            for text, ks in zip(batch.column(2), batch.column(3)):
+                words = word_hashes(text.as_py())
+                places = np.flatnonzero(np.isin(window_hashes(words, n), ks.values.to_numpy()))
+                windows = window_hashes(words, passage)
+                near = (places[:, None] + np.arange(n - passage, 1)).ravel()
+                found.append(np.unique(windows[np.unique(near[(near >= 0) & (near < len(windows))])]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["d", "th", "keys"])
+
+    wide = materialize(some.transform(small_batches).mapInArrow(around, f"d {kind}, th bigint, keys array<bigint>"), "passage-keys")
+    more = first_pairs(wide.select(F.explode("keys").alias("k"), "d", "th"), "passage").join(pairs, ["d", "th", "f_d", "f_th"], "left_anti")
+    again = aligned(materialize(more, "more-pairs"), texts, n, passage, "passage")
+    return cuts.unionByName(again.filter(F.size("spans") > 0).select("d", "th", "spans"))
 
 
 def removals(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", passage: int | None = None) -> DataFrame:
-    """``d, th, lines, starts``: line numbers to delete and first words of the windows to
-    delete, per id and text hash; whole lines only if ``passage`` is None."""
+    """``d, th, lines, spans``: line numbers to delete and words to delete (starts and ends in
+    turn; they may overlap), per id and text hash; whole lines only if ``passage`` is None."""
     texts = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("d"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text")
     )
     kind = texts.schema["d"].dataType.simpleString()
-    reach = max(passage, min_words) - min_words + 1 if passage else 0
+    if passage:
+        cut = passage_cuts(texts, min(min_words, passage), passage)
+        return cut.groupBy("d", "th").agg(F.flatten(F.collect_list("spans")).alias("spans")).withColumn("lines", F.array().cast("array<int>"))
 
     def run(batches):
         release()
         for batch in batches:
             got = [line_hashes(t.as_py()) for t in batch.column(2)]
             keys = [all_keys(h, w, min_words) for h, w in got]
-            windows = [window_keys(window_hashes(word_hashes(t.as_py()), min_words), reach) if reach else [] for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([h for h, _ in got], pa.list_(pa.int64())), pa.array([w for _, w in got], pa.list_(pa.int32())),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(windows, pa.list_(pa.int64()))],
-                names=["d", "th", "hashes", "words", "keys", "windows"],
-            ).filter(pa.array([bool(k or w) for k, w in zip(keys, windows)], pa.bool_()))
+                 pa.array(keys, pa.list_(pa.int64()))],
+                names=["d", "th", "hashes", "words", "keys"],
+            ).filter(pa.array([bool(k) for k in keys], pa.bool_()))
 
-    found = texts.transform(small_batches).mapInArrow(run, f"d {kind}, th bigint, hashes array<bigint>, words array<int>, keys array<bigint>, windows array<bigint>")
-    lines = materialize(found.withColumn("r", F.monotonically_increasing_id()), "lines")
+    found = texts.transform(small_batches).mapInArrow(run, f"d {kind}, th bigint, hashes array<bigint>, words array<int>, keys array<bigint>")
+    lines = materialize(found, "lines")
     keyed = lines.select(F.explode("keys").alias("k"), F.struct("d", "th").alias("me"))
     first = keyed.groupBy("k").agg(F.min("me").alias("first"), F.max("me").alias("most")).filter("first < most")
     first = first.select(F.col("k").alias("f_k"), "first")
@@ -313,7 +486,7 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id"
             F.col("me.d").alias("l_d"), F.col("me.th").alias("l_th"), F.col("first.d").alias("e_d"), F.col("first.th").alias("e_th")
         ).distinct(), "line-pairs",
     )
-    once = lines.filter(F.size("keys") > 0).dropDuplicates(["d", "th"])
+    once = lines.dropDuplicates(["d", "th"])
     later = once.select(F.col("d").alias("a_d"), F.col("th").alias("a_th"), F.col("hashes").alias("a_h"), F.col("words").alias("a_w"))
     earlier = once.select(F.col("d").alias("b_d"), F.col("th").alias("b_th"), F.col("hashes").alias("b_h"))
     both = (
@@ -328,11 +501,9 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id"
             cut = [common_blocks(*args, min_words) for args in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cut, pa.list_(pa.int32()))], names=["d", "th", "lines"])
 
-    aligned = both.transform(small_batches).mapInArrow(align, f"d {kind}, th bigint, lines array<int>").filter(F.size("lines") > 0)
-    cut = aligned.withColumn("starts", F.array().cast("array<int>"))
-    if passage:
-        cut = cut.unionByName(word_starts(texts, lines, min_words, reach).withColumn("lines", F.array().cast("array<int>")))
-    return cut.groupBy("d", "th").agg(*(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("lines", "starts")))
+    cut = both.transform(small_batches).mapInArrow(align, f"d {kind}, th bigint, lines array<int>").filter(F.size("lines") > 0)
+    cut = cut.groupBy("d", "th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("lines"))
+    return cut.withColumn("spans", F.array().cast("array<int>"))
 
 
 def marked(docs: DataFrame, min_words: int, id_col: str, text_col: str, passage: int | None) -> tuple[DataFrame, str]:
@@ -342,18 +513,18 @@ def marked(docs: DataFrame, min_words: int, id_col: str, text_col: str, passage:
     @F.pandas_udf("text string, lines array<int>, words int")
     def left(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         release()
-        for texts, lines, starts in parts:
-            rows = [("", [], 0) if l is None else cut_text(t, l, s, min_words) for t, l, s in zip(texts, lines, starts)]
+        for texts, lines, spans in parts:
+            rows = [("", [], 0) if l is None else cut_text(t, l, s) for t, l, s in zip(texts, lines, spans)]
             yield pd.DataFrame(rows, columns=["text", "lines", "words"])
 
     cut = materialize(removals(docs, min_words, id_col, text_col, passage), "removals")
-    hit, th, d, c_th, lines, starts, out = fresh(docs, "hit_id", "text_hash", "cut_id", "cut_hash", "cut_lines", "cut_starts", "cut")
+    hit, th, d, c_th, lines, spans, out = fresh(docs, "hit_id", "text_hash", "cut_id", "cut_hash", "cut_lines", "cut_spans", "cut")
     ids = small(cut.select(F.col("d").alias(hit)).distinct())
     touched = docs.join(ids, docs[id_col] == F.col(hit), "left_semi").withColumn(th, F.xxhash64(F.col(text_col)))
-    plan = cut.select(F.col("d").alias(d), F.col("th").alias(c_th), F.col("lines").alias(lines), F.col("starts").alias(starts))
+    plan = cut.select(F.col("d").alias(d), F.col("th").alias(c_th), F.col("lines").alias(lines), F.col("spans").alias(spans))
     joined = touched.join(plan, (F.col(id_col) == F.col(d)) & (F.col(th) == F.col(c_th)), "left").transform(small_batches)
-    made = left.asNondeterministic()(F.col(text_col), F.col(lines), F.col(starts))
-    cleaned = joined.withColumn(out, made).withColumn(out, F.when(F.col(lines).isNotNull(), F.col(out))).drop(th, d, c_th, lines, starts)
+    made = left.asNondeterministic()(F.col(text_col), F.col(lines), F.col(spans))
+    cleaned = joined.withColumn(out, made).withColumn(out, F.when(F.col(lines).isNotNull(), F.col(out))).drop(th, d, c_th, lines, spans)
     same = docs.join(ids, docs[id_col] == F.col(hit), "left_anti")
     return cleaned.unionByName(same.withColumn(out, F.lit(None).cast(cleaned.schema[out].dataType))), out
 
