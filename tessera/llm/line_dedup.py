@@ -51,6 +51,7 @@ MIN_WORDS = 30
 #: Shortest common run of words that goes, wherever it starts: over 50.
 PASSAGE = 51
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def line_hashes(text: str) -> tuple[list[int], list[int]]:
@@ -179,10 +180,61 @@ def common_blocks(later: list[int], words: list[int], earlier: list[int], min_wo
     return sorted(line for i in gone for line in (range(at[i], at[i + 1]) if i + 1 in gone else (at[i],)))
 
 
+BASE = 0x9E3779B97F4A7C15
+#: Bytes hashed at once.
+CHUNK = 1 << 18
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse (modulo 2**64)."""
+    if len(_POWERS[0]) < n:
+        for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
+            _POWERS[k] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)]), dtype=np.uint64)
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def stretch_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the values from each start to each end, wherever they are."""
+    up, down = powers(len(values) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[:-1], dtype=np.uint64)])
+    return mixed((sums[end] - sums[start]) * down[start])
+
+
+def words_and_starts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of a UTF-8 text, and where its first byte is."""
+    out, spots, at = [], [], 0
+    while at < len(raw):
+        to = at + CHUNK
+        if to < len(raw):  # up to the next white space
+            m = _GAP.search(raw, to)
+            to = m.start() if m else len(raw)
+        part = np.frombuffer(raw, np.uint8, min(to, len(raw)) - at, at)
+        gap = np.concatenate([[True], _SPACE[part], [True]])
+        edge = np.flatnonzero(gap[:-1] != gap[1:])
+        start, end = edge[::2], edge[1::2]
+        out.append(mixed(stretch_hashes(part.astype(np.uint64) + np.uint64(1), start, end) + (end - start).astype(np.uint64)))
+        spots.append(start + at)
+        at = to
+    if not out:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(out), np.concatenate(spots)
+
+
 def word_hashes(text: str) -> np.ndarray:
     """Hash of every word, line ends aside."""
-    words = text.encode("utf-8", "replace").split()
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return words_and_starts(text.encode("utf-8", "replace"))[0]
+
+
+def hashed(texts: list[str], n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Word hashes and hashes of ``n`` words from each word, of every text; all texts side by side."""
+    raws = [t.encode("utf-8", "replace") for t in texts]
+    words, start = words_and_starts(b"\n".join(raws))
+    cut = np.searchsorted(start, np.cumsum([0] + [len(r) + 1 for r in raws])).tolist()
+    windows = window_hashes(words, n)
+    return [(words[a:b], windows[a : max(a, b - n + 1)]) for a, b in zip(cut, cut[1:])]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -191,35 +243,34 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the ``n`` words from each word, made of runs of 1, 2, 4, ... words."""
-    m = len(words) - n + 1
-    if m <= 0:
-        return np.zeros(0, np.int64)
-    out, at, size, level = np.zeros(m, np.uint64), 0, 1, words
-    while size <= n:
-        if n & size:
-            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + level[at : at + m])
-            at += size
-        if 2 * size <= n:
-            level = mixed(level[:-size] * np.uint64(0xA0761D6478BD642F) + level[size:])
+    """Hash of the ``n`` words from each word."""
+    start = np.arange(max(0, len(words) - n + 1))
+    return stretch_hashes(words, start, start + n).view(np.int64)
+
+
+def least_of(values: np.ndarray, reach: int) -> np.ndarray:
+    """Least of every ``reach`` neighbouring values, by runs of 1, 2, 4, ..."""
+    size = 1
+    while 2 * size <= reach:
+        values = np.minimum(values[:-size], values[size:])
         size *= 2
-    return out.view(np.int64)
+    rest = reach - size
+    return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
 def key_hashes(windows: np.ndarray, reach: int) -> np.ndarray:
     """Distinct least hashes of every ``reach`` neighbouring windows, ascending."""
     if len(windows) < reach:
         return np.zeros(0, np.int64)
-    least = np.lib.stride_tricks.sliding_window_view(windows, reach).min(axis=1)
+    least = least_of(windows, reach)
     return np.unique(least[np.concatenate([[True], least[1:] != least[:-1]])])
 
 
 class Words:
     """A text's word hashes, and where its keys are."""
 
-    def __init__(self, text: str, n: int, reach: int):
-        self.words = word_hashes(text)
-        windows = window_hashes(self.words, n)
+    def __init__(self, text: str, n: int, reach: int, known: tuple[np.ndarray, np.ndarray] | None = None):
+        self.words, windows = known or hashed([text], n)[0]
         keys = key_hashes(windows, reach)
         at = np.searchsorted(keys, windows)
         self.places = np.flatnonzero(keys[np.minimum(at, len(keys) - 1)] == windows) if len(keys) else np.zeros(0, np.int64)
@@ -358,7 +409,7 @@ def first_pairs(keyed: DataFrame, label: str) -> DataFrame:
     ``k, d, th``). Rows of a key that many documents hold are not shuffled by it: the first holders
     of those keys (no more than rows / ``HOT_KEY``, counted) are broadcast."""
     me = F.struct("d", "th")
-    first = keyed.groupBy("k").agg(F.min(me).alias("first"), F.max(me).alias("most"), F.count(F.lit(1)).alias("n")).filter("first < most")
+    first = keyed.groupBy("k").agg(F.min(me).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     first = materialize(first.select(F.col("k").alias("f_k"), F.col("first.d").alias("f_d"), F.col("first.th").alias("f_th"), "n"), f"{label}-first")
     hot = first.filter(F.col("n") >= HOT_KEY).drop("n")
     if (many := hot.count()) > BROADCAST_IDS:
@@ -373,34 +424,31 @@ def first_pairs(keyed: DataFrame, label: str) -> DataFrame:
     return materialize(found.distinct(), f"{label}-pairs")
 
 
-def aligned(pairs: DataFrame, texts: DataFrame, n: int, passage: int, label: str) -> DataFrame:
+def aligned(pairs: DataFrame, texts: DataFrame, n: int, passage: int, label: str, repeated: bool) -> DataFrame:
     """``d, th, spans, open``: what each pair's alignment deletes from the later document, and the
-    shared keys it left open."""
+    shared keys it left open. ``repeated`` tells whether rows of ``texts`` share id and text."""
     kind = texts.schema["d"].dataType.simpleString()
-    ids = pairs.select("d").union(pairs.select("f_d")).distinct()
-    used = texts.join(small(ids.withColumnRenamed("d", "u_d")), F.col("d") == F.col("u_d"), "left_semi").dropDuplicates(["d", "th"])
-    used = materialize(used, f"{label}-texts")
-    earlier = used.select(F.col("d").alias("e_d"), F.col("th").alias("e_th"), F.col("text").alias("e_text"))
-    later = used.select(F.col("d").alias("l_d"), F.col("th").alias("l_th"), "text")
-    both = pairs.join(later, (F.col("d") == F.col("l_d")) & (F.col("th") == F.col("l_th"))).join(
+
+    def of(ids: DataFrame) -> DataFrame:
+        some = texts.join(small(ids.toDF("u_d").distinct()), F.col("d") == F.col("u_d"), "left_semi")
+        return some.dropDuplicates(["d", "th"]) if repeated else some
+
+    earlier = of(pairs.select("f_d")).select(F.col("d").alias("e_d"), F.col("th").alias("e_th"), F.col("text").alias("e_text"))
+    later = of(pairs.select("d")).select(F.col("d").alias("l_d"), F.col("th").alias("l_th"), "text")
+    both = later.join(small(pairs), (F.col("d") == F.col("l_d")) & (F.col("th") == F.col("l_th"))).join(
         earlier, (F.col("f_d") == F.col("e_d")) & (F.col("f_th") == F.col("e_th"))
     ).select("d", "th", "text", "e_text")
     reach = passage - n + 1
 
     def run(batches):
         release()
-        held: dict[str, Words] = {}  # a few of the last texts: pairs of one text follow each other
         for batch in batches:
+            mine, other = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            texts = list(dict.fromkeys(mine + other))
+            held = {t: Words(t, n, reach, known) for t, known in zip(texts, hashed(texts, n))}
             spans, open_ = [], []
-            for mine, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                for text in (mine, other):
-                    if text not in held:
-                        if len(held) >= 8:
-                            held.clear()
-                        held[text] = Words(text, n, reach)
-                if other not in held or mine not in held:  # cleared in between
-                    held = {t: Words(t, n, reach) for t in (mine, other)}
-                covered, left = aligned_words(held[mine], held[other], n, passage)
+            for a, b in zip(mine, other):
+                covered, left = aligned_words(held[a], held[b], n, passage)
                 spans.append(spans_of(covered))
                 open_.append(left)
             yield pa.RecordBatch.from_arrays(
@@ -418,7 +466,7 @@ def passage_cuts(texts: DataFrame, n: int, passage: int) -> DataFrame:
     def keys(batches):
         release()
         for batch in batches:
-            found = [key_hashes(window_hashes(word_hashes(t.as_py()), n), reach) for t in batch.column(2)]
+            found = [key_hashes(windows, reach) for _, windows in hashed(batch.column(2).to_pylist(), n)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["d", "th", "keys"]).filter(
                 pa.array([len(k) > 0 for k in found], pa.bool_())
             )
@@ -426,7 +474,8 @@ def passage_cuts(texts: DataFrame, n: int, passage: int) -> DataFrame:
     held = materialize(texts.transform(small_batches).mapInArrow(keys, f"d {kind}, th bigint, keys array<bigint>"), "keys")
     keyed = held.select(F.explode("keys").alias("k"), "d", "th")
     pairs = first_pairs(keyed, "line")
-    found = aligned(pairs, texts, n, passage, "line")
+    repeated = held.groupBy("d", "th").count().filter("count > 1").limit(1).count() > 0
+    found = aligned(pairs, texts, n, passage, "line", repeated)
     cuts = found.filter(F.size("spans") > 0).select("d", "th", "spans")
     left = materialize(found.select(F.explode("open").alias("o_k")).distinct(), "open-keys")
     if not left.limit(1).count():
@@ -450,7 +499,7 @@ def passage_cuts(texts: DataFrame, n: int, passage: int) -> DataFrame:
 
     wide = materialize(some.transform(small_batches).mapInArrow(around, f"d {kind}, th bigint, keys array<bigint>"), "passage-keys")
     more = first_pairs(wide.select(F.explode("keys").alias("k"), "d", "th"), "passage").join(pairs, ["d", "th", "f_d", "f_th"], "left_anti")
-    again = aligned(materialize(more, "more-pairs"), texts, n, passage, "passage")
+    again = aligned(materialize(more, "more-pairs"), texts, n, passage, "passage", repeated)
     return cuts.unionByName(again.filter(F.size("spans") > 0).select("d", "th", "spans"))
 
 
