@@ -144,7 +144,29 @@ def q_file_orders_csv(spark, root):
     return half.unionByName(spark.read.parquet(batches).drop("batch"))
 
 
+def q_orders_of_a_year(spark, root):
+    """Orders laid out by year and sorted by price, hot years in several files; one year read back."""
+    pin_utc(spark)
+    o = read_table(spark, root, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    path = folder(spark, "orders-by-year")
+    writers.write_partitioned(o, path, ["year"], ["o_totalprice"], rows_per_file=2_000)
+    return spark.read.parquet(path).filter("year = 1996 and o_totalprice < 50000")
+
+
+def q_bucketed_totals(spark, root):
+    """Orders and their lines, bucketed by the order, joined bucket by bucket."""
+    pin_utc(spark)
+    name = uuid.uuid4().hex
+    o = writers.write_bucketed(read_table(spark, root, "orders").select("o_orderkey", "o_orderstatus"), f"orders_{name}", folder(spark, "orders-bucketed"), ["o_orderkey"], 8)
+    li = read_table(spark, root, "lineitem").select("l_orderkey", "l_quantity")
+    li = writers.write_bucketed(li, f"lines_{name}", folder(spark, "lines-bucketed"), ["l_orderkey"], 8)
+    joined = o.join(li.hint("merge"), o.o_orderkey == li.l_orderkey)
+    return joined.groupBy("o_orderkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
+
+
 QUERIES = {
+    "orders_of_a_year": q_orders_of_a_year,
+    "bucketed_totals": q_bucketed_totals,
     "file_movies": q_file_movies,
     "file_persons": q_file_persons,
     "file_directors": q_file_directors,
@@ -166,6 +188,10 @@ FROM lineitem"""
 _TITLED = f"SELECT o_orderkey AS id, concat('{TITLE}', o_orderkey) AS name, CAST(year(o_orderdate) AS INTEGER) AS year, o_totalprice AS rank FROM orders"
 
 ORACLE = {
+    "orders_of_a_year": "SELECT o_orderkey, o_totalprice, CAST(1996 AS INTEGER) AS year FROM orders WHERE year(o_orderdate) = 1996 AND o_totalprice < 50000",
+    "bucketed_totals": """
+SELECT o_orderkey, o_orderstatus, count(*) AS n, sum(l_quantity) AS quantity
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""",
     "file_movies": _TITLED,
     "file_persons": "SELECT p_partkey AS id, p_name AS fname, p_brand AS lname, p_type AS gender FROM part",
     "file_directors": "SELECT s_suppkey AS id, s_name AS fname, n_name AS lname FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey",

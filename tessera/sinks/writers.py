@@ -107,22 +107,35 @@ def write_partitioned(
     partition_by: Sequence[str] = (),
     sort_within: Sequence[str] = (),
     mode: str = "overwrite",
+    rows_per_file: int = 2_000_000,
 ) -> None:
     """Physical layout - folders per ``partition_by`` value (e.g. year) and
     rows sorted within each file by ``sort_within`` (e.g. name), so filters on
     the partition column prune folders and parquet min/max stats prune row
-    groups for the sort column."""
-    out = df
-    if partition_by:
-        out = out.repartition(*partition_by)
-    if sort_within:
-        out = out.sortWithinPartitions(*sort_within)
+    groups for the sort column.
+
+    Rows are range-partitioned by both, in tasks of about ``rows_per_file`` rows: a value
+    with many rows is cut into several files with ranges of the sort column, values with
+    few rows share a task. (Rows that are equal in all these columns stay together.)"""
+    out, by = df, [*partition_by, *sort_within]
+    if by:
+        out = out.repartitionByRange(max(1, -(-df.count() // rows_per_file)), *by).sortWithinPartitions(*by)
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """A table of the session's catalog whose files at ``path`` are bucketed and sorted by
+    ``keys``. Tables with equally many buckets join on their keys without an exchange. Returns
+    the table."""
+    spark = df.sparkSession
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return spark.table(table)
+
+
 def show(df: DataFrame, n: int = 20) -> None:
     """K8: print the first rows."""
     df.show(n, truncate=False)

@@ -102,3 +102,29 @@ def test_coded_lines_read_back(spark, tmp_dir):
     part = next(p for p in os.listdir(path) if p.startswith("part"))
     with open(os.path.join(path, part), "rb") as f:
         assert b"\xc9t\xe9" in f.read()
+
+
+def test_a_hot_partition_value_gets_several_files(spark, tmp_dir):
+    df = spark.range(4000).selectExpr("IF(id % 10 = 0, 1990 + id % 7, 2000) AS year", "id * 7919 % 4001 AS name")
+    path = os.path.join(tmp_dir, "t")
+    writers.write_partitioned(df, path, ["year"], ["name"], rows_per_file=400)
+    back = spark.read.parquet(path)
+    assert rows(back, "year", "name") == rows(df, "year", "name")
+    parts = [p for p in os.listdir(os.path.join(path, "year=2000")) if p.endswith(".parquet")]
+    assert len(parts) >= 7
+    for p in parts:
+        names = [r.name for r in spark.read.parquet(os.path.join(path, "year=2000", p)).collect()]
+        assert names == sorted(names) and len(names) < 1000
+    ranges = sorted((min(n), max(n)) for n in ([r.name for r in spark.read.parquet(os.path.join(path, "year=2000", p)).collect()] for p in parts))
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))  # each file a range of its own
+    plan = back.filter("year = 2000")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, tmp_dir):
+    a = writers.write_bucketed(spark.range(1000).selectExpr("id AS k", "id % 3 AS v"), "bucketed_a", os.path.join(tmp_dir, "a"), ["k"], 4)
+    b = writers.write_bucketed(spark.range(3000).selectExpr("id % 1000 AS j", "id AS w"), "bucketed_b", os.path.join(tmp_dir, "b"), ["j"], 4)
+    joined = a.join(b.hint("merge"), a.k == b.j)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert joined.count() == 3000
