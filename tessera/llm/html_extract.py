@@ -6,7 +6,10 @@ of its class, id and role, and a run's length, link share and punctuation; paren
 potentials connect the nodes. One upward and one downward sum-product pass give exact
 marginals; runs whose marginal is at least one half are the article, joined in page
 order. The potentials are trained by maximum likelihood on labelled pages
-(:func:`labelled_pages`, a bounded set of layouts generated here).
+(:func:`labelled_pages`, a bounded set of layouts generated here). Pages on which no tag
+or class names the article, and those on which the marks lead to no text, are scored by
+shape instead: length, link share, punctuation, share among siblings and place beside the
+longest runs, with potentials of their own (:func:`unmarked_pages`).
 
 Results for odd input: null or empty html, and pages without an article, give an empty
 text; unclosed and stray tags are tolerated (a page without ``</body>`` is read to its
@@ -47,45 +50,56 @@ GROUPS = {
     "head": ("head", "masthead", "topbar", "logo", "brand"),
     "foot": ("foot", "copyright", "legal", "imprint", "contentinfo", "credits"),
     "side": ("side", "aside", "widget", "rail", "related", "recommend", "trending", "popular", "teaser", "complementary", "latest"),
-    "comment": ("comment", "reply", "replies", "disqus", "discuss", "thread", "review", "respond", "feedback", "guestbook"),
+    "comment": ("comment", "reply", "replies", "disqus", "discuss", "thread", "review", "respond", "feedback", "guestbook", "opinion", "cmt", "talkback"),
     "form": ("form", "login", "signup", "subscri", "newsletter", "search", "contact", "register"),
     "share": ("share", "sharing", "social", "follow", "tool", "print", "rating", "tags"),
     "hidden": ("hidden", "invisible", "sr"),
     "text": ("article", "content", "main", "post", "entry", "story", "body", "text", "prose", "page", "container", "wrapper"),
 }
+TABLE = frozenset("html body table thead tbody tfoot tr td th caption template".split())
+CELLS = ("td", "th", "caption", "template")
 FEATURES = ["element", *("tag:" + t for t in TAGS), "tag:other", *("group:" + g for g in GROUPS), "hidden", "header in article", "footer in article", "run", "run:long", "run:links", "run:points", "run:words"]
 AT = {f: i for i, f in enumerate(FEATURES)}
+#: Shape of an element or run: its share of the plain text, links, length, marks, and place
+#: beside the page's longest runs. Used where no mark names the article.
+SHAPE = ["share", "of siblings", "links below", "long below", "prose below", "points below", "before prose", "after prose", "run alone", "run of siblings", "run before", "run after"]
+SHAPE_AT = {f: len(FEATURES) + i for i, f in enumerate(SHAPE)}
+PROSE = 80  # characters of a run that counts as prose
+POINTS = ".,;:!?\u3002\uff0c\u3001\uff01\uff1f\uff1b\u061f\u060c\u0964"
+#: Words of classes, ids and roles that name the article itself.
+NAMES = {"article", "content", "main", "post", "entry", "story", "prose"}
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Page(HTMLParser):
     """Text-bearing part of a page's element tree. ``nodes`` are (parent, features)
-    in page order, parents first; ``runs`` maps a run's node to its text."""
+    in page order, parents first; ``runs`` maps a run's node to its text. Only blocks and
+    dropped elements are stacked, places of open tags are kept by name and a node is made
+    once, so the time is linear in the page however deep it nests."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.nodes: list[tuple[int, tuple]] = []
         self.runs: dict[int, str] = {}
-        self.stack: list[list] = []  # tag, attributes, node or None, dropped, inline
+        #: tag, attributes, node, dropped, within article or main, open link, open MathML and SVG
+        self.stack: list[list] = []
+        self.at: dict[str, list[int]] = {}  # places on the stack by tag
+        self.placed = 0  # entries of the stack that have their node
         self.dropped = 0
         self.foreign = 0
         self.held: list[tuple[str, bool]] = []
-        self.links = 0
         self.feed(html)
         self.close()
         self.flush()
 
     def place(self) -> int:
-        """Node of the innermost open block element; makes the missing ones."""
-        parent = -1
-        for entry in self.stack:
-            if entry[2] is None and not entry[4]:
-                inside = any(e[0] in ("article", "main") for e in self.stack[: self.stack.index(entry)]) if entry[0] in ("header", "footer") else False
-                self.nodes.append((parent, (entry[0], entry[1], inside)))
-                entry[2] = len(self.nodes) - 1
-            if entry[2] is not None:
-                parent = entry[2]
-        return parent
+        """Node of the innermost open element; makes the missing ones."""
+        for i in range(self.placed, len(self.stack)):
+            entry = self.stack[i]
+            self.nodes.append((self.stack[i - 1][2] if i else -1, (entry[0], entry[1], entry[4] and entry[0] in ("header", "footer"))))
+            entry[2] = len(self.nodes) - 1
+        self.placed = len(self.stack)
+        return self.stack[-1][2] if self.stack else -1
 
     def flush(self) -> None:
         """End the current run of text."""
@@ -97,22 +111,23 @@ class Page(HTMLParser):
                 self.runs[len(self.nodes) - 1] = text
             self.held = []
 
+    def last(self, tags) -> int:
+        """Place of the innermost open element of these tags, or -1."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
+
     def pop_to(self, at: int) -> None:
-        if any(not e[4] for e in self.stack[at:]):
+        if not self.dropped:
             self.flush()
-        for entry in self.stack[at:]:
+        while len(self.stack) > at:
+            entry = self.stack.pop()
+            self.at[entry[0]].pop()
             self.dropped -= entry[3]
-            self.foreign -= entry[0] in FOREIGN
-            self.links -= entry[0] == "a"
-            if self.foreign and entry[0] in ("text", "title", "desc"):  # labels of a drawing
-                self.held.append((" ", False))
-        del self.stack[at:]
+            self.foreign -= entry[6]
+        self.placed = min(self.placed, at)
 
     def end_head(self) -> None:
-        for at, entry in enumerate(self.stack):
-            if entry[0] == "head":
-                self.pop_to(at)
-                break
+        if self.at.get("head"):
+            self.pop_to(self.at["head"][0])
 
     def handle_starttag(self, tag, attrs):
         if tag not in IN_HEAD and not self.dropped:
@@ -120,47 +135,59 @@ class Page(HTMLParser):
         if tag == "br":
             self.held.append(("\n", False))
             return
+        drop = tag in DROPPED and not (tag == "title" and self.foreign)
         # MathML and SVG elements are parts of a line; HTML blocks within them stay blocks
-        inline = tag in INLINE or self.foreign > 0 and tag not in TAGS
-        if not inline:
-            for at in range(len(self.stack) - 1, -1, -1):  # a block ends an open paragraph
-                if self.stack[at][0] == "p":
-                    self.pop_to(at)
-                    break
-                if not self.stack[at][4]:
-                    break
+        if not drop and (tag in INLINE or self.foreign > 0 and tag not in TAGS):
+            if self.stack and not self.dropped:
+                self.stack[-1][5] |= tag == "a"
+                self.stack[-1][6] += tag in FOREIGN
+            self.foreign += tag in FOREIGN and bool(self.stack) and not self.dropped
+            return
+        if not drop:
+            if self.stack and self.stack[-1][0] == "p":  # a block ends an open paragraph
+                self.pop_to(len(self.stack) - 1)
             if tag in CLOSES:
                 ends, within = CLOSES[tag]
-                for at in range(len(self.stack) - 1, -1, -1):
-                    if self.stack[at][0] in within:
-                        break
-                    if self.stack[at][0] in ends:
-                        self.pop_to(at)
-                        break
-            self.flush()
+                if (at := self.last(ends)) > self.last(within):
+                    self.pop_to(at)
+            if not self.dropped:
+                self.flush()
         if tag in VOID:
             return
         marks = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
         hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v and "display:none" in v.replace(" ", "") for k, v in attrs)
-        drop = tag in DROPPED and not (tag == "title" and self.foreign)
-        self.stack.append([tag, (marks, hidden), None, drop, inline])
+        above = self.stack[-1] if self.stack else None
+        inside = above is not None and (above[4] or above[0] in ("article", "main"))
+        self.at.setdefault(tag, []).append(len(self.stack))
+        self.stack.append([tag, (marks, hidden), None, drop, inside, above is not None and above[5], 0])
         self.dropped += drop
-        self.foreign += tag in FOREIGN
-        self.links += tag == "a"
 
     def handle_endtag(self, tag):
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
-                self.pop_to(at)
-                return
-            if tag in INLINE and not self.stack[at][4]:
-                return
+        if tag in INLINE or self.foreign and tag not in TAGS and not self.at.get(tag):
+            if self.stack and not self.dropped:
+                if tag == "a":
+                    self.stack[-1][5] = False
+                elif tag in FOREIGN and self.stack[-1][6]:
+                    self.stack[-1][6] -= 1
+                    self.foreign -= 1
+                elif self.foreign and tag in ("text", "title", "desc"):  # labels of a drawing
+                    self.held.append((" ", False))
+        elif self.at.get(tag):
+            at = self.at[tag][-1]
+            if tag in TABLE or at > self.last(CELLS):  # cells keep what is open outside them
+                if self.stack[at][3] and at == len(self.stack) - 1:  # a script within a line does not end it
+                    self.at[tag].pop()
+                    self.stack.pop()
+                    self.dropped -= 1
+                    self.placed = min(self.placed, at)
+                else:
+                    self.pop_to(at)
 
     def handle_data(self, data):
         if not self.dropped:
             if data.strip():
                 self.end_head()
-            self.held.append((data, self.links > 0))
+            self.held.append((data, bool(self.stack) and self.stack[-1][5]))
 
 
 def features(node: tuple) -> list[tuple[int, float]]:
@@ -182,6 +209,60 @@ def features(node: tuple) -> list[tuple[int, float]]:
     return out
 
 
+def marked(page: Page) -> bool:
+    """Whether an element names the article by its tag or a word of its marks."""
+    return any(
+        tag in ("article", "main") or tag is not None and not NAMES.isdisjoint(w.lower() for w in WORD.findall(what[0]))
+        for _, (tag, what, _) in page.nodes
+    )
+
+
+def shapes(page: Page) -> list[list[tuple[int, float]]]:
+    """Features of all nodes with those of their shape, by one pass up and one down."""
+    n = len(page.nodes)
+    plain, linked, prose, points, runs, start = ([0.0] * n for _ in range(6))
+    longest = max((len(t) for t in page.runs.values()), default=1)
+    place, bounds = 0, []
+    for i in range(n):
+        start[i] = place
+        tag, what, extra = page.nodes[i][1]
+        if tag is None:
+            size = len(what)
+            linked[i] = size * extra
+            plain[i] = size - linked[i]
+            prose[i] = plain[i] if size >= PROSE else 0.0
+            points[i], runs[i] = sum(map(what.count, POINTS)), 1
+            if size >= longest / 2 and extra < 0.5:
+                bounds.append((place, place + size))
+            place += size
+    for i in range(n - 1, -1, -1):
+        p = page.nodes[i][0]
+        if p >= 0:
+            for v in (plain, linked, prose, points, runs):
+                v[p] += v[i]
+    most: dict[int, float] = {}
+    for i in range(n):
+        p = page.nodes[i][0]
+        most[p] = max(most.get(p, 1.0), plain[i])
+    total = max(1.0, sum(plain[i] for i in range(n) if page.nodes[i][0] < 0))
+    first, last = (bounds[0][0], bounds[-1][1]) if bounds else (0, place)
+    at, out = SHAPE_AT, []
+    for i, (p, node) in enumerate(page.nodes):
+        size = plain[i] + linked[i]
+        before, after = float(start[i] + size <= first), float(start[i] >= last)
+        f = features(node)
+        if node[0] is None:
+            f += [(at["run alone"], float(p < 0 or runs[p] == 1)), (at["run of siblings"], plain[i] / most[p]), (at["run before"], before), (at["run after"], after)]
+        else:
+            f += [
+                (at["share"], plain[i] / total), (at["of siblings"], plain[i] / most[p]), (at["links below"], linked[i] / max(1.0, size)),
+                (at["long below"], min(1.0, math.log1p(plain[i] / runs[i]) / 6)), (at["prose below"], prose[i] / max(1.0, size)),
+                (at["points below"], min(1.0, points[i] / max(1.0, size / 60))), (at["before prose"], before), (at["after prose"], after),
+            ]
+        out.append(f)
+    return out
+
+
 def marginals(parents: list[int], unary: list[float], pair: list[list[float]]) -> tuple[list[float], list[float]]:
     """Exact marginals P(content) of all nodes, and each node's P(parent content, node
     content) - by one upward and one downward pass. ``unary`` are log-odds;
@@ -212,9 +293,14 @@ def marginals(parents: list[int], unary: list[float], pair: list[list[float]]) -
 
 
 class Model:
+    """Two sets of potentials: for pages that mark their article, and by shape for the others
+    (and where the marks lead to no text)."""
+
     def __init__(self):
         self.weights = np.zeros(len(FEATURES))
         self.pair = [[0.0, 0.0], [0.0, 0.0]]
+        self.shape_weights = np.zeros(len(FEATURES) + len(SHAPE))
+        self.shape_pair = [[0.0, 0.0], [0.0, 0.0]]
         self.known: dict[tuple, float] = {}
 
     def unary(self, node: tuple) -> float:
@@ -232,8 +318,15 @@ class Model:
         page = Page(html or "")
         if not page.runs:
             return ""
-        full, _ = marginals([p for p, _ in page.nodes], [self.unary(n) for _, n in page.nodes], self.pair)
-        return " ".join(t for i, t in page.runs.items() if full[i] >= 0.5)
+        parents, text = [p for p, _ in page.nodes], ""
+        if marked(page):
+            full, _ = marginals(parents, [self.unary(n) for _, n in page.nodes], self.pair)
+            text = " ".join(t for i, t in page.runs.items() if full[i] >= 0.5)
+        if not text:
+            w = self.shape_weights
+            full, _ = marginals(parents, [sum(w[i] * v for i, v in f) for f in shapes(page)], self.shape_pair)
+            text = " ".join(t for i, t in page.runs.items() if full[i] >= 0.5)
+        return text
 
 
 def labelled_pages(pages: int = 360, seed: int = 11) -> list[tuple[str, set[str]]]:
@@ -331,27 +424,107 @@ def labelled_pages(pages: int = 360, seed: int = 11) -> list[tuple[str, set[str]
     return out
 
 
-def train(pages: list[tuple[str, set[str]]] | None = None, epochs: int = 14, rate: float = 0.25, seed: int = 3) -> Model:
+def unmarked_pages(pages: int = 400, seed: int = 12) -> list[tuple[str, set[str]]]:
+    """Labelled training pages whose article no tag or class names: marks are missing or
+    random words, landmarks are kept on some pages only. Here length, links, punctuation
+    and order have to decide, so an article has sentences and what surrounds it is shorter
+    or linked."""
+    rng = random.Random(seed)
+    made = 0
+
+    def words(lo: int, hi: int, points: float) -> str:
+        nonlocal made
+        made += 1
+        body = [f"x{made}"] + ["".join(rng.choice("abdeilnorstuw") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(lo, hi))]
+        return " ".join(w + (rng.choice(".,.") if rng.random() < points else "") for w in body).rstrip(",.")
+
+    out = []
+    for _ in range(pages):
+        article: set[str] = set()
+        landmarks, marks = rng.random() < 0.5, rng.random() < 0.4
+
+        def block(tag: str, inner: str) -> str:
+            name = "".join(rng.choice("bcdfgkmqvxz") for _ in range(5))
+            return f"<{tag}" + (f' class="{name}"' if marks and rng.random() < 0.6 else "") + f">{inner}</{tag}>"
+
+        def named(tag: str, inner: str) -> str:
+            return block(tag if landmarks else rng.choice(["div", "div", "section"]), inner)
+
+        def kept(lo: int, hi: int, points: float) -> str:
+            t = words(lo, hi, points) + ("." if points else "")
+            article.add(t)
+            return t
+
+        def links(tag: str = "li") -> str:
+            inner = "".join(block(tag, f"<a href=/x>{words(0, 3, 0)}</a>") for _ in range(rng.randint(2, 8)))
+            return block("ul", inner) if tag == "li" else block("div", inner)
+
+        def paragraph() -> str:
+            r = rng.random()
+            if r < 0.72:
+                t = kept(9, 90, 0.13)
+                parts = t.split(" ")
+                if rng.random() < 0.3:
+                    k = rng.randrange(1, len(parts) - 1)
+                    parts[k] = rng.choice([f"<a href=/y>{parts[k]}</a>", f"<b>{parts[k]}</b>"])
+                return block(rng.choice(["p", "p", "p", "div"]), " ".join(parts))
+            if r < 0.82:
+                return block(rng.choice(["h2", "h3"]), kept(0, 6, 0)) + block("p", kept(12, 70, 0.13))
+            if r < 0.9:
+                return block("ul", "".join(block("li", kept(2, 16, 0.1)) for _ in range(rng.randint(2, 4))))
+            return block("blockquote", kept(6, 40, 0.13))
+
+        def comments() -> str:
+            def one() -> str:
+                by = rng.choice(["", block("b", words(0, 1, 0)), block("h4", words(0, 2, 0)), block("span", words(0, 2, 0))])
+                return block(rng.choice(["div", "li"]), by + block("p", words(2, 25, 0.1)))
+
+            return named("aside", rng.choice(["", block("h3", words(0, 2, 0))]) + "".join(one() for _ in range(rng.randint(1, 5))))
+
+        def side() -> str:
+            return rng.choice([
+                lambda: named("aside", block("h3", words(0, 3, 0)) + links()), lambda: named("aside", links("div")), lambda: block("div", words(1, 14, 0.03)),
+                lambda: block("form", block("label", words(0, 2, 0)) + block("button", words(0, 1, 0))), lambda: block("div", block("p", words(2, 14, 0.06)) + block("button", words(0, 1, 0))),
+            ])()
+
+        if rng.random() < 0.15:  # no article at all
+            main = ""
+        elif rng.random() < 0.22:  # one plain block of text
+            main = rng.choice([lambda: block("div", kept(9, 200, 0.13)), lambda: block("p", kept(9, 200, 0.13)), lambda: kept(9, 120, 0.13), lambda: block("div", block("div", kept(12, 200, 0.13)))])()
+        else:
+            title = rng.choice([block("h1", kept(1, 8, 0)), block("h2", kept(1, 8, 0)), ""])
+            main = title + "".join(paragraph() + (side() if rng.random() < 0.06 else "") for _ in range(rng.randint(1, 8)))
+            main = rng.choice([main, block("div", main), block("div", block("div", main))])
+        menu = lambda: block("nav", rng.choice([links(), links("span"), words(0, 4, 0)])) if landmarks else named("nav", links())
+        before = "".join(rng.choice([menu, lambda: named("header", block("div", words(0, 4, 0)) + links()), side])() for _ in range(rng.randint(0 if main else 1, 3)))
+        after = "".join(rng.choice([comments, lambda: named("footer", "&copy; " + words(1, 10, 0.05)), lambda: named("footer", links("p")), side])() for _ in range(rng.randint(0, 3)))
+        page = before + main + after
+        if rng.random() < 0.3:
+            page = block("div", page)
+        out.append((f"<html><head><title>{words(1, 5, 0)}</title></head><body>{page}</body></html>", article))
+    return out
+
+
+def fit(pages: list[tuple[str, set[str]]], describe, width: int, epochs: int, rate: float, seed: int) -> tuple[np.ndarray, list]:
     """Maximum likelihood by stochastic gradient steps, one page at a time. An element
     counts as content if a run below it does."""
     data = []
-    for html, article in pages if pages is not None else labelled_pages():
+    for html, article in pages:
         page = Page(html)
         parents = [p for p, _ in page.nodes]
         label = [page.runs.get(i) in article if i in page.runs else False for i in range(len(parents))]
         for i in range(len(parents) - 1, -1, -1):
             if label[i] and parents[i] >= 0:
                 label[parents[i]] = True
-        data.append((parents, [features(n) for _, n in page.nodes], label))
-    model, rng, order = Model(), random.Random(seed), list(range(len(data)))
-    model.pair = [[1.0, -3.0], [0.0, 0.0]]
-    w = model.weights
+        data.append((parents, describe(page), label))
+    rng, order = random.Random(seed), list(range(len(data)))
+    w, pair = np.zeros(width), [[1.0, -3.0], [0.0, 0.0]]
     for epoch in range(epochs):
         rng.shuffle(order)
         lr = rate / (1 + 0.25 * epoch)
         for k in order:
             parents, feats, label = data[k]
-            full, both = marginals(parents, [sum(w[i] * v for i, v in f) for f in feats], model.pair)
+            full, both = marginals(parents, [sum(w[i] * v for i, v in f) for f in feats], pair)
             step = [[0.0, 0.0], [0.0, 0.0]]
             for i, f in enumerate(feats):
                 d = label[i] - full[i]
@@ -365,20 +538,29 @@ def train(pages: list[tuple[str, set[str]]] | None = None, epochs: int = 14, rat
                         step[a][b] += ((a, b) == want) - q
             for a in (0, 1):
                 for b in (0, 1):
-                    model.pair[a][b] += lr * 0.05 * step[a][b]
+                    pair[a][b] += lr * 0.05 * step[a][b]
             w *= 1 - 1e-4 * lr
+    return w, pair
+
+
+def train(pages: list[tuple[str, set[str]]] | None = None, unmarked: list[tuple[str, set[str]]] | None = None, epochs: int = 14, rate: float = 0.25, seed: int = 3) -> Model:
+    """Both sets of potentials, from pages that mark their article and pages that do not."""
+    model = Model()
+    pages = labelled_pages() if pages is None else pages
+    model.weights, model.pair = fit(pages, lambda page: [features(n) for _, n in page.nodes], len(FEATURES), epochs, rate, seed)
+    unmarked = unmarked_pages() if unmarked is None else unmarked
+    model.shape_weights, model.shape_pair = fit(unmarked, shapes, len(FEATURES) + len(SHAPE), epochs, rate, seed)
     return model
 
 
 def extract(pages: DataFrame, model: Model, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
-    shared = pages.sparkSession.sparkContext.broadcast((model.weights, model.pair))
+    shared = pages.sparkSession.sparkContext.broadcast((model.weights.tolist(), model.pair, model.shape_weights.tolist(), model.shape_pair))
 
     def run(batches):
         release()
         m = Model()
-        m.weights, m.pair = shared.value
-        m.weights = m.weights.tolist()
+        m.weights, m.pair, m.shape_weights, m.shape_pair = shared.value
         for batch in batches:
             texts = [m.text(h.as_py()) for h in batch.column(2)]
             yield pa.RecordBatch.from_arrays(

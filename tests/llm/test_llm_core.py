@@ -1,6 +1,7 @@
 """Spark-free parts of the training-data operators against brute force."""
 
 import random
+import time
 from array import array
 
 import numpy as np
@@ -239,6 +240,52 @@ def test_extraction_drops_only_script_style_template_and_title(pages_model):
     assert pages_model.text(f"<body><article><p>{first}</p><noscript><p>Second one.</p></noscript></article>") == f"{first} Second one."
 
 
+SENTENCES = (
+    "The council met on Tuesday to discuss the new bridge, and agreed on a plan after three hours.",
+    "Work starts in spring, the mayor said, if the river stays low; otherwise it waits until autumn.",
+)
+BY_HAND = [
+    ("<body><div>Plain text page without any class names. It has two sentences.</div></body>", "Plain text page without any class names. It has two sentences."),
+    (f"<body><div class='x1'><p>{SENTENCES[0]}</p><p>{SENTENCES[1]}</p></div><div class='cmt-wrap'><p>Great news!</p></div></body>", " ".join(SENTENCES)),
+    (f"<div class='content'><div class='reader-opinions'><p>I like it.</p></div><p>{SENTENCES[0]}</p></div>", SENTENCES[0]),
+    (
+        "<table><tr><td><a href=/a>Home</a><br><a href=/b>News</a><br><a href=/c>Sport</a></td>"
+        f"<td><h1>New bridge</h1><p>{SENTENCES[0]}<p>{SENTENCES[1]}</td></tr></table>",
+        f"New bridge {SENTENCES[0]} {SENTENCES[1]}",
+    ),
+    (
+        f"<div class=kopfzeile><ul><li><a href=/>Start</a><li><a href=/n>Nachrichten</a></ul></div><div class=hauptteil><h2>Die neue Br\u00fccke</h2><p>{SENTENCES[0]}</p>"
+        f"<p>{SENTENCES[1]}</p></div><div class=fusszeile><a href=/i>Impressum</a> <a href=/d>Datenschutz</a></div>",
+        f"Die neue Br\u00fccke {SENTENCES[0]} {SENTENCES[1]}",
+    ),
+    ("<ul><li><a href=/a>One</a><li><a href=/b>Two</a><li><a href=/c>Three</a></ul><form><label>Name</label><input><button>Send</button></form>", ""),
+]
+
+
+@pytest.mark.parametrize("html, text", BY_HAND)
+def test_extraction_without_known_names(pages_model, html, text):
+    assert pages_model.text(html) == text
+
+
+def test_extraction_on_held_out_unmarked_layouts(pages_model):
+    right = total = 0
+    for html, article in html_extract.unmarked_pages(100, seed=321):
+        text = f" {pages_model.text(html)} "
+        for run in html_extract.Page(html).runs.values():
+            right, total = right + ((f" {run} " in text) == (run in article)), total + 1
+    assert right / total > 0.97
+
+
+def test_deep_and_broken_pages_parse_in_linear_time(pages_model):
+    start = time.monotonic()
+    for unit in ("<div>x", "<b>x", "<td></div>", "<div></p>", "<svg><g>x", "<li><div>x"):
+        pages_model.text(unit * 50_000)
+    assert time.monotonic() - start < 60
+    assert html_extract.Page("<div>" * 100_000 + "deep").runs == {100_000: "deep"}
+    assert list(html_extract.Page("<p>one <script>x</script>line</p><a href=/>link</a><p>two").runs.values()) == ["one line", "link", "two"]
+    assert list(html_extract.Page("<div><table><tr><td>a</div>b</td></tr></table>c</div>d").runs.values()) == ["ab", "c", "d"]
+
+
 def test_shingles_and_prefixes():
     assert len(ngram_join.shingles("", 3)) == len(ngram_join.shingles(None, 3)) == 0
     assert (ngram_join.shingles("A b", 3) == ngram_join.shingles("a\tB", 3)).all()
