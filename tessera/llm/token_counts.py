@@ -9,6 +9,8 @@ block (last separator and separator count), so no task reads a file whole.
 Results for odd input: an empty file has no documents; two separators in a row are a
 document of 0 tokens; ids after the last separator are a document with ``closed``
 false; a trailing part of an id (file size not a multiple of the id width) is an error.
+Of a corpus written here, null and empty texts are documents of 0 tokens; repeated rows
+and null ids give a row each.
 """
 
 from __future__ import annotations
@@ -37,10 +39,11 @@ def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def write_token_files(docs: DataFrame, tokenizer_path: str, separator: int, id_width: int = 2, text_col: str = "text") -> DataFrame:
+def write_corpus(docs: DataFrame, tokenizer_path: str, separator: int, id_width: int = 2, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Tokenise whole texts into flat files below the shared folder, one per task; each
     text is followed by ``separator``. Returns the files that the job committed (``path,
-    bytes``); a lost task's file is never listed."""
+    bytes``; a lost task's file is never listed) and their members (``path, doc, doc_id``:
+    the id of a file's document by its number from 0)."""
     spark = docs.sparkSession
     folder = new_folder(spark, "tokens")
     store, path = open_store(folder)
@@ -52,21 +55,36 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, separator: int, id_w
         encoder = bpe.encoder_of(spec.value)
         store, path = open_store(folder)
         store.create_dir(path, recursive=True)
-        name = f"{path}/{uuid.uuid4().hex}.bin"
-        tail, size = array(kind, [separator]).tobytes(), 0
-        with store.open_output_stream(name) as out:
+        name = f"{uuid.uuid4().hex}.bin"
+        tail, size, doc, id_type = array(kind, [separator]).tobytes(), 0, 0, None
+        columns = ["path", "bytes", "doc", "doc_id"]
+        with store.open_output_stream(f"{path}/{name}") as out:
             for batch in batches:
-                for text in batch.column(0):
+                ids_of, texts = batch.columns
+                for text in texts:
                     for ids in encoder.encode(text.as_py()):
                         part = ids if id_width == 4 else np.frombuffer(ids, np.uint32).astype("<u2").tobytes()
                         out.write(part)
                         size += len(part)
                     out.write(tail)
                     size += id_width
-        yield pa.RecordBatch.from_arrays([pa.array([name.rsplit("/", 1)[1]]), pa.array([size], pa.int64())], names=["path", "bytes"])
+                n, id_type = len(ids_of), ids_of.type
+                if n:
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.nulls(n, pa.int64()), pa.array(range(doc, doc + n), pa.int64()), ids_of], names=columns)
+                doc += n
+        if doc:
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([size], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, id_type)], names=columns)
 
-    files = docs.select(F.col(text_col).alias("text")).transform(small_batches).mapInArrow(run, "path string, bytes bigint")
-    return materialize(files.select(F.concat(F.lit(folder + "/"), "path").alias("path"), "bytes"), "token-files")
+    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    id_kind = chosen.schema["doc_id"].dataType.simpleString()
+    listed = chosen.transform(small_batches).mapInArrow(run, f"path string, bytes bigint, doc bigint, doc_id {id_kind}")
+    written = materialize(listed.withColumn("path", F.concat(F.lit(folder + "/"), "path")), "token-files")
+    return written.filter("bytes is not null").select("path", "bytes"), written.filter("doc is not null").select("path", "doc", "doc_id")
+
+
+def write_token_files(docs: DataFrame, tokenizer_path: str, separator: int, id_width: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The files of :func:`write_corpus` alone (``path, bytes``)."""
+    return write_corpus(docs, tokenizer_path, separator, id_width, id_col, text_col)[0]
 
 
 def count_tokens(files: DataFrame, separator: int, id_width: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -120,6 +138,10 @@ def count_tokens(files: DataFrame, separator: int, id_width: int = 2, block_byte
     return ended.unionByName(open_end).select("path", "doc", "start", (F.col("end") - F.col("start")).alias("n_tokens"), "closed")
 
 
-def corpus_token_counts(docs: DataFrame, tokenizer_path: str, separator: int, id_width: int = 2) -> DataFrame:
-    """Write the corpus as token files and count every document's tokens in them."""
-    return count_tokens(write_token_files(docs, tokenizer_path, separator, id_width), separator, id_width)
+def corpus_token_counts(docs: DataFrame, tokenizer_path: str, separator: int, id_width: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Write the corpus as token files and count every document's tokens in them:
+    ``doc_id, path, doc, start, n_tokens, closed``, one row per row of ``docs``. Ids join the
+    scan's rows by (file, number), a key that no two rows share."""
+    files, members = write_corpus(docs, tokenizer_path, separator, id_width, id_col, text_col)
+    counted = count_tokens(files, separator, id_width)
+    return members.join(counted, ["path", "doc"]).select("doc_id", "path", "doc", "start", "n_tokens", "closed")

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from tessera.llm import bpe, catalog, html_extract, lang_id, line_dedup, ngram_join, packing, quality, sharding, token_counts, topk
 
@@ -202,6 +203,18 @@ def test_token_counts(spark, odd, nothing):
         rows = token_counts.count_tokens(written, catalog.SEPARATOR, block_bytes=block if block > 6 else 20_000).collect()
         assert sorted(r["n_tokens"] for r in rows) == want and all(r["closed"] for r in rows)
     assert token_counts.corpus_token_counts(nothing, catalog.TOKENIZER, catalog.SEPARATOR).count() == 0
+    assert written.columns == ["path", "bytes"]
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_token_counts_carry_the_document(odd, parts):
+    library = Tokenizer.from_file(catalog.TOKENIZER)
+    want = Counter((r["doc_id"], len(library.encode(r["text"] or "", add_special_tokens=False).ids)) for r in odd.collect())
+    rows = token_counts.corpus_token_counts(odd.repartition(parts), catalog.TOKENIZER, catalog.SEPARATOR).collect()
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in rows) == want and all(r["closed"] for r in rows)
+    named = odd.select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("doc"), F.lit(1).alias("bytes"))
+    rows = token_counts.corpus_token_counts(named, catalog.TOKENIZER, catalog.SEPARATOR, id_col="path", text_col="doc").collect()
+    assert Counter((r["doc_id"] and int(r["doc_id"]), r["n_tokens"]) for r in rows) == want
 
 
 def test_token_counts_of_hand_made_files(spark, tmp_path):
