@@ -39,6 +39,25 @@ def test_k_nearest_equals_full_distance(spark, n, k, cluster):
         assert all(abs(have[p][i + 1][1] - d) < 1e-3 for i, (d, _) in enumerate(want)) and len(have[p]) == len(want)
 
 
+def test_k_nearest_far_from_all_stations_meets_few(spark):
+    rng = random.Random(8)
+    stations = [(i, rng.uniform(70, 80), rng.uniform(-180, 180)) for i in range(4000)] + [(9000 + i, 75.0, 10.0) for i in range(1500)]
+    points = [(i, rng.uniform(84, 89), rng.uniform(-180, 180)) for i in range(200)] + [(900, float("nan"), 1.0), (901, 75.0, 10.0)]
+    s = spark.createDataFrame([*stations, (9999, float("nan"), 5.0)], "station int, latitude double, longitude double")
+    p = spark.createDataFrame(points, "p int, latitude double, longitude double")
+    have = {(r["p"], r["nearest_rank"]): r["station"] for r in spatial.k_nearest(p, s, 3).collect()}
+    for i, lat, lon in points:
+        want = [0, 1, 2] if i == 900 else [x for _, x in sorted((metres((lat, lon), (a, b)), x) for x, a, b in stations)[:3]]
+        assert [have.pop((i, r)) for r in (1, 2, 3)] == want
+    assert not have
+    asked, sited = (spatial._numbered(spatial.on_sphere(df.filter("not isnan(latitude)"), "latitude", "longitude")) for df in (p, s.filter("station < 9000")))
+    measured = 0
+    for level, cells in spatial._candidates(asked, sited, 3).items():
+        lists = cells.select("_q", "_total").distinct()
+        measured += asked.withColumn("_q", spatial._cell(level)).join(lists, "_q").agg({"_total": "sum"}).first()[0]
+    assert measured < 0.05 * len(points) * 4000
+
+
 def test_k_nearest_has_no_cross_join(spark):
     empty = spark.createDataFrame([], "station int, latitude double, longitude double")
     points = spark.createDataFrame([(1, 2.0, 3.0)], "p int, latitude double, longitude double")
