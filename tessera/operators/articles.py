@@ -4,8 +4,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,49 +45,60 @@ def extract_records(
 #: What holds tags that are no markup.
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 
+#: Pages and characters of blocks handed on at once.
+PAGES, BLOCK_CHARS = 1_000, 4 << 20
+
 
 def nested_blocks(pages: DataFrame, tag: str, attributes: str, key: str = "page_id", html: str = "html") -> DataFrame:
     """``key, pos, block`` (inner markup) of every element ``tag`` whose opening tag matches
     the regex ``attributes``, at its own closing tag whatever elements of the same name it holds.
 
-    The page is cut at the tags of that name; a running sum of +1 and -1 over the tags gives
-    each tag's depth, and an element ends at the next tag of its depth. The tags of an outermost
-    matching element are gathered once; matching elements inside it are slices of
-    them and have their own ``pos`` (order of the opening tags in the page). An element that is never closed ends with
+    The page is cut at the tags of that name; one pass over a page's tags with a stack of the open ones
+    gives each element's end. Matching elements inside one another are blocks each, with their own ``pos`` (order of the
+    opening tags in the page). An element that is never closed ends with
     the page, a closing tag too many closes nothing. Comments, scripts and styles are left out
-    first. Rows that repeat a key are pages each. Work is per page: one sort of its tags.
+    first. Rows that repeat a key are pages each. Pages pass one by one: nothing is shuffled or sorted, and a
+    task holds a batch of pages at most.
     """
     any_tag = rf"(?is)</?{tag}\b[^>]*>"
     shown = F.regexp_replace(F.col(html), HIDDEN, "")
-    cut = pages.select(
-        F.col(key), F.monotonically_increasing_id().alias("_row"), F.split(shown, any_tag, -1).alias("_text"), F.regexp_extract_all(shown, F.lit(any_tag), 0).alias("_tags")
+    cut = pages.select(F.col(key), shown.alias("_shown")).select(
+        key, F.regexp_extract_all("_shown", F.lit(any_tag), 0).alias("_tags"), F.split("_shown", any_tag, -1).alias("_text")
     )
-    tags = cut.select(key, "_row", F.posexplode(F.arrays_zip("_tags", F.slice("_text", 2, F.greatest(F.lit(1), F.size("_tags"))).alias("_after"))).alias("_i", "_t"))
-    opens = ~F.startswith(F.col("_t._tags"), F.lit("</"))
-    tags = tags.select(key, "_row", "_i", F.col("_t._tags").alias("_tag"), F.col("_t._after").alias("_after"), opens.alias("_open"))
-    page = Window.partitionBy("_row").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
-    # a closing tag below the page's own level does not count: the sum is taken from its least value so far
-    tags = tags.withColumn("_sum", F.sum(F.when(F.col("_open"), 1).otherwise(-1)).over(page))
-    tags = tags.withColumn("_depth", F.col("_sum") - F.least(F.lit(0), F.min("_sum").over(page)))
-    tags = tags.withColumn("_level", F.when(F.col("_open"), F.col("_depth") - 1).otherwise(F.col("_depth")))
-    same_level = Window.partitionBy("_row", "_level").orderBy("_i")
-    wanted = F.col("_open") & F.col("_tag").rlike(attributes)
-    tags = tags.withColumn("_end", F.when(wanted, F.coalesce(F.lead("_i").over(same_level), F.lit(1 << 30))))
-    tags = tags.withColumn("_reach", F.max("_end").over(page))
-    before = Window.partitionBy("_row").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
-    outermost = F.col("_end").isNotNull() & (F.coalesce(F.max("_end").over(before), F.lit(-1)) <= F.col("_i"))
-    tags = tags.withColumn("_first", F.when(outermost, F.col("_i")))
-    tags = tags.withColumn("_block", F.last("_first", True).over(page)).filter((F.col("_i") < F.col("_reach")) & F.col("_block").isNotNull())
-    whole = tags.groupBy(key, "_row", "_block").agg(F.array_sort(F.collect_list(F.struct("_i", "_tag", "_after", "_end"))).alias("_all"))
-    starts = F.filter("_all", lambda t: t["_end"].isNotNull())
-
-    def inner(s):
-        parts = F.filter("_all", lambda t: (t["_i"] >= s["_i"]) & (t["_i"] < s["_end"]))
-        return F.struct(s["_i"].alias("i"), F.array_join(F.transform(parts, lambda t: F.when(t["_i"] == s["_i"], t["_after"]).otherwise(F.concat(t["_tag"], t["_after"]))), "").alias("block"))
-
-    blocks = whole.select(key, "_row", F.explode(F.transform(starts, inner)).alias("_b"))
-    pos = F.row_number().over(Window.partitionBy("_row").orderBy("_b.i")) - 1
-    return blocks.select(key, pos.alias("pos"), F.col("_b.block").alias("block"))
+    wanted = F.transform("_tags", lambda t: ~F.startswith(t, F.lit("</")) & t.rlike(attributes))
+    cut = cut.select(key, "_tags", "_text", wanted.alias("_wanted"))
+
+    def inner(tags: list[str], after: list[str], wanted: list[bool]) -> Iterator[str]:
+        """Inner markup of the wanted elements of one page, in the order of their opening tags."""
+        ends, opened = [len(tags)] * len(tags), []
+        for i, tag in enumerate(tags):
+            if not tag.startswith("</"):
+                opened.append(i)
+            elif opened:  # a closing tag below the page's own level closes nothing
+                ends[opened.pop()] = i
+        for i, end in enumerate(ends):
+            if wanted[i]:
+                yield "".join([after[i], *(part for j in range(i + 1, end) for part in (tags[j], after[j]))])
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, PAGES):
+                rows, places, blocks, held = [], [], [], 0
+                part = batch.slice(at, PAGES)
+                for row, page in enumerate(zip(*(part.column(i) for i in (1, 2, 3)))):
+                    tags, text, marks = (x.as_py() for x in page)
+                    for pos, block in enumerate(inner(tags, text[1:], marks) if tags else ()):
+                        rows.append(row)
+                        places.append(pos)
+                        blocks.append(block)
+                        held += len(block)
+                        if held > BLOCK_CHARS:
+                            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows)), pa.array(places, pa.int32()), pa.array(blocks)], names=[key, "pos", "block"])
+                            rows, places, blocks, held = [], [], [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows)), pa.array(places, pa.int32()), pa.array(blocks)], names=[key, "pos", "block"])
+
+    return cut.mapInArrow(run, f"`{key}` {cut.schema[key].dataType.simpleString()}, pos int, block string")
 
 
 def nested_records(

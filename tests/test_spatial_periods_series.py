@@ -170,3 +170,12 @@ def test_nested_blocks_of_a_big_page(spark):
     html = "".join(f'<div class="r"><div>in {i}</div> out</div>' for i in range(20_000))
     got = A.nested_blocks(spark.createDataFrame([(1, html)], "page_id int, html string"), "div", 'class="r"')
     assert got.count() == 20_000 and got.filter("block = '<div>in 7</div> out'").count() == 1
+
+
+def test_nested_blocks_pass_page_by_page(spark):
+    pages = [(1, '<div class="r">a<div>b</div>c'), (2, None), (3, "no tags"), (1, '</div><div class="r"><div class="r">x</div></div>')]
+    got = A.nested_blocks(spark.createDataFrame(pages, "page_id int, html string"), "div", 'class="r"')
+    want = [(1, 0, '<div class="r">x</div>'), (1, 0, "a<div>b</div>c"), (1, 1, "x")]
+    assert sorted(tuple(r) for r in got.collect()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
