@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import quality, relational
 from tessera.operators.moviedb import MovieTables, enforce_constraints, store_tables, stored_tables
-from tessera.session import checkpoint_dir, pin_utc
+from tessera.session import checkpoint_dir, pin_utc, small_tasks, stored
 from tessera.sources.tables import read_table
 
 
@@ -99,7 +99,8 @@ def load_movie_tables(spark: SparkSession, root: str) -> MovieTables:
     key = (spark.sparkContext.applicationId, root)
     if key not in _STORED:
         folder = f"{checkpoint_dir(spark)}/movie-load-{uuid.uuid4().hex}"
-        _STORED[key] = store_tables(constrained_tables(spark, root), folder)
+        with small_tasks(spark, read_table(spark, root, "lineitem").count()):
+            _STORED[key] = store_tables(constrained_tables(spark, root), folder)
     return stored_tables(spark, _STORED[key])
 
 
@@ -149,19 +150,23 @@ def q_top_directors_by_count(spark, root):
 
 def q_most_actors(spark, root):
     t = load_movie_tables(spark, root)
-    return relational.movies_by_cast_size(t.movies, t.acts_in, 10, most=True, assume_fk=True)
+    with small_tasks(spark, t.acts_in.count()):
+        top = stored(relational.movies_by_cast_size(t.movies, t.acts_in, 10, most=True, assume_fk=True), "top")
+    return top.orderBy(F.desc("num_actors"), "id")
 
 
 def q_fewest_actors(spark, root):
     t = load_movie_tables(spark, root)
-    return relational.movies_by_cast_size(t.movies, t.acts_in, 10, most=False, assume_fk=True)
+    with small_tasks(spark, t.acts_in.count()):
+        top = stored(relational.movies_by_cast_size(t.movies, t.acts_in, 10, most=False, assume_fk=True), "top")
+    return top.orderBy("num_actors", "id")
 
 
 def q_many_directors_actors(spark, root):
     t = load_movie_tables(spark, root)
-    return relational.actors_with_many_directors(
-        t.persons, t.acts_in, t.directs, 30, 10, assume_fk=True
-    )
+    with small_tasks(spark, t.acts_in.count() + t.directs.count()):
+        top = stored(relational.actors_with_many_directors(t.persons, t.acts_in, t.directs, 30, 10, assume_fk=True), "top")
+    return top.orderBy(F.desc("num_directors"), "id")
 
 
 def q_pk_dedupe(spark, root):

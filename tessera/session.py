@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +73,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: Rows, shuffled bytes and bytes of files of one task under :func:`small_tasks`.
+TASK_ROWS, TASK_BYTES, TASK_FILE_BYTES = 250_000, 4 << 20, 16 << 20
+
+
+@contextmanager
+def small_tasks(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run inside shuffle ``rows`` rows to tasks of bounded size, so a task sorts and joins no more of a
+    larger input: more shuffle partitions, adaptive execution merges them to :data:`TASK_BYTES` only, and scans are cut at :data:`TASK_FILE_BYTES`.
+    The session's settings are restored; as with :func:`checkpoint_keyed`, run no other jobs beside."""
+    parts, size, files = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
+    saved = {k: spark.conf.get(k) for k in (parts, size, files)}
+    spark.conf.set(parts, str(max(int(saved[parts]), -(-rows // TASK_ROWS))))
+    spark.conf.set(size, str(TASK_BYTES))
+    spark.conf.set(files, str(TASK_FILE_BYTES))
+    try:
+        yield
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+
+
 def checkpoint_keyed(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     """Reliable checkpoint that keeps a hash partitioning on ``keys``.
 
