@@ -63,3 +63,36 @@ def test_strict_cast_load_fails(spark, tmp_dir):
     paths = _files(tmp_dir)
     with pytest.raises(ConstraintViolation):
         moviedb.read_movie_files(spark, **paths, strict_cast=True)
+
+
+def test_load_and_its_queries_run_in_small_tasks(spark, tmp_dir, monkeypatch):
+    from tessera import session
+    from tessera.plans import files as PF
+    from tessera.plans import movies as PM
+
+    li = "bigint l_orderkey, bigint l_partkey, bigint l_suppkey, int l_linenumber, string l_returnflag"
+    li = ", ".join(" ".join(reversed(c.split())) for c in li.split(", "))
+    tables = {
+        "lineitem": ([(o, 1 + (o + j) % 40, 1 + (o * j) % 9, j, "A") for o in range(1, 60) for j in range(1, 2 + o % 5)], li),
+        "orders": ([(o, float(o), "1996-01-02") for o in range(1, 60)], "o_orderkey bigint, o_totalprice double, o_orderdate string"),
+        "part": ([(p, "n", "b", "t") for p in range(1, 41)], "p_partkey bigint, p_name string, p_brand string, p_type string"),
+        "supplier": ([(s, "s", 1) for s in range(1, 10)], "s_suppkey bigint, s_name string, s_nationkey int"),
+        "nation": ([(1, "X")], "n_nationkey int, n_name string"),
+    }
+    for name, (made, schema) in tables.items():
+        df = spark.createDataFrame(made, schema)
+        (df.selectExpr("o_orderkey", "o_totalprice", "cast(o_orderdate as timestamp) o_orderdate") if name == "orders" else df).write.parquet(f"{tmp_dir}/{name}.parquet")
+    keys = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
+    before, seen = [spark.conf.get(k) for k in keys], []
+    monkeypatch.setattr(session, "TASK_ROWS", 5)
+    for module, name in ((PM, "store_tables"), (PF.moviedb, "store_tables"), (PM, "stored"), (PF, "stored")):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, real=real: (seen.append([int(spark.conf.get(k)) for k in keys]), real(*a))[1])
+    for query in (PM.q_fewest_actors, PM.q_most_actors, PM.q_many_directors_actors, PF.q_file_load_most_actors):
+        query(spark, tmp_dir)
+        assert [spark.conf.get(k) for k in keys] == before
+    assert len(seen) == 6
+    for parts, *sizes in seen:
+        assert parts >= len(tables["lineitem"][0]) // 5 and sizes == [session.TASK_BYTES, session.TASK_FILE_BYTES]
+    got = [(r["id"], r["num_actors"]) for r in PM.q_most_actors(spark, tmp_dir).collect()]
+    assert got == [(o, 5) for o in range(4, 54, 5)]
