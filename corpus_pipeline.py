@@ -37,7 +37,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset. Executors still hold what the join grew to, so
     the encoder's cache is a small one."""
-    return packing.pack(docs, TOKENIZER, CAPACITY, cache_bytes=24 << 20)
+    return packing.pack(docs, TOKENIZER, CAPACITY, cache_bytes=6 << 20)
 
 
 STAGES = [

@@ -115,7 +115,7 @@ class Encoder:
         self.back = {c: b for b, c in enumerate(alphabet)}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"])
-        self.by_word = Recent(WORD_CACHE_BYTES, self._word)
+        self.by_word = Recent(min(WORD_CACHE_BYTES, cache_bytes), self._word)
         self.by_piece = Recent(cache_bytes, self._piece)
 
     @cached_property

@@ -3,11 +3,14 @@ intermediate tables and the size of Arrow batches."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,13 +70,25 @@ def kept(key: str, make: Callable):
     """``make()``, kept in this worker process under ``key``; another key's entry goes."""
     if key not in _KEPT:
         release()
+        trim()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
 def release() -> None:
     """Frees what an earlier operator's tasks kept in this (reused) worker process."""
-    _KEPT.clear()
+    if _KEPT:
+        _KEPT.clear()
+        trim()
+
+
+def trim() -> None:
+    """Gives freed memory back to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back:
+        give_back(0)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
