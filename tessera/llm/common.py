@@ -49,16 +49,21 @@ def materialize(df: DataFrame, label: str, row_group_bytes: int | None = None) -
 
 
 #: Bytes of rows in one Arrow batch; the default of 10,000 rows has no useful bound for long texts.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
+#: Rows a Parquet reader decodes at once. The default of 4096 texts are arrays of tens of MB, which an
+#: executor's heap grows by and gives back late.
+READ_ROWS = 256
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df`` with Arrow batches of about :data:`BATCH_BYTES` for what maps it (a setting
-    of the session, kept where it is lower already); no batch is cut within a row."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    held = re.fullmatch(r"(\d+)b?", df.sparkSession.conf.get(key))
-    if not held or int(held[1]) > BATCH_BYTES:
-        df.sparkSession.conf.set(key, str(BATCH_BYTES))
+    """``df`` with Arrow batches of about :data:`BATCH_BYTES` for what maps it, and Parquet read by
+    :data:`READ_ROWS` (settings of the session, kept where they are lower already); no batch is cut
+    within a row."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.parquet.columnarReaderBatchSize", READ_ROWS)):
+        held = re.fullmatch(r"(\d+)b?", conf.get(key))
+        if not held or int(held[1]) > most:
+            conf.set(key, str(most))
     return df
 
 
