@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import release, small_batches
+from tessera.llm.common import release, small_batches, trim
 
 UND = "und"
 BUCKETS = 1 << 16
@@ -157,7 +157,7 @@ def fit(rows: list[tuple[str, str]], epochs: int = 4, rate: float = 20.0, seed:
     none, rng = len(languages), np.random.default_rng(seed)
     table = rng.uniform(-0.5 / DIM, 0.5 / DIM, (BUCKETS + 1, DIM))  # the last row stands for rare subwords
     weights = np.zeros((DIM, len(languages) + 1))
-    letters = np.unique(np.frombuffer("".join(t for t, _ in rows).lower().encode("utf-32-le", "replace"), np.uint32))
+    letters = np.array(sorted(map(ord, set("".join(t for t, _ in rows).lower()))), np.uint32)
     letters = letters[LETTER[letters]]
     texts: list[list[tuple[str, int]]] = []
     for k, (text, lang) in enumerate(rows):
@@ -176,18 +176,20 @@ def fit(rows: list[tuple[str, str]], epochs: int = 4, rate: float = 20.0, seed:
     place = np.where(times > 2, np.arange(BUCKETS), BUCKETS)
 
     def coded(part: list[tuple[str, int]]) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        """Subwords of every text and how often it has them, in 8 bytes a subword (the driver holds all)."""
         out = []
         for text, y in part:
             ids, n = np.unique(place[subwords(text)], return_counts=True)
             if len(ids):
-                out.append((ids, n / n.sum(), y))
+                out.append((ids.astype(np.int32), n.astype(np.int32), y))
         return out
 
     data = coded(train)
     steps, total = 0, max(1, epochs * len(data))
     for _ in range(epochs):
         for k in rng.permutation(len(data)):
-            idx, share, y = data[k]
+            idx, n, y = data[k]
+            share = n / n.sum()
             lr = rate * (1 - steps / total)
             hidden = share @ table[idx]
             g = softmax(hidden @ weights)
@@ -199,7 +201,7 @@ def fit(rows: list[tuple[str, str]], epochs: int = 4, rate: float = 20.0, seed:
     temperature, threshold = 1.0, 0.5
     data = coded(held)
     if data:
-        z = np.stack([(share @ table[idx]) @ weights for idx, share, _ in data])
+        z = np.stack([((n / n.sum()) @ table[idx]) @ weights for idx, n, _ in data])
         y = np.array([c for _, _, c in data])
 
         def loss(t: float) -> float:
@@ -250,7 +252,9 @@ def train(
     taken = labelled.join(F.broadcast(picked.distinct()), F.col(id_col) == F.col("p_i"), "left_semi")
     rows = taken.select(F.col(id_col).alias("i"), lang.alias("l"), F.xxhash64(text).alias("h"), F.substring(text, start, F.lit(sample_chars)).alias("t"))
     rows = rows.join(F.broadcast(picked.distinct()), (F.col("i") == F.col("p_i")) & (F.col("h") == F.col("p_h")), "left_semi").dropDuplicates(["i", "l", "h"])
-    return fit([(r["t"], r["l"]) for r in rows.orderBy(F.xxhash64("i", "h"), "i", "h", "l").limit(sample_rows).collect()])
+    model = fit([(r["t"], r["l"]) for r in rows.orderBy(F.xxhash64("i", "h"), "i", "h", "l").limit(sample_rows).collect()])
+    trim()  # the sample and what it was coded to; else the driver keeps that memory for all later steps
+    return model
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

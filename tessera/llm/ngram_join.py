@@ -201,7 +201,8 @@ def links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
         lowest = grade
     often = np.zeros(0, np.int64)
     if lowest is not None:
-        often = counts.filter(F.col("grade") >= lowest).select("t").toPandas()["t"].to_numpy(np.int64)
+        # by Arrow: as rows the list would take some hundred bytes a hash on the driver
+        often = counts.filter(F.col("grade") >= lowest).select("t").toArrow()["t"].to_numpy().astype(np.int64, copy=False)
     frequent = spark.sparkContext.broadcast(np.sort(often))
     near = materialize(prefixes(first, frequent, percent, False), "prefixes")
     short = near.filter("prefix is null").select(F.col("node").alias("w"))
